@@ -153,7 +153,7 @@ def _stats_cte() -> str:
             f"FROM taxi_trips)")
 
 
-def oracle_sql() -> dict[str, str]:
+def _core_oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["cast_trips"] = q(f"SELECT {CAST_SELECT} FROM trips")
     out["cast_trips_lenient"] = out["cast_trips"]
@@ -265,3 +265,218 @@ def oracle_sql() -> dict[str, str]:
   {avg_ratio('trip_duration_min', 1)} AS avg_mins
  FROM taxi_trips GROUP BY time_of_day ORDER BY trips DESC""")
     return out
+
+
+# ---- validation (H), dead letters (K2), reload (F1/F2), audit (K1/K3), D4 ----
+
+from tripflow.contract import TRIP_CONTRACT  # noqa: E402
+
+STRICT_CHECKS = (
+    ("dropoff_after_pickup", f"{D} > {P}"),
+    ("distance_in_range", "trip_distance BETWEEN 0.01 AND 500"),
+    ("fare_in_range", "fare_amount BETWEEN 0 AND 1000"),
+    ("total_non_negative", "total_amount >= 0"),
+    ("passengers_in_range", "passenger_count BETWEEN 1 AND 9"),
+    ("known_vendor", "vendor_id IN (1, 2)"),
+)
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _bound_sql(spec, v) -> str:
+    if spec.type == "timestamp":
+        return f"TIMESTAMP '{v}'"
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _bound_text(spec, v) -> str:
+    if spec.type == "integer":
+        return str(int(v))
+    if spec.type == "float":
+        return str(float(v))
+    return str(v)
+
+
+def _typed(spec) -> str:
+    t = "TIMESTAMP" if spec.type == "timestamp" else "DOUBLE"
+    return f"TRY_CAST({spec.name} AS {t})"
+
+
+def _metrics_cte(src: str = "trips") -> str:
+    parts = ["count(*) AS n_rows"]
+    for c in TRIP_CONTRACT.columns:
+        parts.append(f"count(*) FILTER (WHERE {c.name} IS NULL) AS nulls__{c.name}")
+        if c.min_value is not None:
+            parts.append(f"count(*) FILTER (WHERE {_typed(c)} < {_bound_sql(c, c.min_value)}) "
+                         f"AS below__{c.name}")
+        if c.max_value is not None:
+            parts.append(f"count(*) FILTER (WHERE {_typed(c)} > {_bound_sql(c, c.max_value)}) "
+                         f"AS above__{c.name}")
+    for rule in TRIP_CONTRACT.rules:
+        parts.append(f"count(*) FILTER (WHERE NOT coalesce({rule.expr}, false)) "
+                     f"AS rule__{rule.name}")
+    cols = ", ".join(TRIP_CONTRACT.column_names)
+    unexp = []
+    for c in TRIP_CONTRACT.columns:
+        if c.allowed_values:
+            allowed = ", ".join(str(v) for v in c.allowed_values)
+            unexp.append(
+                f"unexp__{c.name} AS (SELECT count(*) AS n_unexpected__{c.name}, "
+                f"'[' || coalesce(string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v), '') || ']' "
+                f"AS unexpected__{c.name} FROM (SELECT DISTINCT {c.name} AS v FROM {src} "
+                f"WHERE {c.name} IS NOT NULL AND {c.name} NOT IN ({allowed}) ORDER BY v LIMIT 10))")
+    return (f"m AS (SELECT {', '.join(parts)} FROM {src}),\n"
+            f"dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows, "
+            f"count(*) AS distinct_rows FROM (SELECT count(*) AS c FROM {src} GROUP BY {cols})),\n"
+            + ",\n".join(unexp))
+
+
+def _pct_text(frac: str, n: int) -> str:
+    return f"printf('%.{n}f%%', {r(f'({frac}) * 100e0', n)})"
+
+
+def _findings_cte() -> str:
+    t = TRIP_CONTRACT
+    frm = "FROM m, dup" + "".join(f", unexp__{c.name}" for c in t.columns if c.allowed_values)
+    sel = []
+
+    def add(fired, sev, check, column, message, vc="CAST(NULL AS BIGINT)",
+            nf="CAST(NULL AS DOUBLE)"):
+        col = lit(column) if column else "CAST(NULL AS VARCHAR)"
+        sel.append(f"SELECT {lit(sev)} AS severity, {lit(check)} AS \"check\", {col} AS \"column\", "
+                   f"{message} AS message, CAST({vc} AS BIGINT) AS violation_count, "
+                   f"CAST({nf} AS DOUBLE) AS null_fraction {frm} WHERE {fired}")
+
+    add(f"n_rows < {t.min_row_count}", "error", "min_row_count", None,
+        f"format('Dataset has {{:,}} rows — below minimum {t.min_row_count:,}', n_rows)")
+    for c in t.columns:
+        frac = f"CAST(nulls__{c.name} AS DOUBLE) / NULLIF(n_rows, 0)"
+        if not c.nullable:
+            add(f"{frac} > 0", "error", "not_nullable", c.name,
+                f"{lit(chr(39) + c.name + chr(39) + ' must not be null — ')} || "
+                f"{_pct_text(frac, 1)} || ' nulls found'", nf=frac)
+        else:
+            add(f"{frac} > {t.max_null_fraction}", "warning", "high_null_fraction", c.name,
+                f"{lit(chr(39) + c.name + chr(39) + ' has ')} || {_pct_text(frac, 1)} || "
+                f"{lit(f' nulls (threshold {t.max_null_fraction * 100:.0f}%)')}", nf=frac)
+    for c in t.columns:
+        for kind, v, word, pre in (("min_value", c.min_value, "below min", "below"),
+                                   ("max_value", c.max_value, "above max", "above")):
+            if v is None:
+                continue
+            cnt = f"{pre}__{c.name}"
+            add(f"{cnt} > 0", "warning", kind, c.name,
+                f"CAST({cnt} AS VARCHAR) || "
+                f"{lit(f' rows {word} {_bound_text(c, v)} in ' + chr(39) + c.name + chr(39))}",
+                vc=cnt)
+    for c in t.columns:
+        if c.allowed_values:
+            add(f"n_unexpected__{c.name} > 0", "warning", "allowed_values", c.name,
+                f"{lit(f'Unexpected values in ' + chr(39) + c.name + chr(39) + ': ')} "
+                f"|| unexpected__{c.name}")
+    dfrac = "CAST(duplicate_rows AS DOUBLE) / NULLIF(n_rows, 0)"
+    add(f"coalesce({dfrac} > {t.max_duplicate_fraction}, false)", "warning",
+        "duplicate_fraction", None,
+        f"'Duplicate fraction ' || {_pct_text(dfrac, 2)} || "
+        f"{lit(f' exceeds threshold {t.max_duplicate_fraction * 100:.0f}%')}")
+    for rule in t.rules:
+        cnt = f"rule__{rule.name}"
+        add(f"{cnt} > 0", "error" if rule.severity == "error" else "warning", rule.name, None,
+            f"{lit(f'Rule {chr(39)}{rule.name}{chr(39)} violated by ')} || CAST({cnt} AS VARCHAR) "
+            f"|| ' rows'", vc=cnt)
+    return "findings AS (\n" + "\nUNION ALL\n".join(sel) + ")"
+
+
+def _summary_cte() -> str:
+    return ("vsum AS (SELECT CASE WHEN error_count > 0 THEN 'FAILED' WHEN warning_count > 0 "
+            "THEN 'WARNED' ELSE 'PASSED' END AS status, error_count, warning_count, "
+            f"'trips' AS dataset, {lit(TRIP_CONTRACT.version)} AS schema_version FROM ("
+            "SELECT count(*) FILTER (WHERE severity = 'error') AS error_count, "
+            "count(*) FILTER (WHERE severity = 'warning') AS warning_count FROM findings))")
+
+
+def _reload_ctes() -> str:
+    return (f"batch AS (SELECT * FROM taxi_trips WHERE pickup_date = DATE '{PINNED_DAY}'),\n"
+            f"existing AS (SELECT * FROM taxi_trips UNION ALL SELECT * FROM batch),\n"
+            f"reloaded AS (SELECT * FROM existing WHERE pickup_date NOT IN "
+            f"(SELECT pickup_date FROM batch UNION SELECT DATE '{PINNED_DAY}') "
+            f"UNION ALL SELECT * FROM batch)")
+
+
+def _audit_cte() -> str:
+    clean = STRICT_PRED
+    return (f"per_day AS (SELECT CAST({P} AS DATE) AS execution_date, count(*) AS raw_row_count, "
+            f"count(*) FILTER (WHERE coalesce({clean}, false)) AS clean_row_count "
+            f"FROM trips GROUP BY 1),\n"
+            f"audit AS (SELECT 'run_' || strftime(execution_date, '%Y%m%d') AS run_id, "
+            f"execution_date, CAST(execution_date AS TIMESTAMP) AS started_at, "
+            f"CAST(execution_date AS TIMESTAMP) + INTERVAL 1 HOUR AS completed_at, raw_row_count, "
+            f"CAST(0 AS BIGINT) AS clean_row_count, 'WARNED' AS validation_status, "
+            f"'failed' AS status FROM per_day\n"
+            f" UNION ALL SELECT 'run_' || strftime(execution_date, '%Y%m%d'), execution_date, "
+            f"CAST(execution_date AS TIMESTAMP) + INTERVAL 1 HOUR, "
+            f"CAST(execution_date AS TIMESTAMP) + INTERVAL 2 HOUR, raw_row_count, "
+            f"clean_row_count, 'WARNED', 'success' FROM per_day "
+            f"WHERE execution_date <= DATE '{PINNED_DAY}')")
+
+
+def _wq(*ctes: str) -> str:
+    return f"WITH {_ctes()},\n" + ",\n".join(ctes) + "\n"
+
+
+def oracle_sql() -> dict[str, str]:
+    out = _core_oracle_sql()
+    val = (_metrics_cte(), _findings_cte())
+    out["validate"] = _wq(*val) + "SELECT * FROM findings"
+    out["validation_summary"] = _wq(*val, _summary_cte()) + "SELECT * FROM vsum"
+    out["null_fractions"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(
+        f"SELECT {lit(c.name)} AS \"column\", {str(c.nullable).lower()} AS nullable, "
+        f"nulls__{c.name} AS null_count, CAST(nulls__{c.name} AS DOUBLE) / NULLIF(n_rows, 0) "
+        f"AS null_fraction FROM m" for c in TRIP_CONTRACT.columns)
+    rv = []
+    for c in TRIP_CONTRACT.columns:
+        for kind, v, pre in (("min_value", c.min_value, "below"), ("max_value", c.max_value, "above")):
+            if v is not None:
+                rv.append(f"SELECT {lit(c.name)} AS \"column\", {lit(kind)} AS bound, "
+                          f"{lit(_bound_text(c, v))} AS bound_value, {pre}__{c.name} "
+                          f"AS violation_count FROM m")
+    out["range_violations"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(rv)
+    out["allowed_values"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(
+        f"SELECT {lit(c.name)} AS \"column\", n_unexpected__{c.name} AS unexpected_count, "
+        f"unexpected__{c.name} AS unexpected_values FROM unexp__{c.name}"
+        for c in TRIP_CONTRACT.columns if c.allowed_values)
+    out["duplicate_fraction"] = _wq(_metrics_cte()) + (
+        "SELECT n_rows, distinct_rows, duplicate_rows, "
+        "CAST(duplicate_rows AS DOUBLE) / NULLIF(n_rows, 0) AS duplicate_fraction FROM m, dup")
+    out["quality_rules"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(
+        f"SELECT {lit(rl.name)} AS rule, {lit(rl.severity)} AS severity, rule__{rl.name} "
+        f"AS violation_count FROM m" for rl in TRIP_CONTRACT.rules)
+    reasons = ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN {lit(n)} END"
+                        for n, p in STRICT_CHECKS)
+    out["dead_letter"] = q(f"SELECT {RAW_COLS}, concat_ws(',', {reasons}) AS reject_reasons "
+                           f"FROM trips WHERE NOT coalesce({STRICT_PRED}, false)")
+    out["reject_reason_counts"] = q("\nUNION ALL\n".join(
+        f"SELECT {lit(n)} AS reason, count(*) AS rejected_rows FROM trips "
+        f"WHERE NOT coalesce({p}, false) GROUP BY reason" for n, p in STRICT_CHECKS))
+    out["idempotent_reload"] = _wq(_reload_ctes()) + "SELECT * FROM reloaded"
+    load = (f"SELECT count(*) FILTER (WHERE pickup_date = DATE '{PINNED_DAY}') AS loaded_rows, "
+            f"count(*) AS total_rows FROM reloaded")
+    out["load_counts"] = _wq(_reload_ctes()) + load
+    out["audit_latest"] = _wq(_audit_cte()) + (
+        "SELECT run_id, execution_date, started_at, completed_at, raw_row_count, "
+        "clean_row_count, validation_status, status FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY run_id ORDER BY completed_at DESC) AS rn FROM audit) WHERE rn = 1")
+    out["fresh_dates"] = _wq(_audit_cte()) + (
+        f"SELECT DISTINCT CAST({P} AS DATE) AS run_date FROM trips WHERE CAST({P} AS DATE) "
+        f"NOT IN (SELECT execution_date FROM audit WHERE status = 'success')")
+    out["run_summary"] = _wq(*val, _summary_cte(), _reload_ctes()) + (
+        "SELECT (SELECT count(*) FROM trips) AS raw_rows, "
+        "(SELECT count(*) FROM clean_strict) AS clean_rows, "
+        f"(SELECT {avg_fixed('fare_amount', 2, 2)} FROM clean_strict) AS avg_fare, "
+        "(SELECT status FROM vsum) AS validation_status, "
+        "(SELECT warning_count FROM vsum) AS validation_warnings, "
+        f"(SELECT count(*) FILTER (WHERE pickup_date = DATE '{PINNED_DAY}') FROM reloaded) "
+        "AS loaded_rows")
+    return out

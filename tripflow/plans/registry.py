@@ -96,8 +96,8 @@ def _transform_summary(spark, d):
     return agg.transform_summary(derive_features(raw_trips(spark, d), BATCH), BATCH)
 
 
-def queries() -> dict[str, Query]:
-    reg: dict[str, Query] = {
+def _core_queries() -> dict[str, Query]:
+    return {
         # A. sources
         "cast_trips": _cast_trips,
         "cast_trips_lenient": _cast_trips_lenient,
@@ -136,4 +136,103 @@ def queries() -> dict[str, Query]:
         "revenue_by_payment": lambda s, d: an.revenue_by_payment(taxi_trips(s, d)),
         "time_of_day_breakdown": lambda s, d: an.time_of_day_breakdown(taxi_trips(s, d)),
     }
+
+
+# ---- validation, dead letters, reload, audit, run summary ----
+
+from tripflow.operators import audit as aud  # noqa: E402
+from tripflow.operators import tables as tbl  # noqa: E402
+from tripflow.operators import validate as val  # noqa: E402
+from tripflow.operators.clean import is_clean, reject_reason_counts, split_clean_dead  # noqa: E402
+from tripflow.functions.exact import avg_fixed  # noqa: E402
+
+DATASET = "trips"
+
+
+def _dead(spark, d):
+    return split_clean_dead(raw_trips(spark, d), STRICT)[1]
+
+
+def _dead_letter(spark, d):
+    return _dead(spark, d).withColumn("reject_reasons", F.array_join("reject_reasons", ","))
+
+
+def _reloaded(spark, d):
+    """The trips table after a double append of the pinned day (the
+    reference's non-idempotent load) is repaired by one reload."""
+    trips = taxi_trips(spark, d)
+    batch = trips.where(F.col("pickup_date") == F.lit(PINNED_DAY).cast("date"))
+    existing = trips.unionByName(batch)
+    return tbl.reload(existing, batch, PINNED_DAY)
+
+
+def derived_audit(spark, d):
+    """Audit rows derived from the trips: one run per pickup date; every run
+    has a failed first attempt, runs up to the pinned day a successful retry."""
+    per_day = (raw_trips(spark, d)
+               .groupBy(F.to_date("tpep_pickup_datetime").alias("execution_date"))
+               .agg(F.count(F.lit(1)).alias("raw_row_count"),
+                    F.count_if(is_clean(STRICT)).alias("clean_row_count")))
+    day = F.col("execution_date").cast("timestamp_ntz")
+    hour = F.expr("INTERVAL 1 HOUR")
+    first = F.struct(day.alias("started_at"), (day + hour).alias("completed_at"),
+                     F.lit(0).cast("bigint").alias("clean_row_count"),
+                     F.lit("WARNED").alias("validation_status"), F.lit(aud.FAILED).alias("status"))
+    retry = F.struct((day + hour).alias("started_at"), (day + hour * 2).alias("completed_at"),
+                     F.col("clean_row_count"), F.lit("WARNED").alias("validation_status"),
+                     F.lit(aud.SUCCESS).alias("status"))
+    attempts = F.when(F.col("execution_date") <= F.lit(PINNED_DAY).cast("date"),
+                      F.array(first, retry)).otherwise(F.array(first))
+    return (per_day.select("execution_date", "raw_row_count", F.explode(attempts).alias("a"))
+            .select(F.concat(F.lit("run_"), F.date_format("execution_date", "yyyyMMdd"))
+                    .alias("run_id"), "execution_date", "a.started_at", "a.completed_at",
+                    "raw_row_count", "a.clean_row_count", "a.validation_status", "a.status")
+            .select(*aud.AUDIT_COLS))
+
+
+def _fresh_dates(spark, d):
+    dates = raw_trips(spark, d).select(F.to_date("tpep_pickup_datetime").alias("run_date"))
+    return aud.fresh_dates(dates, derived_audit(spark, d))
+
+
+def _run_summary(spark, d):
+    raw = raw_trips(spark, d)
+    clean = clean_trips(spark, d, STRICT)
+    status = val.summary(val.validate(raw), DATASET).select(
+        F.col("status").alias("validation_status"),
+        F.col("warning_count").alias("validation_warnings"))
+    return (raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+            .crossJoin(clean.agg(F.count(F.lit(1)).alias("clean_rows"),
+                                 avg_fixed("fare_amount", 2, 2).alias("avg_fare")))
+            .crossJoin(status)
+            .crossJoin(tbl.load_counts(_reloaded(spark, d), PINNED_DAY)
+                       .select(F.col("loaded_rows"))))
+
+
+_MORE: dict[str, Query] = {
+    # D4
+    "run_summary": _run_summary,
+    # F. load
+    "idempotent_reload": _reloaded,
+    "load_counts": lambda s, d: tbl.load_counts(_reloaded(s, d), PINNED_DAY),
+    # H. validation
+    "validate": lambda s, d: val.validate(raw_trips(s, d)),
+    "null_fractions": lambda s, d: val.null_fractions(raw_trips(s, d)),
+    "range_violations": lambda s, d: val.range_violations(raw_trips(s, d)),
+    "allowed_values": lambda s, d: val.allowed_values(raw_trips(s, d)),
+    "duplicate_fraction": lambda s, d: val.duplicate_fraction(raw_trips(s, d)),
+    "quality_rules": lambda s, d: val.quality_rules(raw_trips(s, d)),
+    "validation_summary": lambda s, d: val.summary(val.validate(raw_trips(s, d)), DATASET),
+    # K. dead letter, audit, freshness
+    "dead_letter": _dead_letter,
+    "reject_reason_counts": lambda s, d: reject_reason_counts(_dead(s, d)),
+    "fresh_dates": _fresh_dates,
+    "audit_latest": lambda s, d: aud.audit_latest(derived_audit(s, d)),
+}
+
+
+
+def queries() -> dict[str, Query]:
+    reg = _core_queries()
+    reg.update(_MORE)
     return reg
