@@ -20,6 +20,9 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; past
+    # that size a fused stage is better split (Spark docs recommend 8000).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -59,7 +59,7 @@ FIXTURE_EPOCH = "2024-01-01 00:00:00"
 # --- end of fixed values ---
 
 _SPARK_TOKENS = {
-    "ts": "(timestamp_ntz'" + FIXTURE_EPOCH + "' + make_dt_interval(0, 0, 0, {n}))",
+    "ts": "timestampadd(SECOND, {n}, timestamp_ntz'" + FIXTURE_EPOCH + "')",
 }
 _DUCK_TOKENS = {
     "ts": "(TIMESTAMP '" + FIXTURE_EPOCH + "' + to_seconds({n}))",
