@@ -51,21 +51,26 @@ def unique_zones(zones: DataFrame) -> DataFrame:
 
 def join_zones(trips: DataFrame, zones: DataFrame, dedupe: bool = False,
                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """D1 + D2: left-join the zone dimension on pickup and on dropoff id."""
+    """D1 + D2: left-join the zone dimension on pickup and on dropoff id.
+
+    Both joins use the *same* dimension plan (aliased twice), so Spark
+    builds and broadcasts it once and reuses the exchange for the second
+    join.
+    """
     if dedupe:
         zones = unique_zones(zones)
-    pick = zones.select(F.col("location_id").alias("pickup_location_id"),
-                        F.col("zone_name").alias("pickup_zone"),
-                        F.col("borough").alias("pickup_borough"))
-    drop = zones.select(F.col("location_id").alias("dropoff_location_id"),
-                        F.col("zone_name").alias("dropoff_zone"),
-                        F.col("borough").alias("dropoff_borough"))
-    if fits_broadcast(zones, max_broadcast_rows):
-        pick, drop = F.broadcast(pick), F.broadcast(drop)
-    cols = trips.columns + ["pickup_zone", "pickup_borough", "dropoff_zone", "dropoff_borough"]
-    return (trips.join(pick, "pickup_location_id", "left")
-            .join(drop, "dropoff_location_id", "left")
-            .select(*cols))
+    dim = zones.select("location_id", "zone_name", "borough")
+    if fits_broadcast(dim, max_broadcast_rows):
+        dim = F.broadcast(dim)
+    pz, dz = dim.alias("pz"), dim.alias("dz")
+    t = trips.alias("t")
+    return (t.join(pz, F.col("t.pickup_location_id") == F.col("pz.location_id"), "left")
+            .join(dz, F.col("t.dropoff_location_id") == F.col("dz.location_id"), "left")
+            .select("t.*",
+                    F.col("pz.zone_name").alias("pickup_zone"),
+                    F.col("pz.borough").alias("pickup_borough"),
+                    F.col("dz.zone_name").alias("dropoff_zone"),
+                    F.col("dz.borough").alias("dropoff_borough")))
 
 
 def zone_fallback(trips: DataFrame) -> DataFrame:
