@@ -479,4 +479,59 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT warning_count FROM vsum) AS validation_warnings, "
         f"(SELECT count(*) FILTER (WHERE pickup_date = DATE '{PINNED_DAY}') FROM reloaded) "
         "AS loaded_rows")
+    out["synthetic_trips"] = _synthetic_sql()
     return out
+
+
+# ---- synthetic trips (A5): the same integer-hash generator in SQL ----
+
+def _synthetic_sql() -> str:
+    from tripflow.sources import synthetic as syn
+
+    p = syn.PRIME
+    ks = range(1, 15)
+    x0 = ", ".join(f"(id * 48271 + {k * 69621} + 12345) % {p} AS x{k}" for k in ks)
+    steps = []
+    for i in range(3):
+        body = ", ".join(f"(x{k} * x{k} + id + {7 + i}) % {p} AS x{k}" for k in ks)
+        steps.append(f"s{i + 1} AS (SELECT id, {body} FROM s{i})")
+    us = ", ".join(f"x{k} / {float(p)!r}e0 AS u{k}" for k in ks)
+
+    def f(v: float) -> str:
+        text = repr(float(v))
+        return text if "e" in text else text + "e0"  # a DOUBLE literal
+
+    def clip(e: str, lo: float, hi: float) -> str:
+        return f"least(greatest({e}, {f(lo)}), {f(hi)})"
+
+    def choice(vals, u: str) -> str:
+        return f"[{', '.join(str(v) for v in vals)}][CAST(floor({u} * {len(vals)}) AS BIGINT) + 1]"
+
+    share = f"({f(syn.TIP_SHARE[1] - syn.TIP_SHARE[0])} * u7 + {f(syn.TIP_SHARE[0])})"
+    extra = f"({f(syn.EXTRA_RANGE[1] - syn.EXTRA_RANGE[0])} * u8 + {f(syn.EXTRA_RANGE[0])})"
+    dur = clip(f"ln(1 - u2) * {f(-syn.DURATION_MEAN_MIN)}", *syn.DURATION_CLIP)
+    dist = r(clip(f"ln(1 - u3) * {f(-syn.DISTANCE_MEAN_MI)}", *syn.DISTANCE_CLIP), 2)
+    normal = f"(sqrt(ln(1 - u4) * -2.0e0) * cos(u5 * {f(2 * 3.141592653589793)}))"
+    base = f"TIMESTAMP '{PINNED_DAY} 00:00:00'"
+    lo, hi = syn.LOCATIONS
+    return f"""WITH s0 AS (SELECT id, {x0} FROM (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem)),
+{', '.join(steps)},
+u AS (SELECT id, {us} FROM s3),
+g AS (SELECT
+  {choice(syn.VENDORS, 'u9')} AS vendor_id,
+  {base} + to_seconds(CAST(floor(u1 * 86400) AS BIGINT)) AS tpep_pickup_datetime,
+  {base} + to_seconds(CAST(floor(u1 * 86400) AS BIGINT))
+    + to_microseconds(CAST(round({r(f'{dur} * 60.0e0', 6)} * 1e6) AS BIGINT)) AS tpep_dropoff_datetime,
+  {choice(syn.PASSENGERS, 'u10')} AS passenger_count,
+  {dist} AS trip_distance,
+  {choice(syn.RATE_CODES, 'u11')} AS rate_code_id,
+  {choice(syn.PAYMENT_TYPES, 'u12')} AS payment_type,
+  CAST({lo} + floor(u13 * {hi - lo + 1}) AS INTEGER) AS pickup_location_id,
+  CAST({lo} + floor(u14 * {hi - lo + 1}) AS INTEGER) AS dropoff_location_id,
+  {normal} AS _normal, {share} AS _share, {extra} AS _extra, u6 AS _u6
+ FROM u),
+g2 AS (SELECT *, {r(clip(f'trip_distance * {f(syn.FARE_PER_MILE)} + {f(syn.FARE_BASE)} + _normal * {f(syn.FARE_NOISE_SD)}', *syn.FARE_CLIP), 2)} AS fare_amount FROM g),
+g3 AS (SELECT *, CASE WHEN _u6 < {f(syn.TIP_PROBABILITY)} THEN {r('fare_amount * _share', 2)} ELSE 0e0 END AS tip_amount FROM g2)
+SELECT vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
+  rate_code_id, {r('fare_amount + tip_amount + _extra', 2)} AS total_amount, fare_amount, tip_amount,
+  payment_type, pickup_location_id, dropoff_location_id FROM g3"""
