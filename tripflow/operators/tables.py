@@ -72,20 +72,24 @@ def reload(existing: DataFrame, batch: DataFrame, run_date: str,
 
 
 def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, run_date: str,
-                      date_col: str = DATE_COL) -> int:
+                      date_col: str = DATE_COL) -> tuple[int, list]:
     """F1, file sink: dynamic partition overwrite of the batch's dates; the
-    run date's partition is removed when the batch has no row for it."""
-    has_run_date = not batch.where(F.col(date_col) == F.lit(run_date).cast("date")).isEmpty()
-    rows = 0
-    if not batch.isEmpty():
-        obs = Observation("reload_stats")
-        (batch.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(date_col).parquet(path))
-        rows = int(obs.get["rows"])
-    if not has_run_date:
+    run date's partition is removed when the batch has no row for it.
+
+    One job: the write itself reports its row count and its distinct dates
+    (``observe``; the date set is as small as the number of days written).
+    Returns ``(rows, dates)``.
+    """
+    obs = Observation("reload_stats")
+    (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
+                   F.array_sort(F.collect_set(F.col(date_col))).alias("dates"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_col).parquet(path))
+    stats = obs.get
+    dates = list(stats.get("dates") or [])
+    if run_date not in {str(d) for d in dates}:
         _delete(spark, f"{path}/{date_col}={run_date}")
-    return rows
+    return int(stats.get("rows") or 0), dates
 
 
 def load_counts(table: DataFrame, run_date: str, date_col: str = DATE_COL) -> DataFrame:

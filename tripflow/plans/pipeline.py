@@ -114,11 +114,11 @@ def run(spark: SparkSession, run_date: str, layout: Layout, source_path: str | N
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_date").parquet(layout.path("dead_letter")))
         trips = transform(clean, _zones(spark, zone_path))
-        clean_rows = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"), run_date)
+        clean_rows, dates = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"),
+                                                  run_date)
         metrics["clean_row_count"] = clean_rows
 
-        # facts for the dates this batch touched (partition-pruned read)
-        dates = [r[0] for r in tbl.replaced_dates(trips, run_date).collect()]
+        # facts for the dates this batch touched (partition-pruned read of the table)
         loaded = spark.read.parquet(layout.path("taxi_trips")).where(
             F.col("pickup_date").isin(dates))
         for name, fact in build_facts(loaded).items():

@@ -37,8 +37,7 @@ def process_batch(spark: SparkSession, layout: Layout, zones: DataFrame | None,
     for run_date in run_dates:
         day = cast_trips_lenient(text.where(F.col("run_date") == run_date))
         trips = transform(split_clean_dead(day, STRICT)[0], zones)
-        tbl.reload_partitions(spark, trips, layout.path("taxi_trips"), run_date)
-        dates = [r[0] for r in tbl.replaced_dates(trips, run_date).collect()]
+        _, dates = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"), run_date)
         loaded = spark.read.parquet(layout.path("taxi_trips")).where(
             F.col("pickup_date").isin(dates))
         for name, fact in build_facts(loaded).items():
