@@ -1,4 +1,4 @@
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_FLOOR, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,7 +8,10 @@ from tripflow.functions.exact import avg_fixed, avg_ratio, pct, round_half_up, s
 
 
 def _half_up(x: Decimal, n: int) -> float:
-    return float(x.quantize(Decimal(1).scaleb(-n), rounding=ROUND_HALF_UP))
+    """floor(x * 10^n + 0.5) / 10^n in exact decimal arithmetic (ties go up,
+    also for negative values: the documented rounding rule)."""
+    scaled = (x.scaleb(n) + Decimal("0.5")).to_integral_value(rounding=ROUND_FLOOR)
+    return float(scaled.scaleb(-n))
 
 
 @settings(max_examples=15, deadline=None)

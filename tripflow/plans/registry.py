@@ -18,7 +18,8 @@ from tripflow.operators.clean import filter_rows, filter_stats, row_gate_by_date
 from tripflow.operators.enrich import derive_features
 from tripflow.operators.zones import parse_zone_lookup, zone_fallback
 from tripflow.plans import analytics as an
-from tripflow.plans.trips import clean_trips, featured_trips, raw_trips, taxi_trips, zones
+from tripflow.plans.trips import (build_taxi_trips, clean_trips, featured_trips, raw_trips,
+                                  taxi_trips, zones)
 from tripflow.sources import raw as rawsrc
 from tripflow.sources.fixture import table
 from tripflow.sources.synthetic import synthetic_trips
@@ -115,7 +116,7 @@ def _core_queries() -> dict[str, Query]:
         "features_strict": _features(STRICT),
         "features_batch": _features(BATCH),
         "zone_fallback": _zone_fallback,
-        "zone_join": taxi_trips,
+        "zone_join": build_taxi_trips,
         # E. aggregates
         "agg_by_zone": _agg_by_zone,
         "agg_by_hour": _agg_by_hour,

@@ -6,7 +6,6 @@ fill in what is unset (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,5 +56,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="tripflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
-    os.environ.setdefault("TRIPFLOW_CHECKPOINT_DIR", root)
     return root

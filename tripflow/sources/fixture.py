@@ -82,9 +82,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer partitions than the cluster
+    has cores (one file with one row group) before per-row work.  A large
+    input already scans as many splits and is left alone (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Raw typed trips, one per line item (narrow projection, no shuffle)."""
-    step0 = lineitem.select(*LINEITEM_COLUMNS).selectExpr(
+    """Raw typed trips, one per line item (narrow projection)."""
+    step0 = spread(lineitem.select(*LINEITEM_COLUMNS)).selectExpr(
         *[f"{e} AS {n}" for n, e in TRIPS0_EXPRS])
     return step0.selectExpr(*[f"{_render(e, _SPARK_TOKENS)} AS {n}" for n, e in TRIPS_EXPRS])
 
