@@ -64,8 +64,13 @@ def is_clean(profile: str = STRICT) -> Column:
 
 
 def filter_rows(df: DataFrame, profile: str = STRICT) -> DataFrame:
-    """Keep the rows that pass the profile (one Filter node)."""
-    return df.where(is_clean(profile))
+    """Keep the rows that pass the profile (one Filter node).
+
+    The bare conjunction (a WHERE drops NULL like FALSE) so that the range
+    and IN predicates reach the Parquet scan as pushed filters; wrapped in
+    ``coalesce`` they would not.
+    """
+    return df.where(reduce(lambda a, b: a & b, [p for _, p in checks(profile)]))
 
 
 def tag_rejects(df: DataFrame, profile: str = STRICT) -> DataFrame:
@@ -82,8 +87,7 @@ def split_clean_dead(df: DataFrame, profile: str = STRICT) -> tuple[DataFrame, D
     Only rejected rows get the reason array: filtering on the array's size
     would build it for every row inside the filter (3.5x slower, measured).
     """
-    ok = is_clean(profile)
-    return df.where(ok), tag_rejects(df.where(~ok), profile)
+    return filter_rows(df, profile), tag_rejects(df.where(~is_clean(profile)), profile)
 
 
 def reject_reason_counts(dead: DataFrame) -> DataFrame:
