@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import pathlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,15 +63,21 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
     """
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/tripflow-staged/{name}-{input_signature(spark, inputs)}"
-    fs, marker = _fs(spark, f"{path}/_SUCCESS")
-    if not fs.exists(marker):
+    fs, final = _fs(spark, path)
+    if not fs.exists(final):
         df = build()
         if partition_by:
             df = df.repartitionByRange(*partition_by, *(cluster_by or []))
-        # static: a full rewrite that ends with the _SUCCESS marker (dynamic
-        # partition overwrite, the session default for reloads, writes none)
+        # static: a full rewrite of a private directory (dynamic partition
+        # overwrite is the session default for reloads)
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.parquet(tmp)
+        # publish with one rename; if another session published first, keep
+        # theirs (a rename onto an existing directory would nest into it)
+        _, tmp_path = _fs(spark, tmp)
+        if fs.exists(final) or not fs.rename(tmp_path, final):
+            fs.delete(tmp_path, True)
     return spark.read.parquet(path)
