@@ -73,3 +73,16 @@ def test_landing_stream_replays_idempotently(spark, sf0001, tmp_path):
     assert spark.read.parquet(layout.path("taxi_trips")).count() == first
     hours = spark.read.parquet(layout.path("agg_by_hour"))
     assert hours.agg(F.sum("trip_count")).first()[0] == first
+
+
+def test_batch_profile_outputs(spark, sf0001, tmp_path):
+    out = str(tmp_path / "batch")
+    summary = pipeline.run_batch_profile(spark, raw_trips(spark, sf0001), out).first()
+    trips = spark.read.parquet(f"{out}/trips")
+    assert trips.count() == summary.clean_row_count == 4368
+    assert summary.removed_rows == 6000 - 4368
+    hours = spark.read.parquet(f"{out}/agg_by_hour")
+    assert hours.agg(F.sum("trip_count")).first()[0] == 4368
+    zone = spark.read.parquet(f"{out}/agg_by_zone")
+    assert zone.agg(F.sum("total_trips")).first()[0] == 4368
+    assert dict(trips.dtypes)["pickup_date"] == "string"
