@@ -102,3 +102,14 @@ def test_report_sink(spark, sf0001, tmp_path):
     back = spark.read.json(str(tmp_path / "report")).first()
     assert back.status == "WARNED" and back.schema_version == "1.0"
     assert len(back.warnings) == back.warning_count and back.errors == []
+
+
+def test_duplicate_count_paths_agree(spark, sf0001):
+    trips = raw_trips(spark, sf0001)
+    variant = trips.unionAll(trips.where(F.col("pickup_location_id") % 10 == 0)) \
+        .unionAll(trips.limit(7)).unionAll(trips.limit(7))
+    fast = val.duplicate_rows(variant).first()
+    full = val.duplicate_rows(variant, max_candidates=0).first()
+    assert fast == full
+    assert fast.duplicate_rows + fast.distinct_rows == variant.count()
+    assert fast.distinct_rows == trips.distinct().count()

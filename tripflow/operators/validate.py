@@ -5,8 +5,9 @@ Shape of the work, whatever the number of checks:
 * one ``agg`` over the data: row count, NULL counts, range violations and
   rule violations for every column/rule at once (map-side partial
   aggregation, one row out);
-* one exact duplicate count: ``groupBy(all columns)`` with a partial
-  aggregate, so a hot group of copies is combined before the shuffle;
+* one exact duplicate count: a row-hash count first, then a full-row
+  ``groupBy`` of only the rows whose hash repeats (partial aggregation
+  combines a hot group of copies before the shuffle);
 * per column with allowed values: distinct unexpected values, sorted,
   first ten (a bounded top-k, never an unbounded ``collect_set``).
 
@@ -97,12 +98,45 @@ def metrics(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     return df.agg(*aggs)
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: rows beyond the first copy of each distinct row (NULL = NULL)."""
-    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+# Colliding row hashes above this count: compare full rows directly.
+MAX_CANDIDATE_HASHES = 1_000_000
+
+
+def _exact_duplicates(rows: DataFrame) -> DataFrame:
+    """Rows beyond the first copy of each distinct row, by full-row grouping
+    (partial aggregation combines the copies of a hot row map-side)."""
+    return (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
             .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint")
-                 .alias("duplicate_rows"),
-                 F.count(F.lit(1)).alias("distinct_rows")))
+                 .alias("duplicate_rows")))
+
+
+def duplicate_rows(df: DataFrame, max_candidates: int = MAX_CANDIDATE_HASHES) -> DataFrame:
+    """One row: rows beyond the first copy of each distinct row (NULL = NULL),
+    and the number of distinct rows.  Exact.
+
+    Pass 1 counts rows per 64-bit row hash, so the shuffle carries a hash
+    and a count instead of whole rows.  A row whose hash is unique is a
+    unique row; only rows with a repeated hash (the duplicates plus rare
+    collisions) go through the exact full-row grouping, picked by a
+    broadcast semi-join against the repeated hashes once their number is
+    proven below ``max_candidates``.  Past that bound the full-row grouping
+    runs on everything.
+    """
+    from tripflow.operators.zones import fits_broadcast
+
+    cols = df.columns
+    hashed = df.withColumn("_h", F.xxhash64(*cols))
+    repeated = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > 1).select("_h"))
+    if fits_broadcast(repeated, max_candidates):
+        candidates = hashed.join(F.broadcast(repeated), "_h", "left_semi").drop("_h")
+        dups = _exact_duplicates(candidates)
+    else:
+        dups = _exact_duplicates(df)
+    total = df.agg(F.count(F.lit(1)).alias("_rows"))
+    return (dups.crossJoin(total)
+            .select("duplicate_rows",
+                    (F.col("_rows") - F.col("duplicate_rows")).alias("distinct_rows")))
 
 
 def unexpected_values(df: DataFrame, spec: ColumnSpec, k: int = 10) -> DataFrame:
