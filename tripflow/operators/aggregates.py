@@ -43,14 +43,19 @@ def payment_breakdown(trips: DataFrame, within: str | None = None) -> DataFrame:
 
     ``within=None`` divides by the count of every date (the reference's
     meaning); ``within="pickup_date"`` divides by that date's count.  The
-    total is a window over the aggregated rows (dates x 5 labels), not a
-    second pass over the trips.
+    grand total is a scalar subquery (a count with map-side partial
+    aggregation, one value handed to every task), never a window that
+    gathers all groups into one partition; the per-date total is a window
+    partitioned by date over the aggregated rows (five labels per date).
     """
-    w = Window.partitionBy(within) if within else Window.partitionBy()
-    return (trips.groupBy("pickup_date", "payment_label").agg(
+    daily = trips.groupBy("pickup_date", "payment_label").agg(
         F.count(F.lit(1)).alias("trips"),
         avg_ratio("tip_pct", 2).alias("avg_tip_pct"))
-        .withColumn("pct_of_total", pct("trips", F.sum("trips").over(w), 1)))
+    if within:
+        total = F.sum("trips").over(Window.partitionBy(within))
+    else:
+        total = trips.agg(F.count(F.lit(1))).scalar()
+    return daily.withColumn("pct_of_total", pct("trips", total, 1))
 
 
 def location_aggregates_batch(trips: DataFrame) -> DataFrame:

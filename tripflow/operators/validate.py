@@ -11,9 +11,10 @@ Shape of the work, whatever the number of checks:
 * per column with allowed values: distinct unexpected values, sorted,
   first ten (a bounded top-k, never an unbounded ``collect_set``).
 
-The one-row results are joined (1 x 1 rows) and turned into finding rows
-with ``inline``: nothing but metadata (column names) is decided on the
-driver.  Messages follow the reference report texts.
+The duplicate and allowed-value results enter the one metrics row as
+scalar subqueries (no joins), and the row is turned into finding rows with
+``inline``: nothing but metadata (column names) is decided on the driver.
+Messages follow the reference report texts.
 """
 
 from __future__ import annotations
@@ -133,10 +134,8 @@ def duplicate_rows(df: DataFrame, max_candidates: int = MAX_CANDIDATE_HASHES) ->
         dups = _exact_duplicates(candidates)
     else:
         dups = _exact_duplicates(df)
-    total = df.agg(F.count(F.lit(1)).alias("_rows"))
-    return (dups.crossJoin(total)
-            .select("duplicate_rows",
-                    (F.col("_rows") - F.col("duplicate_rows")).alias("distinct_rows")))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return dups.select("duplicate_rows", (total - F.col("duplicate_rows")).alias("distinct_rows"))
 
 
 def unexpected_values(df: DataFrame, spec: ColumnSpec, k: int = 10) -> DataFrame:
@@ -172,9 +171,12 @@ def validate(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     missing = sorted(set(contract.column_names) - set(df.columns))
     allowed = [c for c in present if c.allowed_values]
 
-    m = metrics(df, contract).crossJoin(duplicate_rows(df))
+    extra = {"duplicate_rows": duplicate_rows(df).select("duplicate_rows").scalar()}
     for spec in allowed:
-        m = m.crossJoin(unexpected_values(df, spec))
+        top = unexpected_values(df, spec)
+        for c in top.columns:
+            extra[c] = top.select(c).scalar()
+    m = metrics(df, contract).withColumns(extra)
     n = F.col("n_rows")
     col = F.col
     found: list[Column] = []
@@ -281,7 +283,9 @@ def allowed_values(df: DataFrame, contract: Contract = TRIP_CONTRACT, k: int = 1
 
 def duplicate_fraction(df: DataFrame) -> DataFrame:
     """H7 metrics: rows, distinct rows, duplicate fraction."""
-    return (df.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(duplicate_rows(df))
+    dups = duplicate_rows(df)
+    return (df.agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumns({c: dups.select(c).scalar() for c in ("distinct_rows", "duplicate_rows")})
             .select("n_rows", "distinct_rows", "duplicate_rows",
                     (F.col("duplicate_rows").cast("double") / F.nullif(F.col("n_rows"), F.lit(0)))
                     .alias("duplicate_fraction")))
@@ -296,26 +300,33 @@ def quality_rules(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFram
     return m.select(F.inline(F.array(*rows)))
 
 
-def summary(findings: DataFrame, dataset: str, contract: Contract = TRIP_CONTRACT) -> DataFrame:
-    """Status and counts (one row)."""
+SUMMARY_FIELDS = ["status", "error_count", "warning_count", "dataset", "schema_version"]
+
+
+def _summarise(findings: DataFrame, dataset: str, contract: Contract, *more: Column) -> DataFrame:
     errors = F.count_if(F.col("severity") == ERROR)
     warnings = F.count_if(F.col("severity") == WARNING)
-    return (findings.agg(errors.alias("error_count"), warnings.alias("warning_count"))
-            .select(F.when(F.col("error_count") > 0, "FAILED")
-                    .when(F.col("warning_count") > 0, "WARNED")
-                    .otherwise("PASSED").alias("status"),
-                    "error_count", "warning_count",
-                    F.lit(dataset).alias("dataset"),
-                    F.lit(contract.version).alias("schema_version")))
+    return (findings.agg(errors.alias("error_count"), warnings.alias("warning_count"), *more)
+            .withColumns({
+                "status": F.when(F.col("error_count") > 0, "FAILED")
+                .when(F.col("warning_count") > 0, "WARNED").otherwise("PASSED"),
+                "dataset": F.lit(dataset),
+                "schema_version": F.lit(contract.version)}))
+
+
+def summary(findings: DataFrame, dataset: str, contract: Contract = TRIP_CONTRACT) -> DataFrame:
+    """Status and counts (one row)."""
+    return _summarise(findings, dataset, contract).select(*SUMMARY_FIELDS)
 
 
 def report(findings: DataFrame, dataset: str, contract: Contract = TRIP_CONTRACT) -> DataFrame:
-    """The whole report as one row (findings nested, bounded in number)."""
+    """The whole report as one row, from one aggregate over the
+    findings (their number is bounded by the contract, not by the data)."""
     f = F.struct("check", "column", "message", "violation_count", "null_fraction")
-    nested = findings.agg(
-        F.collect_list(F.when(F.col("severity") == ERROR, f)).alias("errors"),
-        F.collect_list(F.when(F.col("severity") == WARNING, f)).alias("warnings"))
-    return (summary(findings, dataset, contract).crossJoin(nested)
+    return (_summarise(findings, dataset, contract,
+                       F.collect_list(F.when(F.col("severity") == ERROR, f)).alias("errors"),
+                       F.collect_list(F.when(F.col("severity") == WARNING, f)).alias("warnings"))
+            .select(*SUMMARY_FIELDS, "errors", "warnings")
             .withColumn("validated_at", F.localtimestamp()))
 
 

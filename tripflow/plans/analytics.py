@@ -1,9 +1,10 @@
 """Business queries over the analytics tables.
 
 The seven report queries read the daily facts (already aggregated, so they
-are small), the four run queries read the trips table.  Shares use an
-unpartitioned window over *aggregated* rows only (at most 24 hours or five
-labels), never over trips.  Top-k queries end in ``orderBy().limit()``,
+are small), the four run queries read the trips table.  A share divides by
+a grand total that is a scalar subquery (a distributed partial/final
+aggregate, one value handed to every task), so no step gathers rows into
+one partition and nothing is cross-joined.  Top-k queries end in ``orderBy().limit()``,
 which Spark runs as a per-partition top-k plus a final merge
 (TakeOrderedAndProject), not a global sort.  Ties at the cut are broken by
 the grouping columns so the result is deterministic.
@@ -11,7 +12,7 @@ the grouping columns so the result is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.contract import ANOMALY_SIGMAS
@@ -33,19 +34,21 @@ def top_zones(agg_by_zone: DataFrame, k: int = 10) -> DataFrame:
 
 def hourly_heatmap(agg_by_hour: DataFrame) -> DataFrame:
     """Trips per hour and their share of all trips (1 decimal)."""
+    total = agg_by_hour.agg(F.sum("trip_count")).scalar()
     return (agg_by_hour.groupBy("pickup_hour", "time_of_day").agg(
         F.sum("trip_count").alias("trips"),
         avg_fixed("avg_fare", 2, 2).alias("avg_fare"))
-        .withColumn("pct_of_daily_trips", pct("trips", F.sum("trips").over(Window.partitionBy()), 1))
+        .withColumn("pct_of_daily_trips", pct("trips", total, 1))
         .orderBy("pickup_hour"))
 
 
 def payment_share(agg_payment: DataFrame) -> DataFrame:
     """Trips per payment label and market share."""
+    total = agg_payment.agg(F.sum("trips")).scalar()
     return (agg_payment.groupBy("payment_label").agg(
         F.sum("trips").alias("total_trips"),
         avg_fixed("avg_tip_pct", 2, 2).alias("avg_tip_pct"))
-        .withColumn("market_share_pct", pct("total_trips", F.sum("total_trips").over(Window.partitionBy()), 1))
+        .withColumn("market_share_pct", pct("total_trips", total, 1))
         .orderBy(F.desc("total_trips"), "payment_label"))
 
 
@@ -92,18 +95,17 @@ def fare_anomalies(trips: DataFrame, k: int = 20, sigmas: float = ANOMALY_SIGMAS
     """Trips whose fare lies more than ``sigmas`` standard deviations
     above the mean, highest fares first.
 
-    The one-row statistics are joined to every trip; a one-row side is a
-    proven-small broadcast (nested-loop join with no shuffle of the trips).
+    The statistics are scalar subqueries (one aggregate job; Catalyst merges
+    the two into one), so the trips are filtered in place: no join, no
+    shuffle of the trips before the per-partition top-k.
     """
-    stats = F.broadcast(fare_stats(trips))
+    stats = fare_stats(trips)
+    mean, std = stats.select("mean_fare").scalar(), stats.select("std_fare").scalar()
     fare = F.col("fare_amount")
     out = (trips.select("tpep_pickup_datetime", "pickup_zone", "dropoff_zone", "trip_distance",
                         "fare_amount", "total_amount")
-           .crossJoin(stats)
-           .where(fare > F.col("mean_fare") + sigmas * F.col("std_fare"))
-           .withColumn("z_score", round_half_up(
-               (fare - F.col("mean_fare")) / F.col("std_fare"), 2))
-           .drop("mean_fare", "std_fare"))
+           .where(fare > mean + sigmas * std)
+           .withColumn("z_score", round_half_up((fare - mean) / std, 2)))
     return out.orderBy(F.desc("fare_amount"), "tpep_pickup_datetime",
                        F.asc_nulls_last("pickup_zone"), F.asc_nulls_last("dropoff_zone"),
                        "trip_distance", "total_amount").limit(k)

@@ -158,13 +158,13 @@ def analytics(spark: SparkSession, layout: Layout, run_date: str) -> dict[str, D
 
 
 def run_summary(spark: SparkSession, layout: Layout, run_date: str) -> DataFrame:
-    """The final record of a run: its latest audit row joined (1 x 1)
-    with the rows loaded for its date (a partition-pruned count)."""
+    """The final record of a run: its latest audit row plus the rows
+    loaded for its date (a partition-pruned count, as a scalar subquery)."""
     run_id = f"run_{run_date.replace('-', '')}"
     latest = aud.audit_latest(spark.read.parquet(layout.path("pipeline_runs"))) \
         .where(F.col("run_id") == run_id)
     loaded = tbl.load_counts(spark.read.parquet(layout.path("taxi_trips")), run_date)
-    return latest.crossJoin(loaded.select("loaded_rows"))
+    return latest.withColumn("loaded_rows", loaded.select("loaded_rows").scalar())
 
 
 def run_batch_profile(spark: SparkSession, staged: DataFrame, out_root: str) -> DataFrame:

@@ -199,15 +199,18 @@ def _fresh_dates(spark, d):
 def _run_summary(spark, d):
     raw = raw_trips(spark, d)
     clean = clean_trips(spark, d, STRICT)
-    status = val.summary(val.validate(raw), DATASET).select(
-        F.col("status").alias("validation_status"),
-        F.col("warning_count").alias("validation_warnings"))
-    return (raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-            .crossJoin(clean.agg(F.count(F.lit(1)).alias("clean_rows"),
-                                 avg_fixed("fare_amount", 2, 2).alias("avg_fare")))
-            .crossJoin(status)
-            .crossJoin(tbl.load_counts(_reloaded(spark, d), PINNED_DAY)
-                       .select(F.col("loaded_rows"))))
+    status = val.summary(val.validate(raw), DATASET)
+    cleaned = clean.agg(F.count(F.lit(1)).alias("clean_rows"),
+                        avg_fixed("fare_amount", 2, 2).alias("avg_fare"))
+    loaded = tbl.load_counts(_reloaded(spark, d), PINNED_DAY)
+    # each step's metric is a scalar subquery of that step's own plan
+    return raw.agg(F.count(F.lit(1)).alias("raw_rows")).select(
+        "raw_rows",
+        cleaned.select("clean_rows").scalar().alias("clean_rows"),
+        cleaned.select("avg_fare").scalar().alias("avg_fare"),
+        status.select("status").scalar().alias("validation_status"),
+        status.select("warning_count").scalar().alias("validation_warnings"),
+        loaded.select("loaded_rows").scalar().alias("loaded_rows"))
 
 
 _MORE: dict[str, Query] = {
