@@ -9,6 +9,7 @@ construction.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -96,16 +97,20 @@ def reject_reason_counts(dead: DataFrame) -> DataFrame:
             .groupBy("reason").agg(F.count(F.lit(1)).alias("rejected_rows")))
 
 
-def filter_stats(df: DataFrame, profile: str = STRICT) -> DataFrame:
-    """Rows before/after the filter and removed % (1 decimal) in one pass."""
-    before = F.count(F.lit(1))
-    after = F.count_if(is_clean(profile))
-    return (df.agg(before.alias("rows_before"), after.alias("rows_after"))
+def filter_stats(df: DataFrame, profile: str | Sequence[str] = STRICT) -> DataFrame:
+    """Rows before/after the filter and removed % (1 decimal), one row
+    per profile, all profiles from one aggregate (one pass)."""
+    profiles = [profile] if isinstance(profile, str) else list(profile)
+    m = df.agg(F.count(F.lit(1)).alias("rows_before"),
+               *[F.count_if(is_clean(p)).alias(f"after__{p}") for p in profiles])
+    per_profile = F.array(*[F.struct(F.lit(p).alias("profile"),
+                                     F.col(f"after__{p}").alias("rows_after"))
+                            for p in profiles])
+    return (m.select("rows_before", F.inline(per_profile))
             .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
             .withColumn("removed_pct",
                         pct("rows_removed", F.greatest(F.col("rows_before"), F.lit(1)), 1))
-            .select(F.lit(profile).alias("profile"), "rows_before", "rows_after",
-                    "rows_removed", "removed_pct"))
+            .select("profile", "rows_before", "rows_after", "rows_removed", "removed_pct"))
 
 
 def row_gate(df: DataFrame, min_rows: int = 100) -> bool:

@@ -10,6 +10,8 @@ that filters a typed date reads one directory.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,13 +73,14 @@ def reload(existing: DataFrame, batch: DataFrame, run_date: str,
     return keep.unionByName(batch.select(*existing.columns))
 
 
-def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, run_date: str,
-                      date_col: str = DATE_COL) -> tuple[int, list]:
-    """F1, file sink: dynamic partition overwrite of the batch's dates; the
+def reload_partitions(spark: SparkSession, batch: DataFrame, path: str,
+                      run_date: str | Sequence[str], date_col: str = DATE_COL) -> tuple[int, list]:
+    """F1, file sink: dynamic partition overwrite of the batch's dates; a
     run date's partition is removed when the batch has no row for it.
 
     One job: the write itself reports its row count and its distinct dates
     (``observe``; the date set is as small as the number of days written).
+    ``run_date`` is one date or several (a micro-batch of landed files).
     Returns ``(rows, dates)``.
     """
     obs = Observation("reload_stats")
@@ -87,11 +90,20 @@ def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, run_date
      .partitionBy(date_col).parquet(path))
     stats = obs.get
     dates = list(stats.get("dates") or [])
-    if run_date not in {str(d) for d in dates}:
-        _delete(spark, f"{path}/{date_col}={run_date}")
+    clear_missing(spark, path, run_date, dates, date_col)
     return int(stats.get("rows") or 0), dates
 
 
+def clear_missing(spark: SparkSession, path: str, run_dates: str | Sequence[str],
+                  written: Sequence, date_col: str = DATE_COL) -> None:
+    """Remove the partition of every run date the batch wrote no row for
+    (the DELETE half of the reload for an empty day)."""
+    have = {str(d) for d in written}
+    for d in [run_dates] if isinstance(run_dates, str) else run_dates:
+        if str(d) not in have:
+            _delete(spark, f"{path}/{date_col}={d}")
+
+
 def load_counts(table: DataFrame, run_date: str, date_col: str = DATE_COL) -> DataFrame:
     """rows of the run date and rows in total, one pass."""
     return table.agg(

@@ -67,8 +67,7 @@ def _zone_lookup(spark, d):
 
 
 def _filter_stats(spark, d):
-    raw = raw_trips(spark, d)
-    return filter_stats(raw, STRICT).unionByName(filter_stats(raw, BATCH))
+    return filter_stats(raw_trips(spark, d), (STRICT, BATCH))
 
 
 def _features(profile):

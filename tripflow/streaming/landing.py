@@ -15,7 +15,7 @@ set ``maxFilesPerTrigger``: a micro-batch then holds whole run dates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,16 +32,23 @@ LANDED_SCHEMA = T.StructType(list(RAW_TEXT_SCHEMA.fields)
 
 def process_batch(spark: SparkSession, layout: Layout, zones: DataFrame | None,
                   text: DataFrame, batch_id: int) -> None:
-    """Load every run date of one micro-batch (dates are few: files landed)."""
-    run_dates = sorted(r[0] for r in text.select("run_date").distinct().collect())
-    for run_date in run_dates:
-        day = cast_trips_lenient(text.where(F.col("run_date") == run_date))
-        trips = transform(split_clean_dead(day, STRICT)[0], zones)
-        _, dates = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"), run_date)
-        loaded = spark.read.parquet(layout.path("taxi_trips")).where(
-            F.col("pickup_date").isin(dates))
-        for name, fact in build_facts(loaded).items():
-            tbl.reload_partitions(spark, fact, layout.path(name), run_date)
+    """Load all run dates of one micro-batch in one pass.
+
+    The trips of every landed file go through one plan and one dynamic
+    partition overwrite; the run dates the batch holds are observed by that
+    same write (a handful: one per landed file), so a run date whose file
+    has no clean row still has its old partition cleared afterwards.
+    """
+    obs = Observation(f"landed_run_dates_{batch_id}")
+    landed = text.observe(obs, F.array_sort(F.collect_set("run_date")).alias("run_dates"))
+    trips = transform(split_clean_dead(cast_trips_lenient(landed), STRICT)[0], zones)
+    _, dates = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"), ())
+    run_dates = list(obs.get.get("run_dates") or [])
+    tbl.clear_missing(spark, layout.path("taxi_trips"), run_dates, dates)
+    loaded = spark.read.parquet(layout.path("taxi_trips")).where(
+        F.col("pickup_date").isin(dates))
+    for name, fact in build_facts(loaded).items():
+        tbl.reload_partitions(spark, fact, layout.path(name), run_dates)
 
 
 def start(spark: SparkSession, layout: Layout, checkpoint: str,
