@@ -122,13 +122,18 @@ def duplicate_rows(df: DataFrame, max_candidates: int = MAX_CANDIDATE_HASHES) ->
     broadcast semi-join against the repeated hashes once their number is
     proven below ``max_candidates``.  Past that bound the full-row grouping
     runs on everything.
+
+    The repeated hashes are checkpointed (written once to the session's
+    ``spark.checkpoint.dir``): the size check and the broadcast both read
+    that copy, so pass 1 runs once, and a lost executor does not recompute
+    it.
     """
     from tripflow.operators.zones import fits_broadcast
 
     cols = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*cols))
     repeated = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select("_h"))
+                .where(F.col("_n") > 1).select("_h")).checkpoint(eager=True)
     if fits_broadcast(repeated, max_candidates):
         candidates = hashed.join(F.broadcast(repeated), "_h", "left_semi").drop("_h")
         dups = _exact_duplicates(candidates)
