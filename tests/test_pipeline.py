@@ -41,6 +41,16 @@ def test_daily_run_is_idempotent(spark, sf0001, tmp_path):
     assert runs.count() == 2
     dead = spark.read.parquet(layout.path("dead_letter"))
     assert dead.count() + n == m1["raw_row_count"]
+    # the same tables answer SQL by name
+    assert set(pipeline.register_views(spark, layout)) == set(pipeline.TABLES)
+    by_sql = spark.sql(
+        "SELECT pickup_borough, SUM(total_trips) AS total_trips FROM agg_by_zone "
+        "WHERE pickup_borough IS NOT NULL GROUP BY pickup_borough").collect()
+    board = pipeline.analytics(spark, layout, RUN)["borough_leaderboard"].collect()
+    assert {(r.pickup_borough, r.total_trips) for r in by_sql} == \
+        {(r.pickup_borough, r.total_trips) for r in board}
+    day = spark.sql(f"SELECT COUNT(*) AS n FROM taxi_trips WHERE pickup_date = DATE'{RUN}'")
+    assert day.first().n == m1["loaded_rows"]
 
 
 def test_synthetic_fallback_without_zones(spark, tmp_path):

@@ -136,6 +136,23 @@ def run(spark: SparkSession, run_date: str, layout: Layout, source_path: str | N
         aud.append_audit(rec, layout.path("pipeline_runs"))
 
 
+TABLES = ("taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment", "pipeline_runs",
+          "dead_letter")
+
+
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """A10: the written tables as session views under their table names, so
+    report SQL written against ``taxi_trips``, ``agg_by_zone``, ... runs as is
+    in ``spark.sql`` (Parquet scans, with pruning and pushdown as for the
+    DataFrame API).  Tables not written yet are skipped; returns the names."""
+    names = []
+    for name in TABLES:
+        if tbl._exists(spark, layout.path(name)):
+            spark.read.parquet(layout.path(name)).createOrReplaceTempView(name)
+            names.append(name)
+    return names
+
+
 def analytics(spark: SparkSession, layout: Layout, run_date: str) -> dict[str, DataFrame]:
     """The report queries over the loaded tables (lazy DataFrames)."""
     trips = spark.read.parquet(layout.path("taxi_trips"))
