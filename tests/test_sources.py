@@ -108,3 +108,14 @@ def test_zone_lookup_csv_dedupe_and_fallback(spark, sf0001, tmp_path):
     assert joined.count() == 6000
     fb = zone_fallback(raw_trips(spark, sf0001)).first()
     assert fb.pickup_zone == "unknown" and fb.pickup_borough is None
+
+
+def test_synthetic_ids_near_the_bigint_limit(spark):
+    """Ids enter the generator reduced mod the prime: no ANSI overflow, and
+    an id and the same id plus a multiple of the prime give the same row."""
+    from tripflow.sources.synthetic import PRIME
+    small = spark.range(5).select((F.col("id") + 17).alias("id"))
+    big = small.select((F.col("id") + F.lit(PRIME * 4_000_000_000)).alias("id"))
+    a = synthetic_trips(small, "2024-01-15").collect()
+    b = synthetic_trips(big, "2024-01-15").collect()
+    assert a == b

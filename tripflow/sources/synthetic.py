@@ -33,10 +33,15 @@ LOCATIONS = (1, 265)
 
 
 def uniform(idc: Column, salt: int) -> Column:
-    """A deterministic uniform in [0, 1) from the id and a salt."""
-    x = (idc * 48271 + salt * 69621 + 12345) % PRIME
+    """A deterministic uniform in [0, 1) from the id and a salt.
+
+    All arithmetic is modulo PRIME, so the id enters reduced: the same
+    values, and no bigint overflow (ANSI mode raises) for any id.
+    """
+    idm = idc % PRIME
+    x = (idm * 48271 + salt * 69621 + 12345) % PRIME
     for i in range(3):
-        x = (x * x + idc + (7 + i)) % PRIME
+        x = (x * x + idm + (7 + i)) % PRIME
     return x / float(PRIME)
 
 
