@@ -20,7 +20,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.session import ensure_checkpoint_dir
 
@@ -57,14 +56,15 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
            partition_by: list[str] | None = None, cluster_by: list[str] | None = None) -> DataFrame:
     """``build()`` written once per input version, then read back.
 
-    A partitioned table is range-partitioned on ``partition_by + cluster_by``
-    first: every task writes a contiguous slice (a few files per date instead
-    of one per task and date), and a hot date is split over several tasks by
-    the clustering column instead of landing in one.  The row's position in
-    its input split is the last range key: even a third of all rows sharing
-    one date and one clustering value (or being exact copies) spreads over
-    many tasks.  The position depends only on the input splits, so a retried
-    task computes the same keys.
+    A partitioned table is shuffled with the ``REBALANCE`` hint on its
+    partition columns: AQE sizes the write tasks at run time, coalescing
+    small dates and splitting a hot date along map-output blocks into
+    advisory-size pieces (even when a third of all rows share one date, or
+    are exact copies), so each date is written as a few files of a useful
+    size, never by one task.  No sampling pass over the input is needed (as
+    range partitioning would).  Within a task rows are sorted by
+    ``partition_by + cluster_by`` (a local sort), so each file covers a
+    narrow time range and row-group statistics prune time filters.
     """
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/tripflow-staged/{name}-{input_signature(spark, inputs)}"
@@ -72,8 +72,8 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
     if not fs.exists(final):
         df = build()
         if partition_by:
-            df = df.repartitionByRange(*partition_by, *(cluster_by or []),
-                                       F.monotonically_increasing_id())
+            df = (df.hint("rebalance", *partition_by)
+                  .sortWithinPartitions(*partition_by, *(cluster_by or [])))
         # static: a full rewrite of a private directory (dynamic partition
         # overwrite is the session default for reloads)
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
