@@ -102,6 +102,8 @@ def test_report_sink(spark, sf0001, tmp_path):
     back = spark.read.json(str(tmp_path / "report")).first()
     assert back.status == "WARNED" and back.schema_version == "1.0"
     assert len(back.warnings) == back.warning_count and back.errors == []
+    assert back.report_path == str(tmp_path / "report") and back.dataset == "trips"
+    assert back.validated_at is not None
 
 
 def test_duplicate_count_paths_agree(spark, sf0001):

@@ -331,13 +331,16 @@ def report(findings: DataFrame, dataset: str, contract: Contract = TRIP_CONTRACT
     return (_summarise(findings, dataset, contract,
                        F.collect_list(F.when(F.col("severity") == ERROR, f)).alias("errors"),
                        F.collect_list(F.when(F.col("severity") == WARNING, f)).alias("warnings"))
-            .select(*SUMMARY_FIELDS, "errors", "warnings")
-            .withColumn("validated_at", F.localtimestamp()))
+            .select("status", "error_count", "warning_count", "errors", "warnings",
+                    F.lit(None).cast("string").alias("report_path"), "dataset",
+                    "schema_version", F.localtimestamp().alias("validated_at")))
 
 
 def write_report(report_df: DataFrame, path: str) -> None:
-    """One JSON document per validation run."""
-    report_df.coalesce(1).write.mode("overwrite").json(path)
+    """One JSON document per validation run; ``report_path`` records
+    where it was written.  The report is one row, so one small file."""
+    (report_df.withColumn("report_path", F.lit(path))
+     .coalesce(1).write.mode("overwrite").json(path))
 
 
 class ValidationFailed(ValueError):
