@@ -23,6 +23,12 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it is proven to hold at most
+    ``max_rows`` rows; otherwise unchanged (Spark then shuffles both sides)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
 def parse_zone_lookup(text: DataFrame) -> DataFrame:
     """Raw ``LocationID, Borough, Zone`` strings -> typed lookup."""
     return text.select(
@@ -59,9 +65,8 @@ def join_zones(trips: DataFrame, zones: DataFrame, dedupe: bool = False,
     """
     if dedupe:
         zones = unique_zones(zones)
-    dim = zones.select("location_id", "zone_name", "borough")
-    if fits_broadcast(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
+    dim = broadcast_if_small(zones.select("location_id", "zone_name", "borough"),
+                             max_broadcast_rows)
     pz, dz = dim.alias("pz"), dim.alias("dz")
     t = trips.alias("t")
     return (t.join(pz, F.col("t.pickup_location_id") == F.col("pz.location_id"), "left")
