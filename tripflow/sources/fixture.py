@@ -82,19 +82,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer partitions than the cluster
-    has cores (one file with one row group) before per-row work.  A large
-    input already scans as many splits and is left alone (no shuffle)."""
+def spread(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Spread an input that scans as fewer partitions than the cluster has
+    cores (one file with one row group) before per-row work, so the work and
+    the staged table it feeds are split over all cores.  A large input
+    already scans as many splits and is left alone (no shuffle).
+
+    With ``keys`` (a unique key of the input) the spread is a hash
+    partitioning on them; without, round-robin, which Spark makes
+    retry-safe by sorting every input partition first (measured 1.7 s
+    against 1.05 s for the hash spread of 600 000 line items).
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *keys)
     return df
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Raw typed trips, one per line item (narrow projection)."""
-    step0 = spread(lineitem.select(*LINEITEM_COLUMNS)).selectExpr(
+    step0 = spread(lineitem.select(*LINEITEM_COLUMNS),
+                   keys=("l_orderkey", "l_linenumber")).selectExpr(
         *[f"{e} AS {n}" for n, e in TRIPS0_EXPRS])
     return step0.selectExpr(*[f"{_render(e, _SPARK_TOKENS)} AS {n}" for n, e in TRIPS_EXPRS])
 
