@@ -52,3 +52,14 @@ def test_trips_scan_is_pruned(spark, key, cols):
 def test_run_date_query_reads_one_partition(spark):
     plan = physical_plan(entry.queries()["health_for_date"](spark, SF))
     assert re.search(r"PartitionFilters: \[[^\]]*pickup_date", plan)
+
+
+def test_zone_dimension_is_broadcast_once(spark):
+    """Both role-playing joins use one dimension plan: after execution the
+    second broadcast is a reused exchange, and no join shuffles the trips."""
+    df = entry.queries()["zone_join"](spark, SF)
+    df.collect()
+    plan = physical_plan(df)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "BroadcastHashJoin" in final
+    assert "SortMergeJoin" not in final
