@@ -63,3 +63,21 @@ def test_zone_dimension_is_broadcast_once(spark):
     final = plan.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "BroadcastHashJoin" in final
     assert "SortMergeJoin" not in final
+
+
+def test_strict_filter_reaches_the_scan(spark):
+    """The strict profile's range, IN and NOT NULL predicates are Parquet
+    pushed filters on the staged raw table (row groups can be skipped)."""
+    key = "spark.sql.maxMetadataStringLength"  # explain truncates long lists
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4000")
+    try:
+        plan = physical_plan(entry.queries()["filter_strict"](spark, SF))
+    finally:
+        spark.conf.set(key, old)
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
+    for f in ("GreaterThanOrEqual(trip_distance,0.01)", "LessThanOrEqual(trip_distance,500.0)",
+              "GreaterThanOrEqual(fare_amount,0.0)", "LessThanOrEqual(fare_amount,1000.0)",
+              "GreaterThanOrEqual(total_amount,0.0)", "In(vendor_id, [1,2])",
+              "IsNotNull(tpep_dropoff_datetime)"):
+        assert f in pushed, f
