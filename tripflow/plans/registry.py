@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.contract import BATCH, PINNED_DAY, STRICT
+from tripflow.functions.exact import avg_fixed
 from tripflow.operators import aggregates as agg
-from tripflow.operators.clean import filter_rows, filter_stats, row_gate_by_date
+from tripflow.operators import audit as aud
+from tripflow.operators import tables as tbl
+from tripflow.operators import validate as val
+from tripflow.operators.clean import (filter_stats, is_clean, reject_reason_counts,
+                                      row_gate_by_date, split_clean_dead)
 from tripflow.operators.enrich import derive_features
 from tripflow.operators.zones import parse_zone_lookup, zone_fallback
 from tripflow.plans import analytics as an
@@ -140,12 +145,6 @@ def _core_queries() -> dict[str, Query]:
 
 # ---- validation, dead letters, reload, audit, run summary ----
 
-from tripflow.operators import audit as aud  # noqa: E402
-from tripflow.operators import tables as tbl  # noqa: E402
-from tripflow.operators import validate as val  # noqa: E402
-from tripflow.operators.clean import is_clean, reject_reason_counts, split_clean_dead  # noqa: E402
-from tripflow.functions.exact import avg_fixed  # noqa: E402
-
 DATASET = "trips"
 
 
