@@ -10,6 +10,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Fixed when the session starts: no web UI server, no console progress bar.
+STARTUP = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -17,8 +23,6 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; past
     # that size a fused stage is better split (Spark docs recommend 8000).
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -27,15 +31,24 @@ DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tripflow", extra: dict | None = None) -> SparkSession:
+    """The session with the package defaults filled in.
+
+    A setting the cluster launched with (``spark-defaults.conf``,
+    ``--conf``) wins over ``DEFAULTS``; ``shuffle_partitions`` and ``extra``
+    are explicit choices of the caller and always apply.
+    """
+    explicit = dict(extra or {})
+    if shuffle_partitions:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in {**STARTUP, **explicit}.items():
         builder = builder.config(k, v)
+    launched = builder.getOrCreate().sparkContext.getConf()
+    for k, v in DEFAULTS.items():
+        if k not in explicit and not launched.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
