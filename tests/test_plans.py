@@ -81,3 +81,40 @@ def test_strict_filter_reaches_the_scan(spark):
               "GreaterThanOrEqual(total_amount,0.0)", "In(vendor_id, [1,2])",
               "IsNotNull(tpep_dropoff_datetime)"):
         assert f in pushed, f
+
+
+def test_hot_location_splits_in_the_shuffled_zone_join(spark):
+    """Past the broadcast bound the zone joins are sort-merge joins; a pickup
+    id holding a third of all trips is split over several tasks by AQE's
+    skew join, and the result equals the broadcast path."""
+    from pyspark.sql import functions as F
+
+    from tripflow.operators.zones import join_zones
+    from tripflow.plans.trips import raw_trips, zones
+
+    trips = raw_trips(spark, SF)
+    hot = trips.withColumn("pickup_location_id", F.when(
+        F.xxhash64("tpep_pickup_datetime", "fare_amount") % 3 == 0, F.lit(1))
+        .otherwise(F.col("pickup_location_id")))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        shuffled = join_zones(hot, zones(spark, SF), max_broadcast_rows=0)
+        rows = shuffled.collect()
+        final = physical_plan(shuffled).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in final and "skew=true" in final
+    expect = join_zones(hot, zones(spark, SF)).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, expect))
