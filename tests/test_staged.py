@@ -36,3 +36,26 @@ def test_spread_only_narrow_inputs(spark):
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism * 2)
     assert spread(wide).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_staged_write_splits_a_hot_date(spark, tmp_path):
+    """A date holding a third of all rows is written by several tasks (AQE
+    splits the rebalanced partition), and no row is lost or repeated."""
+    src = str(tmp_path / "hot")
+    (spark.range(0, 90000, 1, 8)
+     .withColumn("d", F.expr("CASE WHEN id % 3 = 0 THEN DATE'2024-01-15' "
+                             "ELSE date_add(DATE'2024-01-01', CAST(id % 10 AS INT)) END"))
+     .withColumn("pad", F.sha2(F.col("id").cast("string"), 256))
+     .write.parquet(src))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        out = stg.staged(spark, f"t_hot_{os.getpid()}_{id(tmp_path)}",
+                         lambda: spark.read.parquet(src), [src], partition_by=["d"],
+                         cluster_by=["id"])
+    finally:
+        spark.conf.set(key, old)
+    hot_files = [f for f in out.inputFiles() if "d=2024-01-15" in f]
+    assert len(hot_files) > 1
+    assert out.count() == 90000 and out.select("id").distinct().count() == 90000
