@@ -59,3 +59,22 @@ def test_staged_write_splits_a_hot_date(spark, tmp_path):
     hot_files = [f for f in out.inputFiles() if "d=2024-01-15" in f]
     assert len(hot_files) > 1
     assert out.count() == 90000 and out.select("id").distinct().count() == 90000
+
+
+def test_version_tag_replaces_the_listing(spark, tmp_path):
+    """With a version tag the signature ignores the files; a new tag (a new
+    input snapshot) builds a new table."""
+    src = str(tmp_path / "v")
+    spark.range(10).write.parquet(src)
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(src)
+
+    name = f"t_ver_{os.getpid()}_{id(tmp_path)}"
+    stg.staged(spark, name, build, [src], version="snap-1")
+    spark.range(20).write.mode("append").parquet(src)
+    assert stg.staged(spark, name, build, [src], version="snap-1").count() == 10
+    assert stg.staged(spark, name, build, [src], version="snap-2").count() == 30
+    assert len(calls) == 2

@@ -42,8 +42,14 @@ def code_version() -> str:
     return h.hexdigest()
 
 
-def input_signature(spark: SparkSession, paths: list[str]) -> str:
+def input_signature(spark: SparkSession, paths: list[str], version: str | None = None) -> str:
+    """Code version plus either the caller's version tag of the inputs or,
+    without one, each input's size and modification time (a recursive
+    listing: one call on HDFS, a full listing on an object store, so a
+    caller with millions of input files passes ``version``)."""
     parts = [code_version()]
+    if version is not None:
+        return hashlib.sha1("\n".join(parts + [f"version|{version}"]).encode()).hexdigest()[:16]
     for p in paths:
         fs, hpath = _fs(spark, p)
         st = fs.getFileStatus(hpath)
@@ -53,7 +59,8 @@ def input_signature(spark: SparkSession, paths: list[str]) -> str:
 
 
 def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
-           partition_by: list[str] | None = None, cluster_by: list[str] | None = None) -> DataFrame:
+           partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
+           version: str | None = None) -> DataFrame:
     """``build()`` written once per input version, then read back.
 
     A partitioned table is shuffled with the ``REBALANCE`` hint on its
@@ -67,7 +74,7 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
     narrow time range and row-group statistics prune time filters.
     """
     root = ensure_checkpoint_dir(spark)
-    path = f"{root}/tripflow-staged/{name}-{input_signature(spark, inputs)}"
+    path = f"{root}/tripflow-staged/{name}-{input_signature(spark, inputs, version)}"
     fs, final = _fs(spark, path)
     if not fs.exists(final):
         df = build()
