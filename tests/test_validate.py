@@ -115,3 +115,19 @@ def test_duplicate_count_paths_agree(spark, sf0001):
     assert fast == full
     assert fast.duplicate_rows + fast.distinct_rows == variant.count()
     assert fast.distinct_rows == trips.distinct().count()
+
+
+def test_duplicate_count_with_a_hot_group_of_copies(spark, sf0001):
+    """A third of all rows are copies of one row: both paths count them
+    exactly (partial aggregation combines the copies before the shuffle)."""
+    trips = raw_trips(spark, sf0001)
+    n = trips.count()
+    one = trips.orderBy("tpep_pickup_datetime", "fare_amount", "pickup_location_id").limit(1)
+    copies = one.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n // 2)))).drop("_k")
+    hot = trips.unionAll(copies)
+    fast = val.duplicate_rows(hot).first()
+    full = val.duplicate_rows(hot, max_candidates=0).first()
+    base = val.duplicate_rows(trips).first()
+    assert fast == full
+    assert fast.duplicate_rows == base.duplicate_rows + n // 2
+    assert fast.distinct_rows == base.distinct_rows
