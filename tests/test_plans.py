@@ -83,10 +83,11 @@ def test_strict_filter_reaches_the_scan(spark):
         assert f in pushed, f
 
 
-def test_hot_location_splits_in_the_shuffled_zone_join(spark):
+@pytest.mark.parametrize("hot_id", [1, None])
+def test_hot_location_splits_in_the_shuffled_zone_join(spark, hot_id):
     """Past the broadcast bound the zone joins are sort-merge joins; a pickup
-    id holding a third of all trips is split over several tasks by AQE's
-    skew join, and the result equals the broadcast path."""
+    id (or NULL) holding a third of all trips is split over several tasks by
+    AQE's skew join, and the result equals the broadcast path."""
     from pyspark.sql import functions as F
 
     from tripflow.operators.zones import join_zones
@@ -94,7 +95,8 @@ def test_hot_location_splits_in_the_shuffled_zone_join(spark):
 
     trips = raw_trips(spark, SF)
     hot = trips.withColumn("pickup_location_id", F.when(
-        F.xxhash64("tpep_pickup_datetime", "fare_amount") % 3 == 0, F.lit(1))
+        F.xxhash64("tpep_pickup_datetime", "fare_amount") % 3 == 0,
+        F.lit(hot_id).cast("int"))
         .otherwise(F.col("pickup_location_id")))
     confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
