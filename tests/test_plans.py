@@ -4,7 +4,7 @@
   scalar subquery, not a join);
 * no window fed by a single-partition exchange (a grand total is a scalar
   subquery, never a window that gathers every row into one task);
-* the trips-table queries read only the columns they use.
+* the queries read only the columns they use (trips table and daily facts).
 """
 import contextlib
 import io
@@ -37,8 +37,12 @@ def test_no_pairs_and_no_single_task_window(spark, key):
 
 
 @pytest.mark.parametrize("key,cols", [
-    ("hourly_heatmap", {"pickup_date", "pickup_hour", "time_of_day", "fare_amount"}),
+    # trips table
+    ("agg_by_hour", {"pickup_date", "pickup_hour", "time_of_day", "fare_amount",
+                     "passenger_count"}),
     ("top_hours", {"pickup_hour", "fare_amount", "pickup_date"}),
+    # staged daily facts (avg_passengers is not read)
+    ("hourly_heatmap", {"pickup_hour", "time_of_day", "trip_count", "avg_fare"}),
 ])
 def test_trips_scan_is_pruned(spark, key, cols):
     plan = physical_plan(entry.queries()[key](spark, SF))

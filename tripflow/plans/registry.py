@@ -23,8 +23,8 @@ from tripflow.operators.clean import (filter_stats, is_clean, reject_reason_coun
 from tripflow.operators.enrich import derive_features
 from tripflow.operators.zones import parse_zone_lookup, zone_fallback
 from tripflow.plans import analytics as an
-from tripflow.plans.trips import (build_taxi_trips, clean_trips, featured_trips, raw_trips,
-                                  taxi_trips, zones)
+from tripflow.plans.trips import (build_taxi_trips, clean_trips, daily_fact, featured_trips,
+                                  raw_trips, taxi_trips, zones)
 from tripflow.sources import raw as rawsrc
 from tripflow.sources.fixture import table
 from tripflow.sources.synthetic import synthetic_trips
@@ -129,10 +129,12 @@ def _core_queries() -> dict[str, Query]:
         "agg_by_hour_batch": lambda s, d: agg.hourly_batch(featured_trips(s, d, BATCH)),
         "transform_summary": _transform_summary,
         # G. analytics
-        "top_zones": lambda s, d: an.top_zones(_agg_by_zone(s, d)),
-        "hourly_heatmap": lambda s, d: an.hourly_heatmap(_agg_by_hour(s, d)),
-        "payment_share": lambda s, d: an.payment_share(_agg_payment(s, d)),
-        "borough_leaderboard": lambda s, d: an.borough_leaderboard(_agg_by_zone(s, d)),
+        # the report queries read the staged daily facts, as in the daily run
+        "top_zones": lambda s, d: an.top_zones(daily_fact(s, d, "agg_by_zone")),
+        "hourly_heatmap": lambda s, d: an.hourly_heatmap(daily_fact(s, d, "agg_by_hour")),
+        "payment_share": lambda s, d: an.payment_share(daily_fact(s, d, "agg_payment")),
+        "borough_leaderboard": lambda s, d: an.borough_leaderboard(
+            daily_fact(s, d, "agg_by_zone")),
         "distance_split": lambda s, d: an.distance_split(taxi_trips(s, d)),
         "fare_anomalies": lambda s, d: an.fare_anomalies(taxi_trips(s, d)),
         "pipeline_health": lambda s, d: an.pipeline_health(taxi_trips(s, d)),

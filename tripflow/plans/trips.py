@@ -61,3 +61,16 @@ def taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, "taxi_trips", lambda: build_taxi_trips(spark, sf_dir),
                   _paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"],
                   cluster_by=["tpep_pickup_datetime"])
+
+
+def daily_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A daily fact table (``agg_by_zone``, ``agg_by_hour``, ``agg_payment``)
+    staged once from the trips table and partitioned by ``pickup_date``, as
+    the daily run writes it: the report queries read the small facts, not
+    the trips."""
+    from tripflow.operators import aggregates as agg
+
+    builders = {"agg_by_zone": agg.zone_aggregates, "agg_by_hour": agg.hourly_demand,
+                "agg_payment": agg.payment_breakdown}
+    return staged(spark, name, lambda: builders[name](taxi_trips(spark, sf_dir)),
+                  _paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"])
