@@ -129,7 +129,9 @@ def duplicate_rows(df: DataFrame, max_candidates: int = MAX_CANDIDATE_HASHES) ->
     it.
     """
     from tripflow.operators.zones import fits_broadcast
+    from tripflow.session import ensure_checkpoint_dir
 
+    ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
     hashed = df.withColumn("_h", F.xxhash64(*cols))
     repeated = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
