@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import (language_id, licenses, mixing, sentencepiece_codec, substring_dedup, topk,
-                          url_filter)
+from tripflow.llm import (language_id, licenses, mixing, near_dedup, sentencepiece_codec,
+                          substring_dedup, topk, url_filter)
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, d, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, d, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, d, "documents"))
 
