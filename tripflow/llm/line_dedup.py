@@ -66,10 +66,11 @@ def _bucket(h: Column) -> Column:
     return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2, text): the id and a hash of the text are the key of a row."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """(k1, k2, text, c0, c1 ...): the id and a hash of the text are the key."""
     text = F.col(text_col).cast("string")
-    return docs.select(id_key(id_col).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
+    return docs.select(id_key(id_col).alias("k1"), F.hash(text).alias("k2"), text.alias("text"),
+                       *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -152,10 +153,12 @@ def beaten(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per row: id, ``kept`` (the text without the lines that go), ``n_lines``
-    and ``n_removed`` (0 for a null text)."""
-    rows = keyed(docs, id_col, text_col)
+    and ``n_removed`` (0 for a null text), and the columns named in ``carry``."""
+    carry = carry or []
+    whole = keyed(docs, id_col, text_col, carry)
+    rows = whole.select("k1", "k2", "text")
     sets = stored(distinct_sets(rows, similarity))
     n = shuffle_partitions(docs.sparkSession)
     listed = postings(sets)
@@ -173,6 +176,8 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     ls = F.split("text", "\n", -1)
     blank = F.filter(F.transform("ls", lambda x, i: F.when(F.trim(_plain(x)) == "", i)), lambda i: i.isNotNull())
     keep = F.array_sort(F.concat(blank, F.coalesce("nos", F.array().cast("array<int>"))))
+    if carry:
+        dealt = whole.repartition(n, "k1", "k2")
     out = (dealt.join(per_doc, ["k1", "k2"], "left").withColumn("ls", ls).withColumn("keep", keep))
     kept = F.array_join(F.transform("keep", lambda i: F.get("ls", i)), "\n")
     return out.select(
@@ -180,4 +185,5 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
         F.when(F.col("text").isNotNull(), kept).alias("kept"),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("ls")).cast("long").alias("n_lines"),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("ls") - F.size("keep")).cast("long")
-        .alias("n_removed"))
+        .alias("n_removed"),
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])

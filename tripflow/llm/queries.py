@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import (language_id, licenses, line_dedup, mixing, near_dedup,
-                          sentencepiece_codec, substring_dedup, topk, url_filter)
+from tripflow.llm import (ann, language_id, licenses, line_dedup, mixing,
+                          near_dedup, sentencepiece_codec, substring_dedup, topk,
+                          url_filter)
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,10 @@ def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, d, "documents"))
 
 
+def op2_nn_descent(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, d, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, d, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
