@@ -110,26 +110,34 @@ def distinct_sets(rows: DataFrame, t: float) -> DataFrame:
             .groupBy("s1", "s2", "n").agg(F.min("one").alias("one")).select("one.*", "n"))
 
 
-def postings(sets: DataFrame) -> DataFrame:
-    """(w, x): a prefix word and the set it is of, as (place, n, p, bits)."""
-    at = F.struct("k1", "no", "k2").alias("at")
-    return (sets.where(F.col("pre").isNotNull()).select(at, "n", "bits", F.posexplode("pre").alias("p", "w"))
-            .select("w", F.struct("at", "n", "p", "bits").alias("x")))
-
-
-def passing(x: DataFrame, y: DataFrame, t: float) -> DataFrame:
-    """(a, b): places of two sets that share a word in x and y and pass the
-    filters, a before b."""
-    pairs = x.select("w", "x").join(y.select("w", F.col("x").alias("y")), "w")
-    nx, ny, px, py = F.col("x.n"), F.col("y.n"), F.col("x.p"), F.col("y.p")
+PLACE = ["k1", "no", "k2"]
+ENTRY = [*PLACE, "n", "p", "bits"]
+
+
+def lists(sets: DataFrame) -> DataFrame:
+    """(w, entry ..., lead): the lists of prefix words that are in more than
+    one set, an entry being (place, n, p, bits), and the list's first entry."""
+    dealt = (sets.where(F.col("pre").isNotNull())
+             .select("k1", "no", "k2", "n", "bits", F.posexplode("pre").alias("p", "w"))
+             .select("w", *ENTRY).repartition(shuffle_partitions(sets.sparkSession), "w"))
+    leads = (dealt.groupBy("w").agg(F.min(F.struct(*ENTRY)).alias("lead"), F.count(F.lit(1)).alias("size"))
+             .where(F.col("size") > 1).select("w", "lead"))
+    return dealt.join(leads, "w")
+
+
+def passing(pairs: DataFrame, x: str, y: str, t: float) -> DataFrame:
+    """(a, b): places of the sets of entries x and y that pass the filters, a
+    before b."""
+    nx, ny, px, py = (F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.p"), F.col(f"{y}.p"))
+    ax, ay = (F.struct(*[F.col(f"{s}.{c}") for c in PLACE]) for s in (x, y))
     index = lambda n: n - F.ceil(n * (2 * t / (1 + t)) - EPS) + 1
     overlap = F.ceil((nx + ny) * (t / (1 + t)) - EPS)
-    return (pairs.where((F.col("x.at") < F.col("y.at"))
+    return (pairs.where((ax < ay)
                         & (F.least(nx, ny) >= F.greatest(nx, ny) * t - EPS)
                         & F.when(nx <= ny, px < index(nx)).otherwise(py < index(ny))
                         & (F.least(nx - px, ny - py) >= overlap)
-                        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= nx + ny - 2 * overlap))
-            .select(F.col("x.at").alias("a"), F.col("y.at").alias("b")).distinct())
+                        & (F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) <= nx + ny - 2 * overlap))
+            .select(ax.alias("a"), ay.alias("b")).distinct())
 
 
 def beaten(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
@@ -161,14 +169,15 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     rows = whole.select("k1", "k2", "text")
     sets = stored(distinct_sets(rows, similarity))
     n = shuffle_partitions(docs.sparkSession)
-    listed = postings(sets)
     # each set against the first of its words' lists, then who is left against all before
-    leads = listed.groupBy("w").agg(F.min("x").alias("x"))
-    pairs = stored(passing(leads, listed, similarity))
+    listed = stored(lists(sets))
+    entry = F.struct(*ENTRY)
+    pairs = stored(passing(listed.select("lead", entry.alias("y")), "lead", "y", similarity))
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
-    rest = postings(sets.join(gone, ["k1", "k2", "no"], "left_anti"))
-    more = stored(passing(listed, rest, similarity).join(pairs, ["a", "b"], "left_anti"))
+    rest = listed.join(gone, PLACE, "left_anti").select("w", entry.alias("y"))
+    met = passing(listed.select("w", entry.alias("x")).join(rest, "w"), "x", "y", similarity)
+    more = stored(met.join(pairs, ["a", "b"], "left_anti"))
     # one exchange of the texts serves the verification and the result
     gone = gone.unionByName(beaten(more, dealt, similarity))
     stays = sets.select("k1", "k2", "no").join(gone, ["k1", "k2", "no"], "left_anti")
