@@ -1,6 +1,7 @@
 """Language identification by compression.
 
 A language is known by a raw-content zstandard dictionary of labelled text.
+Texts are compressed in lower case, with one space for whatever is no letter.
 A text is cut into pieces of ``PIECE`` bytes and each piece is compressed
 with every dictionary; the language whose dictionary gives the fewest bytes
 over the whole text wins.  Pieces keep the dictionary in play throughout a
@@ -23,6 +24,7 @@ rows, null ids and further columns do not matter.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,12 +38,13 @@ SAMPLE_DOCS = 64
 SAMPLE_CHARS = 2000
 DICT_BYTES = 112 * 1024
 PIECE = 4096
-LEVEL = 3
-MIN_MARGIN = 0.01
+LEVEL = 9
+MIN_MARGIN = 0.005
 MAX_LANGS = 500
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
+_OTHER = re.compile(r"[\W\d_]+")
 _codecs: dict = {}
 
 
@@ -69,10 +72,15 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            .orderBy("__lang", F.xxhash64("__id"), "__id").collect())
     content: dict[str, list[bytes]] = {}
     for r in got:
-        content.setdefault(r["__lang"], []).append(r["__text"].encode())
+        content.setdefault(r["__lang"], []).append(normalised(r["__text"]))
     return {lang: b"\n".join(parts)[:DICT_BYTES] for lang, parts in sorted(content.items())}
 
 
+def normalised(text: str) -> bytes:
+    """Lower case, one space for every run of other than letters."""
+    return _OTHER.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+
+
 def _compressors(dicts: dict[str, bytes]) -> list:
     """Of this worker; built once for each set of dictionaries."""
     key = tuple(dicts.items())
@@ -92,7 +100,7 @@ def classify(text: str | None, compressors: list) -> tuple[str, float, bool]:
     """(language, score, rejected) of one text."""
     if text is None or not compressors or not _LETTER.search(text):
         return UNKNOWN, 0.0, True
-    data = text.encode("utf-8", "replace")
+    data = normalised(text)
     pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
     sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang) for lang, c in compressors)
     best, lang = sizes[0]
