@@ -36,7 +36,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared checkpoint folder:
     more compact than ``checkpoint()`` and, like it, readable by any executor
-    after others are lost."""
+    after others are lost.  The shuffle files behind it are then unreachable;
+    Spark's cleaner follows the driver's garbage collector, so that is run."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

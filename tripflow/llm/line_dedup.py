@@ -175,8 +175,13 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     pairs = stored(passing(listed.select("lead", entry.alias("y")), "lead", "y", similarity))
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
-    rest = listed.join(gone, PLACE, "left_anti").select("w", entry.alias("y"))
-    met = passing(listed.select("w", entry.alias("x")).join(rest, "w"), "x", "y", similarity)
+    marked = (listed.join(gone.withColumn("out", F.lit(True)), PLACE, "left")
+              .select("w", F.struct(*ENTRY, F.coalesce("out", F.lit(False)).alias("out")).alias("x"))
+              .repartition(n, "w"))
+    # one exchange serves both sides: the condition on y names x too, so it stays above
+    met = marked.join(marked.select("w", F.col("x").alias("y")), "w")
+    met = met.where(F.when(F.col("x.n").isNotNull(), ~F.col("y.out")).otherwise(False))
+    met = passing(met, "x", "y", similarity)
     more = stored(met.join(pairs, ["a", "b"], "left_anti"))
     # one exchange of the texts serves the verification and the result
     gone = gone.unionByName(beaten(more, dealt, similarity))
