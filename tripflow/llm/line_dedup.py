@@ -114,15 +114,12 @@ PLACE = ["k1", "no", "k2"]
 ENTRY = [*PLACE, "n", "p", "bits"]
 
 
-def lists(sets: DataFrame) -> DataFrame:
-    """(w, entry ..., lead): the lists of prefix words that are in more than
-    one set, an entry being (place, n, p, bits), and the list's first entry."""
-    dealt = (sets.where(F.col("pre").isNotNull())
-             .select("k1", "no", "k2", "n", "bits", F.posexplode("pre").alias("p", "w"))
-             .select("w", *ENTRY).repartition(shuffle_partitions(sets.sparkSession), "w"))
-    leads = (dealt.groupBy("w").agg(F.min(F.struct(*ENTRY)).alias("lead"), F.count(F.lit(1)).alias("size"))
-             .where(F.col("size") > 1).select("w", "lead"))
-    return dealt.join(leads, "w")
+def postings(sets: DataFrame, *more: str) -> DataFrame:
+    """(w, place, n, bits, p): prefix words and the sets they are of, dealt by
+    word; callers build structs above this exchange, so that it can be reused."""
+    return (sets.where(F.col("pre").isNotNull())
+            .select(*PLACE, "n", "bits", *more, F.posexplode("pre").alias("p", "w"))
+            .repartition(shuffle_partitions(sets.sparkSession), "w"))
 
 
 def passing(pairs: DataFrame, x: str, y: str, t: float) -> DataFrame:
@@ -170,17 +167,19 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     sets = stored(distinct_sets(rows, similarity))
     n = shuffle_partitions(docs.sparkSession)
     # each set against the first of its words' lists, then who is left against all before
-    listed = stored(lists(sets))
     entry = F.struct(*ENTRY)
-    pairs = stored(passing(listed.select("lead", entry.alias("y")), "lead", "y", similarity))
+    listed = postings(sets)
+    leads = (listed.groupBy("w").agg(F.min(entry).alias("lead"), F.count(F.lit(1)).alias("size"))
+             .where(F.col("size") > 1).select("w", "lead"))
+    pairs = stored(passing(listed.select("w", entry.alias("y")).join(leads, "w"), "lead", "y", similarity))
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
-    marked = (listed.join(gone.withColumn("out", F.lit(True)), PLACE, "left")
-              .select("w", F.struct(*ENTRY, F.coalesce("out", F.lit(False)).alias("out")).alias("x"))
-              .repartition(n, "w"))
-    # one exchange serves both sides: the condition on y names x too, so it stays above
-    met = marked.join(marked.select("w", F.col("x").alias("y")), "w")
-    met = met.where(F.when(F.col("x.n").isNotNull(), ~F.col("y.out")).otherwise(False))
+    marked = sets.join(gone.withColumn("__out", F.lit(True)), PLACE, "left")
+    listed = postings(marked.withColumn("out", F.coalesce("__out", F.lit(False))), "out")
+    # the condition on y names x too, so it stays above the exchange that serves both
+    met = (listed.select("w", entry.alias("x"))
+           .join(listed.select("w", entry.alias("y"), "out"), "w")
+           .where(F.when(F.col("x.n").isNotNull(), ~F.col("out")).otherwise(False)))
     met = passing(met, "x", "y", similarity)
     more = stored(met.join(pairs, ["a", "b"], "left_anti"))
     # one exchange of the texts serves the verification and the result
