@@ -174,12 +174,12 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     pairs = stored(passing(listed.select("w", entry.alias("y")).join(leads, "w"), "lead", "y", similarity))
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
-    marked = sets.join(gone.withColumn("__out", F.lit(True)), PLACE, "left")
-    listed = postings(marked.withColumn("out", F.coalesce("__out", F.lit(False))), "out")
-    # the condition on y names x too, so it stays above the exchange that serves both
-    met = (listed.select("w", entry.alias("x"))
-           .join(listed.select("w", entry.alias("y"), "out"), "w")
-           .where(F.when(F.col("x.n").isNotNull(), ~F.col("out")).otherwise(False)))
+    marked = sets.join(gone.withColumn("out", F.lit(True)), PLACE, "left")
+    listed = postings(marked, "out")
+    # the condition names ``out`` of both sides, so one exchange serves them
+    both = F.struct(*ENTRY, "out")
+    met = (listed.select("w", both.alias("x")).join(listed.select("w", both.alias("y")), "w")
+           .where(F.when(F.col("x.out").isNull() | F.col("x.out"), F.col("y.out").isNull())))
     met = passing(met, "x", "y", similarity)
     more = stored(met.join(pairs, ["a", "b"], "left_anti"))
     # one exchange of the texts serves the verification and the result
@@ -189,14 +189,15 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     ls = F.split("text", "\n", -1)
     blank = F.filter(F.transform("ls", lambda x, i: F.when(F.trim(_plain(x)) == "", i)), lambda i: i.isNotNull())
     keep = F.array_sort(F.concat(blank, F.coalesce("nos", F.array().cast("array<int>"))))
-    if carry:
-        dealt = whole.repartition(n, "k1", "k2")
-    out = (dealt.join(per_doc, ["k1", "k2"], "left").withColumn("ls", ls).withColumn("keep", keep))
+    texts = dealt.dropDuplicates(["k1", "k2"]) if carry else dealt
+    out = (texts.join(per_doc, ["k1", "k2"], "left").withColumn("ls", ls).withColumn("keep", keep))
     kept = F.array_join(F.transform("keep", lambda i: F.get("ls", i)), "\n")
-    return out.select(
-        F.when(F.col("k1") != NULL_ID, F.col("k1")).alias(id_col),
-        F.when(F.col("text").isNotNull(), kept).alias("kept"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("ls")).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("ls") - F.size("keep")).cast("long")
-        .alias("n_removed"),
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+    null = F.col("text").isNull()
+    out = out.select(
+        "k1", "k2", F.when(~null, kept).alias("kept"),
+        F.when(null, F.lit(0)).otherwise(F.size("ls")).cast("long").alias("n_lines"),
+        F.when(null, F.lit(0)).otherwise(F.size("ls") - F.size("keep")).cast("long").alias("n_removed"))
+    if carry:  # the other columns of every row, without its text
+        out = out.join(whole.drop("text").repartition(n, "k1", "k2"), ["k1", "k2"])
+    return out.select(F.when(F.col("k1") != NULL_ID, F.col("k1")).alias(id_col), "kept", "n_lines", "n_removed",
+                      *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
