@@ -117,7 +117,9 @@ ENTRY = [*PLACE, "n", "p", "bits"]
 def postings(sets: DataFrame, *more: str) -> DataFrame:
     """(w, place, n, bits, p): prefix words and the sets they are of, dealt by
     word; callers build structs above this exchange, so that it can be reused."""
-    return (sets.where(F.col("pre").isNotNull())
+    # said here, lest the optimizer adds it to one use alone and the exchanges differ
+    there = F.col("pre").isNotNull() & F.col("n").isNotNull() & F.col("bits").isNotNull()
+    return (sets.where(there)
             .select(*PLACE, "n", "bits", *more, F.posexplode("pre").alias("p", "w"))
             .repartition(shuffle_partitions(sets.sparkSession), "w"))
 
