@@ -73,3 +73,13 @@ def test_audit_latest_and_fresh_dates(spark, tmp_path):
     assert latest["run_20240115"].status == "success" and latest["run_20240115"].clean_row_count == 90
     dates = spark.createDataFrame([(dt.date(2024, 1, 15),), (dt.date(2024, 1, 16),)], "run_date date")
     assert [r.run_date for r in aud.fresh_dates(dates, audit).collect()] == [dt.date(2024, 1, 16)]
+
+
+def test_reload_keeps_null_dates_apart(spark):
+    day = dt.date(2024, 1, 15)
+    table = lambda rows: spark.createDataFrame(rows, "pickup_date date, v int")
+    existing = table([(day, 1), (dt.date(2024, 1, 14), 2), (None, 3)])
+    kept = lambda batch: sorted(r["v"] for r in tbl.reload(existing, table(batch), RUN).collect())
+    assert kept([(day, 9)]) == [2, 3, 9]
+    assert kept([(None, 9)]) == [2, 9]
+    assert kept([]) == [2, 3]

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from tripflow.contract import TABLE_SCHEMAS
 
 DATE_COL = "pickup_date"
-# More distinct dates than this in one batch: no literal IN-list, use a join.
-MAX_LITERAL_DATES = 10_000
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -60,16 +58,12 @@ def reload(existing: DataFrame, batch: DataFrame, run_date: str,
            date_col: str = DATE_COL) -> DataFrame:
     """F1, pure form: the table after replacing the batch's dates.
 
-    The distinct dates are a handful (bounded by ``MAX_LITERAL_DATES``); they
-    become a literal IN-list that prunes partitions, so the surviving rows
-    are never shuffled.  Past the bound a left-anti join is used instead.
+    One null-safe anti join whatever the number of dates: a NULL date is a
+    date of its own, kept unless the batch brings one.  The distinct dates
+    are the small side, which AQE broadcasts by its measured size.
     """
-    dates = replaced_dates(batch, run_date, date_col)
-    sample = dates.limit(MAX_LITERAL_DATES + 1).collect()
-    if len(sample) <= MAX_LITERAL_DATES:
-        keep = existing.where(~F.col(date_col).isin([r[0] for r in sample]))
-    else:
-        keep = existing.join(dates, date_col, "left_anti")
+    dates = replaced_dates(batch, run_date, date_col).withColumnRenamed(date_col, "__date")
+    keep = existing.join(dates, F.col(date_col).cast("date").eqNullSafe(F.col("__date")), "left_anti")
     return keep.unionByName(batch.select(*existing.columns))
 
 
