@@ -119,6 +119,6 @@ line AS (SELECT doc_id, {digest_of('l')} AS digest
 hit AS (SELECT doc_id, list_sort(list(DISTINCT n.license)) AS notices
         FROM line JOIN notice n USING (digest) GROUP BY doc_id)
 SELECT dig.doc_id, dig.digest, whole.license,
-       coalesce(hit.notices, []::VARCHAR[]) AS notices
+       coalesce(array_to_string(hit.notices, ' '), '') AS notices
 FROM dig LEFT JOIN whole USING (digest) LEFT JOIN hit ON hit.doc_id = dig.doc_id
 """

@@ -38,7 +38,8 @@ def op4_near_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, d: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, d, "documents"))
+    return (licenses.scan_licenses(table(spark, d, "documents"))
+            .withColumn("notices", F.array_join("notices", " ")))
 
 
 def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
