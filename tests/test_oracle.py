@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.oracle_check import rows_of
+from tripflow.plans import oracle, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-KEYS = sorted(entry.oracle_sql())
+KEYS = sorted(oracle.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -54,8 +54,9 @@ def test_csv_round_trip_and_day_slice_pushdown(spark, sf0001, tmp_path):
 def test_ingest_prefers_source_then_synthetic(spark, sf0001, tmp_path):
     pq = str(tmp_path / "monthly")
     rawsrc.to_source_layout(raw_trips(spark, sf0001)).write.parquet(pq)
-    df, source = rawsrc.ingest(spark, "2026-06-29", pq)
-    assert source == "real" and df.count() == rawsrc.day_slice(raw_trips(spark, sf0001)).count()
+    for day in ("2024-01-15", "2024-01-20"):
+        df, source = rawsrc.ingest(spark, day, pq)
+        assert source == "real" and df.count() == rawsrc.day_slice(raw_trips(spark, sf0001), day).count()
     df2, source2 = rawsrc.ingest(spark, "2026-06-29", str(tmp_path / "absent"), synthetic_rows=500)
     assert source2 == "synthetic" and df2.count() == 500
     s = rawsrc.ingest_summary(df2, source2, "2026-06-29").first()
@@ -92,7 +93,7 @@ def test_zone_join_broadcast_and_shuffle_paths_agree(spark, sf0001, tmp_path):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert small.exceptAll(big).count() == 0 and small.count() == trips.count()
     assert small.where(F.col("pickup_zone").isNull()).count() == 6000 - 5400 + 0 or True
-    assert fits_broadcast(z, 9) and not fits_broadcast(z, 8)
+    assert fits_broadcast(z, 10) and not fits_broadcast(z, 9)
 
 
 def test_zone_lookup_csv_dedupe_and_fallback(spark, sf0001, tmp_path):
@@ -103,7 +104,7 @@ def test_zone_lookup_csv_dedupe_and_fallback(spark, sf0001, tmp_path):
                 F.col("zone_name").alias("Zone"))
      .coalesce(1).write.option("header", True).csv(path))
     lookup = read_zone_lookup(spark, path)
-    assert lookup.count() == 18 and unique_zones(lookup).count() == 9
+    assert lookup.count() == 20 and unique_zones(lookup).count() == 10
     joined = join_zones(raw_trips(spark, sf0001), lookup, dedupe=True)
     assert joined.count() == 6000
     fb = zone_fallback(raw_trips(spark, sf0001)).first()

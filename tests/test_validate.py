@@ -106,28 +106,63 @@ def test_report_sink(spark, sf0001, tmp_path):
     assert back.validated_at is not None
 
 
-def test_duplicate_count_paths_agree(spark, sf0001):
+def test_duplicate_count_equals_distinct(spark, sf0001):
     trips = raw_trips(spark, sf0001)
     variant = trips.unionAll(trips.where(F.col("pickup_location_id") % 10 == 0)) \
         .unionAll(trips.limit(7)).unionAll(trips.limit(7))
-    fast = val.duplicate_rows(variant).first()
-    full = val.duplicate_rows(variant, max_candidates=0).first()
-    assert fast == full
-    assert fast.duplicate_rows + fast.distinct_rows == variant.count()
-    assert fast.distinct_rows == trips.distinct().count()
+    got = val.duplicate_rows(variant).first()
+    assert got.duplicate_rows + got.distinct_rows == variant.count()
+    assert got.distinct_rows == trips.distinct().count()
 
 
 def test_duplicate_count_with_a_hot_group_of_copies(spark, sf0001):
-    """A third of all rows are copies of one row: both paths count them
+    """A third of all rows are copies of one row: they are counted
     exactly (partial aggregation combines the copies before the shuffle)."""
     trips = raw_trips(spark, sf0001)
     n = trips.count()
     one = trips.orderBy("tpep_pickup_datetime", "fare_amount", "pickup_location_id").limit(1)
     copies = one.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n // 2)))).drop("_k")
     hot = trips.unionAll(copies)
-    fast = val.duplicate_rows(hot).first()
-    full = val.duplicate_rows(hot, max_candidates=0).first()
+    got = val.duplicate_rows(hot).first()
     base = val.duplicate_rows(trips).first()
-    assert fast == full
-    assert fast.duplicate_rows == base.duplicate_rows + n // 2
-    assert fast.distinct_rows == base.distinct_rows
+    assert got.duplicate_rows == base.duplicate_rows + n // 2
+    assert got.distinct_rows == base.distinct_rows
+
+
+def _text(spark, rows):
+    base = {"vendor_id": "1", "tpep_pickup_datetime": "2024-01-15 10:00:00",
+            "tpep_dropoff_datetime": "2024-01-15 10:20:00", "passenger_count": "1", "trip_distance": "3.0",
+            "rate_code_id": "1", "fare_amount": "15.0", "tip_amount": "3.0", "total_amount": "20.0",
+            "payment_type": "1", "pickup_location_id": "1", "dropoff_location_id": "2"}
+    names = list(base)
+    return spark.createDataFrame([tuple({**base, **r}[n] for n in names) for r in rows],
+                                 ", ".join(f"{n} string" for n in names))
+
+
+def test_text_layer_tells_null_from_unparsable(spark):
+    names = ["vendor_id", "passenger_count", "trip_distance", "fare_amount", "tpep_pickup_datetime"]
+    for bad in ("abc", "NaN", "Infinity"):
+        text = _text(spark, [{}] * 120 + [{n: bad} for n in names])
+        found = _findings(text)
+        assert not any(check in ("not_nullable", "high_null_fraction") for check, _ in found)
+        nulls = {r.column: r.null_count for r in val.null_fractions(text).collect()}
+        assert set(nulls.values()) == {0}
+    found = _findings(_text(spark, [{}] * 120 + [{"tpep_pickup_datetime": None}]))
+    assert found[("not_nullable", "tpep_pickup_datetime")].severity == "error"
+
+
+def test_unexpected_count_is_the_true_number(spark):
+    df = _text(spark, [{"vendor_id": str(v)} for v in range(1, 181)])
+    row = {r.column: r for r in val.allowed_values(df).collect()}["vendor_id"]
+    assert row.unexpected_count == 178
+    assert row.unexpected_values == "[" + ", ".join(map(str, range(3, 13))) + "]"
+    assert ("allowed_values", "vendor_id") in _findings(df)
+
+
+def test_every_finding_fires(spark):
+    df = _text(spark, [{"passenger_count": None}, {"passenger_count": None}, {}, {}]).drop("payment_type")
+    found = _findings(df)
+    assert found[("column_exists", "payment_type")].severity == "error"
+    assert found[("min_row_count", None)].severity == "error"
+    assert ("high_null_fraction", "passenger_count") in found and ("duplicate_fraction", None) in found
+    assert val.summary(val.validate(df), "t").first().status == "FAILED"

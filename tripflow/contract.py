@@ -183,10 +183,15 @@ PIPELINE_RUNS_SCHEMA = _struct(
     "run_id STRING, execution_date DATE, started_at TIMESTAMP_NTZ, completed_at TIMESTAMP_NTZ, "
     "raw_row_count BIGINT, clean_row_count BIGINT, validation_status STRING, status STRING")
 
+DEAD_LETTER_SCHEMA = T.StructType(
+    [*RAW_TRIPS_SCHEMA.fields, T.StructField("reject_reasons", T.ArrayType(T.StringType()), True),
+     T.StructField("run_date", T.DateType(), True)])
+
 TABLE_SCHEMAS = {
     "taxi_trips": TAXI_TRIPS_SCHEMA,
     "agg_by_zone": AGG_BY_ZONE_SCHEMA,
     "agg_by_hour": AGG_BY_HOUR_SCHEMA,
     "agg_payment": AGG_PAYMENT_SCHEMA,
     "pipeline_runs": PIPELINE_RUNS_SCHEMA,
+    "dead_letter": DEAD_LETTER_SCHEMA,
 }

@@ -19,12 +19,20 @@ from pyspark.sql import functions as F
 
 # Quantum for averaging ratios (speed, tip %, minutes): 1e-6.
 RATIO_DIGITS = 6
+# Values of this magnitude or more (NaN and infinities too) are no
+# measurements: they count as NULL, so that units fit a bigint.
+TOO_LARGE = 1e12
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def measured(col) -> Column:
+    """The value, or NULL where it is NaN, infinite or beyond ``TOO_LARGE``."""
+    return F.when(F.abs(_c(col)) < TOO_LARGE, _c(col))
+
+
 def round_half_up(col, n: int) -> Column:
     scale = float(10 ** n)
     return F.floor(_c(col) * scale + 0.5) / scale
@@ -32,12 +40,12 @@ def round_half_up(col, n: int) -> Column:
 
 def fixed_units(col, digits: int) -> Column:
     """``col`` (a value with at most ``digits`` decimals) as an exact bigint."""
-    return F.round(_c(col) * float(10 ** digits)).cast("bigint")
+    return F.round(measured(col) * float(10 ** digits)).cast("bigint")
 
 
 def ratio_units(col) -> Column:
     """``col`` quantised to 1e-6 as a decimal integer (no overflow at scale)."""
-    return F.floor(_c(col) * float(10 ** RATIO_DIGITS) + 0.5).cast("decimal(38,0)")
+    return F.floor(measured(col) * float(10 ** RATIO_DIGITS) + 0.5).cast("decimal(38,0)")
 
 
 def _avg_of_units(units_sum: Column, n_values: Column, digits: int, out: int) -> Column:
@@ -53,12 +61,12 @@ def _avg_of_units(units_sum: Column, n_values: Column, digits: int, out: int) ->
 def avg_fixed(col, digits: int, out: int) -> Column:
     """Exact mean of a value with ``digits`` decimals (money: digits=2),
     rounded half up to ``out`` decimals."""
-    return _avg_of_units(F.sum(fixed_units(col, digits)), F.count(_c(col)), digits, out)
+    return _avg_of_units(F.sum(fixed_units(col, digits)), F.count(measured(col)), digits, out)
 
 
 def avg_ratio(col, out: int) -> Column:
     """Mean of an arbitrary double quantised to 1e-6, rounded to ``out``."""
-    return _avg_of_units(F.sum(ratio_units(col)), F.count(_c(col)), RATIO_DIGITS, out)
+    return _avg_of_units(F.sum(ratio_units(col)), F.count(measured(col)), RATIO_DIGITS, out)
 
 
 def sum_fixed(col, digits: int) -> Column:

@@ -43,9 +43,9 @@ def payment_breakdown(trips: DataFrame, within: str | None = None) -> DataFrame:
 
     ``within=None`` divides by the count of every date (the reference's
     meaning); ``within="pickup_date"`` divides by that date's count.  The
-    grand total is a scalar subquery (a count with map-side partial
-    aggregation, one value handed to every task), never a window that
-    gathers all groups into one partition; the per-date total is a window
+    grand total is a scalar subquery over the daily rows (one value handed
+    to every task), never a window that gathers all groups into one
+    partition; the per-date total is a window
     partitioned by date over the aggregated rows (five labels per date).
     """
     daily = trips.groupBy("pickup_date", "payment_label").agg(
@@ -54,7 +54,7 @@ def payment_breakdown(trips: DataFrame, within: str | None = None) -> DataFrame:
     if within:
         total = F.sum("trips").over(Window.partitionBy(within))
     else:
-        total = trips.agg(F.count(F.lit(1))).scalar()
+        total = daily.agg(F.sum("trips")).scalar()
     return daily.withColumn("pct_of_total", pct("trips", total, 1))
 
 

@@ -91,6 +91,14 @@ def split_clean_dead(df: DataFrame, profile: str = STRICT) -> tuple[DataFrame, D
     return filter_rows(df, profile), tag_rejects(df.where(~is_clean(profile)), profile)
 
 
+def split_other_dates(clean: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
+    """Clean rows of the run date, and those of any other date with the
+    reject reason ``other_date``: a load replaces its own date alone, so a
+    stray row must not take another day's rows with it."""
+    own = F.to_date(F.col(PICKUP)).eqNullSafe(F.lit(run_date).cast("date"))
+    return clean.where(own), clean.where(~own).withColumn("reject_reasons", F.array(F.lit("other_date")))
+
+
 def reject_reason_counts(dead: DataFrame) -> DataFrame:
     """Rows per failed predicate (a row failing two predicates counts twice)."""
     return (dead.select(F.explode("reject_reasons").alias("reason"))

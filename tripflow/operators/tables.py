@@ -10,8 +10,6 @@ that filters a typed date reads one directory.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +46,13 @@ def init_table(spark: SparkSession, name: str, path: str,
         writer.parquet(path)
 
 
+def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A written table under its declared schema, so that one without any
+    file yet (just created, or all its dates cleared) reads as empty."""
+    schema = TABLE_SCHEMAS[name]
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def replaced_dates(batch: DataFrame, run_date: str, date_col: str = DATE_COL) -> DataFrame:
     """Dates a reload replaces: those in the batch plus the run date."""
     run = batch.sparkSession.range(1).select(F.lit(run_date).cast("date").alias(date_col))
@@ -67,35 +72,25 @@ def reload(existing: DataFrame, batch: DataFrame, run_date: str,
     return keep.unionByName(batch.select(*existing.columns))
 
 
-def reload_partitions(spark: SparkSession, batch: DataFrame, path: str,
-                      run_date: str | Sequence[str], date_col: str = DATE_COL) -> tuple[int, list]:
-    """F1, file sink: dynamic partition overwrite of the batch's dates; a
-    run date's partition is removed when the batch has no row for it.
+def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, run_date: str,
+                      date_col: str = DATE_COL) -> int:
+    """F1, file sink: dynamic partition overwrite of the batch's dates; the
+    run date's partition is removed when the batch has no row for it (the
+    DELETE half of the reload).  Returns the rows written.
 
-    One job: the write itself reports its row count and its distinct dates
-    (``observe``; the date set is as small as the number of days written).
-    ``run_date`` is one date or several (a micro-batch of landed files).
-    Returns ``(rows, dates)``.
+    One job: the write itself reports its row count and whether it held the
+    run date.  A caller that must not touch other dates hands over rows of
+    the run date alone (``clean.split_other_dates``).
     """
     obs = Observation("reload_stats")
-    (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                   F.array_sort(F.collect_set(F.col(date_col))).alias("dates"))
+    of_run = F.count_if(F.col(date_col) == F.lit(run_date).cast("date"))
+    (batch.hint("rebalance", F.col(date_col))  # a few files a date, a hot date split
+     .observe(obs, F.count(F.lit(1)).alias("rows"), of_run.alias("of_run"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
-    stats = obs.get
-    dates = list(stats.get("dates") or [])
-    clear_missing(spark, path, run_date, dates, date_col)
-    return int(stats.get("rows") or 0), dates
-
-
-def clear_missing(spark: SparkSession, path: str, run_dates: str | Sequence[str],
-                  written: Sequence, date_col: str = DATE_COL) -> None:
-    """Remove the partition of every run date the batch wrote no row for
-    (the DELETE half of the reload for an empty day)."""
-    have = {str(d) for d in written}
-    for d in [run_dates] if isinstance(run_dates, str) else run_dates:
-        if str(d) not in have:
-            _delete(spark, f"{path}/{date_col}={d}")
+    if not obs.get["of_run"]:
+        _delete(spark, f"{path}/{date_col}={run_date}")
+    return int(obs.get["rows"])
 
 
 def load_counts(table: DataFrame, run_date: str, date_col: str = DATE_COL) -> DataFrame:

@@ -5,11 +5,14 @@ Shape of the work, whatever the number of checks:
 * one ``agg`` over the data: row count, NULL counts, range violations and
   rule violations for every column/rule at once (map-side partial
   aggregation, one row out);
-* one exact duplicate count: a row-hash count first, then a full-row
-  ``groupBy`` of only the rows whose hash repeats (partial aggregation
+* one exact duplicate count: a full-row ``groupBy`` (partial aggregation
   combines a hot group of copies before the shuffle);
-* per column with allowed values: distinct unexpected values, sorted,
-  first ten (a bounded top-k, never an unbounded ``collect_set``).
+* per column with allowed values: distinct unexpected values, counted, and
+  the first ten sorted (a bounded top-k, never an unbounded ``collect_set``).
+
+The raw text layer can be checked as it is: a text column is parsed for
+ranges, allowed values and rules (what cannot be parsed is skipped by ranges
+and allowed values and violates its rules), while NULL counts see the text.
 
 The duplicate and allowed-value results enter the one metrics row as
 scalar subqueries (no joins), and the row is turned into finding rows with
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 
 from tripflow.contract import TRIP_CONTRACT, ColumnSpec, Contract
 from tripflow.functions.exact import round_half_up
+from tripflow.sources.raw import typed
 
 log = logging.getLogger(__name__)
 
@@ -57,6 +61,19 @@ def comparable(spec: ColumnSpec) -> Column:
     return F.expr(f"try_cast(`{spec.name}` AS {target})")
 
 
+def parsed(df: DataFrame, spec: ColumnSpec) -> Column:
+    """The column in its contract type, also where ``df`` holds it as text."""
+    if isinstance(df.schema[spec.name].dataType, T.StringType):
+        return typed(spec.name)
+    return F.col(spec.name)
+
+
+def parsed_columns(df: DataFrame, contract: Contract, *more: Column) -> DataFrame:
+    """``df`` with its contract columns parsed, and the columns ``more``."""
+    known = {c.name: parsed(df, c) for c in contract.columns if c.name in df.columns}
+    return df.select(*[known.get(c, F.col(c)) for c in df.columns], *more)
+
+
 def bound_lit(spec: ColumnSpec, value) -> Column:
     if spec.type == "timestamp":
         return F.lit(str(value)).cast("timestamp_ntz")
@@ -71,6 +88,7 @@ def pct_text(frac: Column, decimals: int) -> Column:
 def resolvable_rules(df: DataFrame, contract: Contract):
     """Rules whose expression resolves against ``df``; others are skipped
     with a log line (the reference does the same)."""
+    df = parsed_columns(df, contract)
     ok = []
     for rule in contract.rules:
         try:
@@ -84,9 +102,11 @@ def resolvable_rules(df: DataFrame, contract: Contract):
 def metrics(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     """One row: every count the checks need, in a single aggregate."""
     present = [c for c in contract.columns if c.name in df.columns]
+    nulls = [F.col(c.name).isNull().alias(f"__null__{c.name}") for c in present]
+    df = parsed_columns(df, contract, *nulls)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for spec in present:
-        aggs.append(F.count_if(F.col(spec.name).isNull()).alias(f"nulls__{spec.name}"))
+        aggs.append(F.count_if(F.col(f"__null__{spec.name}")).alias(f"nulls__{spec.name}"))
         if spec.min_value is not None:
             aggs.append(F.count_if(comparable(spec) < bound_lit(spec, spec.min_value))
                         .alias(f"below__{spec.name}"))
@@ -99,63 +119,28 @@ def metrics(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     return df.agg(*aggs)
 
 
-# Colliding row hashes above this count: compare full rows directly.
-MAX_CANDIDATE_HASHES = 1_000_000
-
-
-def _exact_duplicates(rows: DataFrame) -> DataFrame:
-    """Rows beyond the first copy of each distinct row, by full-row grouping
-    (partial aggregation combines the copies of a hot row map-side)."""
-    return (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-            .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint")
-                 .alias("duplicate_rows")))
-
-
-def duplicate_rows(df: DataFrame, max_candidates: int = MAX_CANDIDATE_HASHES) -> DataFrame:
+def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: rows beyond the first copy of each distinct row (NULL = NULL),
-    and the number of distinct rows.  Exact.
-
-    Pass 1 counts rows per 64-bit row hash, so the shuffle carries a hash
-    and a count instead of whole rows.  A row whose hash is unique is a
-    unique row; only rows with a repeated hash (the duplicates plus rare
-    collisions) go through the exact full-row grouping, picked by a
-    broadcast semi-join against the repeated hashes once their number is
-    proven below ``max_candidates``.  Past that bound the full-row grouping
-    runs on everything.
-
-    The repeated hashes are checkpointed (written once to the session's
-    ``spark.checkpoint.dir``): the size check and the broadcast both read
-    that copy, so pass 1 runs once, and a lost executor does not recompute
-    it.
-    """
-    from tripflow.operators.zones import fits_broadcast
-    from tripflow.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cols = df.columns
-    hashed = df.withColumn("_h", F.xxhash64(*cols))
-    repeated = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select("_h")).checkpoint(eager=True)
-    if fits_broadcast(repeated, max_candidates):
-        candidates = hashed.join(F.broadcast(repeated), "_h", "left_semi").drop("_h")
-        dups = _exact_duplicates(candidates)
-    else:
-        dups = _exact_duplicates(df)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return dups.select("duplicate_rows", (total - F.col("duplicate_rows")).alias("distinct_rows"))
+    and the number of distinct rows.  Exact, one scan: grouping by all columns
+    combines the copies of a hot row map-side."""
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    return copies.agg(
+        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        F.count(F.lit(1)).alias("distinct_rows"))
 
 
 def unexpected_values(df: DataFrame, spec: ColumnSpec, k: int = 10) -> DataFrame:
-    """One row: the first ``k`` sorted distinct values outside the allowed
-    list, as the report prints them (``[6]``)."""
+    """One row: the number of distinct values outside the allowed list, and
+    the first ``k`` of them sorted, as the report prints them (``[6]``)."""
     c = F.col(spec.name)
-    top = (df.select(c).where(c.isNotNull() & ~c.isin(list(spec.allowed_values)))
-           .distinct().orderBy(c).limit(k))
+    bad = df.select(parsed(df, spec)).where(c.isNotNull() & ~c.isin(list(spec.allowed_values))).distinct()
+    top = bad.orderBy(c).limit(k)
     return top.agg(
-        F.count(F.lit(1)).alias(f"n_unexpected__{spec.name}"),
         F.concat(F.lit("["), F.array_join(
             F.transform(F.array_sort(F.collect_list(c)), lambda x: x.cast("string")), ", "),
-            F.lit("]")).alias(f"unexpected__{spec.name}"))
+            F.lit("]")).alias(f"unexpected__{spec.name}")).select(
+        bad.agg(F.count(F.lit(1))).scalar().alias(f"n_unexpected__{spec.name}"),
+        f"unexpected__{spec.name}")
 
 
 def _finding(fired: Column, severity: str, check: str, column: str | None, message: Column,

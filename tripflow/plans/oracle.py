@@ -9,7 +9,7 @@ again here, by hand, as plain SQL.
 from __future__ import annotations
 
 from tripflow.contract import PINNED_DAY
-from tripflow.sources.fixture import duckdb_fixture_ctes
+from tripflow.sources.fixture import FAULTY_AGAIN, FAULTY_EXPRS, duckdb_fixture_ctes
 
 P, D = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -304,9 +304,10 @@ def _typed(spec) -> str:
     return f"TRY_CAST({spec.name} AS {t})"
 
 
-def _metrics_cte(src: str = "trips") -> str:
+def _metrics_cte(src: str = "trips", missing: tuple = ()) -> str:
     parts = ["count(*) AS n_rows"]
-    for c in TRIP_CONTRACT.columns:
+    present = [c for c in TRIP_CONTRACT.columns if c.name not in missing]
+    for c in present:
         parts.append(f"count(*) FILTER (WHERE {c.name} IS NULL) AS nulls__{c.name}")
         if c.min_value is not None:
             parts.append(f"count(*) FILTER (WHERE {_typed(c)} < {_bound_sql(c, c.min_value)}) "
@@ -317,16 +318,17 @@ def _metrics_cte(src: str = "trips") -> str:
     for rule in TRIP_CONTRACT.rules:
         parts.append(f"count(*) FILTER (WHERE NOT coalesce({rule.expr}, false)) "
                      f"AS rule__{rule.name}")
-    cols = ", ".join(TRIP_CONTRACT.column_names)
+    cols = ", ".join(c.name for c in present)
     unexp = []
-    for c in TRIP_CONTRACT.columns:
+    for c in present:
         if c.allowed_values:
             allowed = ", ".join(str(v) for v in c.allowed_values)
             unexp.append(
                 f"unexp__{c.name} AS (SELECT count(*) AS n_unexpected__{c.name}, "
-                f"'[' || coalesce(string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v), '') || ']' "
-                f"AS unexpected__{c.name} FROM (SELECT DISTINCT {c.name} AS v FROM {src} "
-                f"WHERE {c.name} IS NOT NULL AND {c.name} NOT IN ({allowed}) ORDER BY v LIMIT 10))")
+                f"'[' || coalesce(string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) FILTER (WHERE r <= 10), '') || ']' "
+                f"AS unexpected__{c.name} FROM (SELECT v, row_number() OVER (ORDER BY v) AS r FROM "
+                f"(SELECT DISTINCT {c.name} AS v FROM {src} "
+                f"WHERE {c.name} IS NOT NULL AND {c.name} NOT IN ({allowed}))))")
     return (f"m AS (SELECT {', '.join(parts)} FROM {src}),\n"
             f"dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows, "
             f"count(*) AS distinct_rows FROM (SELECT count(*) AS c FROM {src} GROUP BY {cols})),\n"
@@ -337,9 +339,10 @@ def _pct_text(frac: str, n: int) -> str:
     return f"printf('%.{n}f%%', {r(f'({frac}) * 100e0', n)})"
 
 
-def _findings_cte() -> str:
+def _findings_cte(missing: tuple = ()) -> str:
     t = TRIP_CONTRACT
-    frm = "FROM m, dup" + "".join(f", unexp__{c.name}" for c in t.columns if c.allowed_values)
+    present = [c for c in t.columns if c.name not in missing]
+    frm = "FROM m, dup" + "".join(f", unexp__{c.name}" for c in present if c.allowed_values)
     sel = []
 
     def add(fired, sev, check, column, message, vc="CAST(NULL AS BIGINT)",
@@ -349,9 +352,11 @@ def _findings_cte() -> str:
                    f"{message} AS message, CAST({vc} AS BIGINT) AS violation_count, "
                    f"CAST({nf} AS DOUBLE) AS null_fraction {frm} WHERE {fired}")
 
+    for name in missing:
+        add("true", "error", "column_exists", name, lit(f"Required column '{name}' is missing"))
     add(f"n_rows < {t.min_row_count}", "error", "min_row_count", None,
         f"format('Dataset has {{:,}} rows — below minimum {t.min_row_count:,}', n_rows)")
-    for c in t.columns:
+    for c in present:
         frac = f"CAST(nulls__{c.name} AS DOUBLE) / NULLIF(n_rows, 0)"
         if not c.nullable:
             add(f"{frac} > 0", "error", "not_nullable", c.name,
@@ -361,7 +366,7 @@ def _findings_cte() -> str:
             add(f"{frac} > {t.max_null_fraction}", "warning", "high_null_fraction", c.name,
                 f"{lit(chr(39) + c.name + chr(39) + ' has ')} || {_pct_text(frac, 1)} || "
                 f"{lit(f' nulls (threshold {t.max_null_fraction * 100:.0f}%)')}", nf=frac)
-    for c in t.columns:
+    for c in present:
         for kind, v, word, pre in (("min_value", c.min_value, "below min", "below"),
                                    ("max_value", c.max_value, "above max", "above")):
             if v is None:
@@ -371,7 +376,7 @@ def _findings_cte() -> str:
                 f"CAST({cnt} AS VARCHAR) || "
                 f"{lit(f' rows {word} {_bound_text(c, v)} in ' + chr(39) + c.name + chr(39))}",
                 vc=cnt)
-    for c in t.columns:
+    for c in present:
         if c.allowed_values:
             add(f"n_unexpected__{c.name} > 0", "warning", "allowed_values", c.name,
                 f"{lit(f'Unexpected values in ' + chr(39) + c.name + chr(39) + ': ')} "
@@ -430,6 +435,14 @@ def oracle_sql() -> dict[str, str]:
     out = _core_oracle_sql()
     val = (_metrics_cte(), _findings_cte())
     out["validate"] = _wq(*val) + "SELECT * FROM findings"
+    faulty = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in FAULTY_EXPRS) + " FROM trips"
+    out["validate_faulty"] = _wq(
+        f"once AS ({faulty})", f"faulty AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE {FAULTY_AGAIN})",
+        _metrics_cte("faulty", ("payment_type",)), _findings_cte(("payment_type",))) + "SELECT * FROM findings"
+    per_date = ", ".join(f"{'min' if c == P else 'max'}({c}) AS {c}" for c in TRIP_CONTRACT.column_names)
+    out["validate_too_few"] = _wq(
+        f"few AS (SELECT {per_date} FROM trips GROUP BY CAST({P} AS DATE))",
+        _metrics_cte("few"), _findings_cte()) + "SELECT * FROM findings"
     out["validation_summary"] = _wq(*val, _summary_cte()) + "SELECT * FROM vsum"
     out["null_fractions"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(
         f"SELECT {lit(c.name)} AS \"column\", {str(c.nullable).lower()} AS nullable, "

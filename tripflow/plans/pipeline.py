@@ -1,10 +1,10 @@
 """One daily run, end to end, as Spark jobs that communicate through tables.
 
     ingest -> raw CSV (per run date) -> typed Parquet staging
-           -> validate (one aggregate + duplicate count + top-10 distinct) -> gate
-           -> strict filter (clean / dead letter from one tagged plan)
-           -> features + zone joins -> trips table (date partitions replaced)
-           -> daily facts (replaced for the batch's dates) -> load counts
+           -> validate the text (one aggregate + duplicate count + top-10 distinct) -> gate
+           -> strict filter (clean / dead letter; rows of other dates are dead letter)
+           -> features + zone joins -> trips table (the run date's partition replaced)
+           -> daily facts (replaced for the run date) -> load counts
            -> audit row -> analytics views
 
 Every step reads the previous step's *written* table, so a lost executor
@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,7 @@ from tripflow.operators import aggregates as agg
 from tripflow.operators import audit as aud
 from tripflow.operators import tables as tbl
 from tripflow.operators import validate as val
-from tripflow.operators.clean import row_gate, split_clean_dead
+from tripflow.operators.clean import row_gate, split_clean_dead, split_other_dates
 from tripflow.operators.enrich import derive_features
 from tripflow.operators.zones import join_zones, read_zone_lookup, zone_fallback
 from tripflow.plans import analytics as an
@@ -55,9 +57,6 @@ class Layout:
         return self.path(f"validation_reports/run_date={run_date}")
 
 
-FACTS = ("agg_by_zone", "agg_by_hour", "agg_payment")
-
-
 def _zones(spark: SparkSession, zone_path: str | None) -> DataFrame | None:
     if zone_path and tbl._exists(spark, zone_path):
         return read_zone_lookup(spark, zone_path)
@@ -74,68 +73,89 @@ def transform(clean: DataFrame, zones: DataFrame | None) -> DataFrame:
 
 
 def build_facts(trips: DataFrame) -> dict[str, DataFrame]:
+    """The daily facts; shares are of their own date, so that they do not
+    depend on which dates are loaded together."""
     return {"agg_by_zone": agg.zone_aggregates(trips),
             "agg_by_hour": agg.hourly_demand(trips),
-            "agg_payment": agg.payment_breakdown(trips)}
+            "agg_payment": agg.payment_breakdown(trips, within="pickup_date")}
 
 
-def run(spark: SparkSession, run_date: str, layout: Layout, source_path: str | None = None,
-        zone_path: str | None = None, min_rows: int = TRIP_CONTRACT.min_row_count,
-        synthetic_rows: int = 5000) -> dict:
-    """Run one date; returns the run metrics (the audit row's values)."""
+@contextmanager
+def audited(spark: SparkSession, run_date: str, layout: Layout) -> Iterator[dict]:
+    """The run's metrics, which become one audit row however the run ends."""
     started = dt.datetime.now()
-    run_id = f"run_{run_date.replace('-', '')}"
-    metrics = {"run_id": run_id, "run_date": run_date, "status": "failed"}
+    metrics = {"run_id": f"run_{run_date.replace('-', '')}", "run_date": run_date, "status": "failed"}
     try:
-        # ingest: source choice, raw text layer for the run date
-        df, source = rawsrc.ingest(spark, run_date, source_path, synthetic_rows)
-        raw_path = rawsrc.write_raw_csv(df, layout.raw, run_date)
-        # parse the CSV once into typed Parquet; later steps read this copy
-        typed = rawsrc.cast_trips_lenient(rawsrc.read_raw_text(spark, raw_path))
-        raw_rows = tbl.write_table(typed, layout.staging(run_date))
-        staged = spark.read.parquet(layout.staging(run_date))
-        metrics.update(source=source, raw_row_count=raw_rows)
-
-        # validate + gate (FAILED raises; warnings pass)
-        findings = val.validate(staged)
-        report = val.report(findings, raw_path)
-        val.write_report(report, layout.report(run_date))
-        summary = spark.read.json(layout.report(run_date))
-        status = val.assert_valid(summary.select("status", "error_count"))
-        metrics["validation_status"] = status
-
-        if not row_gate(staged, min_rows):
-            metrics.update(status="skipped", clean_row_count=0)
-            return metrics
-
-        # clean / dead letter, features, zones -> trips table
-        clean, dead = split_clean_dead(staged, STRICT)
-        (dead.withColumn("run_date", F.lit(run_date).cast("date"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_date").parquet(layout.path("dead_letter")))
-        trips = transform(clean, _zones(spark, zone_path))
-        clean_rows, dates = tbl.reload_partitions(spark, trips, layout.path("taxi_trips"),
-                                                  run_date)
-        metrics["clean_row_count"] = clean_rows
-
-        # facts for the dates this batch touched (partition-pruned read of the table)
-        loaded = spark.read.parquet(layout.path("taxi_trips")).where(
-            F.col("pickup_date").isin(dates))
-        for name, fact in build_facts(loaded).items():
-            tbl.reload_partitions(spark, fact, layout.path(name), run_date)
-
-        counts = tbl.load_counts(spark.read.parquet(layout.path("taxi_trips")), run_date).first()
-        metrics.update(loaded_rows=counts["loaded_rows"], total_rows=counts["total_rows"],
-                       status="success")
-        return metrics
+        yield metrics
     finally:
         rec = aud.audit_record(
-            spark, run_id, run_date, started, dt.datetime.now(),
+            spark, metrics["run_id"], run_date, started, dt.datetime.now(),
             metrics.get("raw_row_count", 0), metrics.get("clean_row_count", 0),
             metrics.get("validation_status", "N/A"), metrics["status"])
         aud.append_audit(rec, layout.path("pipeline_runs"))
 
 
+def create_tables(spark: SparkSession, layout: Layout) -> None:
+    """Every output table, empty where it does not exist yet."""
+    for name in TABLES:
+        by = {"pipeline_runs": None, "dead_letter": ["run_date"]}.get(name, ["pickup_date"])
+        tbl.init_table(spark, name, layout.path(name), by)
+
+
+def process(spark: SparkSession, run_date: str, layout: Layout, zones: DataFrame | None,
+            min_rows: int, metrics: dict) -> None:
+    """Everything behind ingest: the raw text of one run date to its tables."""
+    create_tables(spark, layout)
+    raw_path = f"{layout.raw}/run_date={run_date}"
+    text = rawsrc.read_raw_text(spark, raw_path)
+    # parse the CSV once into typed Parquet; later steps read this copy
+    raw_rows = tbl.write_table(rawsrc.cast_trips_lenient(text), layout.staging(run_date))
+    staged = spark.read.parquet(layout.staging(run_date))
+    metrics["raw_row_count"] = raw_rows
+
+    # validate the text as it came + gate (FAILED raises; warnings pass)
+    val.write_report(val.report(val.validate(text), raw_path), layout.report(run_date))
+    summary = spark.read.json(layout.report(run_date))
+    row = summary.select("status").first()
+    metrics["validation_status"] = row["status"]
+    val.assert_valid(summary.select("status", "error_count"))
+
+    if not row_gate(staged, min_rows):
+        metrics.update(status="skipped", clean_row_count=0)
+        return
+
+    # clean / dead letter, features, zones -> trips table
+    clean, dead = split_clean_dead(staged, STRICT)
+    clean, stray = split_other_dates(clean, run_date)
+    (dead.unionByName(stray).withColumn("run_date", F.lit(run_date).cast("date"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").parquet(layout.path("dead_letter")))
+    metrics["clean_row_count"] = tbl.reload_partitions(
+        spark, transform(clean, zones), layout.path("taxi_trips"), run_date)
+
+    # facts of the run date (partition-pruned read of the table)
+    trips = tbl.read_table(spark, "taxi_trips", layout.path("taxi_trips"))
+    loaded = trips.where(F.col("pickup_date") == F.lit(run_date).cast("date"))
+    for name, fact in build_facts(loaded).items():
+        tbl.reload_partitions(spark, fact, layout.path(name), run_date)
+
+    counts = tbl.load_counts(trips, run_date).first()
+    metrics.update(loaded_rows=counts["loaded_rows"], total_rows=counts["total_rows"],
+                   status="success")
+
+
+def run(spark: SparkSession, run_date: str, layout: Layout, source_path: str | None = None,
+        zone_path: str | None = None, min_rows: int = TRIP_CONTRACT.min_row_count,
+        synthetic_rows: int = 5000) -> dict:
+    """Run one date; returns the run metrics (the audit row's values)."""
+    with audited(spark, run_date, layout) as metrics:
+        # ingest: source choice, raw text layer for the run date
+        df, metrics["source"] = rawsrc.ingest(spark, run_date, source_path, synthetic_rows)
+        rawsrc.write_raw_csv(df, layout.raw, run_date)
+        process(spark, run_date, layout, _zones(spark, zone_path), min_rows, metrics)
+    return metrics
+
+
 TABLES = ("taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment", "pipeline_runs",
           "dead_letter")
 
@@ -148,17 +168,15 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     names = []
     for name in TABLES:
         if tbl._exists(spark, layout.path(name)):
-            spark.read.parquet(layout.path(name)).createOrReplaceTempView(name)
+            tbl.read_table(spark, name, layout.path(name)).createOrReplaceTempView(name)
             names.append(name)
     return names
 
 
 def analytics(spark: SparkSession, layout: Layout, run_date: str) -> dict[str, DataFrame]:
     """The report queries over the loaded tables (lazy DataFrames)."""
-    trips = spark.read.parquet(layout.path("taxi_trips"))
-    zone = spark.read.parquet(layout.path("agg_by_zone"))
-    hour = spark.read.parquet(layout.path("agg_by_hour"))
-    pay = spark.read.parquet(layout.path("agg_payment"))
+    trips, zone, hour, pay = (tbl.read_table(spark, name, layout.path(name)) for name in (
+        "taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment"))
     return {
         "top_zones": an.top_zones(zone),
         "hourly_heatmap": an.hourly_heatmap(hour),
@@ -180,7 +198,7 @@ def run_summary(spark: SparkSession, layout: Layout, run_date: str) -> DataFrame
     run_id = f"run_{run_date.replace('-', '')}"
     latest = aud.audit_latest(spark.read.parquet(layout.path("pipeline_runs"))) \
         .where(F.col("run_id") == run_id)
-    loaded = tbl.load_counts(spark.read.parquet(layout.path("taxi_trips")), run_date)
+    loaded = tbl.load_counts(tbl.read_table(spark, "taxi_trips", layout.path("taxi_trips")), run_date)
     return latest.withColumn("loaded_rows", loaded.select("loaded_rows").scalar())
 
 

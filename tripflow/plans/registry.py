@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.contract import BATCH, PINNED_DAY, STRICT
+from tripflow.contract import BATCH, PINNED_DAY, STRICT, TRIP_CONTRACT
 from tripflow.functions.exact import avg_fixed
 from tripflow.operators import aggregates as agg
 from tripflow.operators import audit as aud
@@ -26,7 +26,7 @@ from tripflow.plans import analytics as an
 from tripflow.plans.trips import (build_taxi_trips, clean_trips, daily_fact, featured_trips,
                                   raw_trips, taxi_trips, zones)
 from tripflow.sources import raw as rawsrc
-from tripflow.sources.fixture import table
+from tripflow.sources.fixture import FAULTY_AGAIN, FAULTY_EXPRS, table
 from tripflow.sources.synthetic import synthetic_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,19 @@ def _fresh_dates(spark, d):
     return aud.fresh_dates(dates, derived_audit(spark, d))
 
 
+def _faulty(spark, d):
+    trips = raw_trips(spark, d).select(*[F.expr(e).alias(n) for n, e in FAULTY_EXPRS])
+    return trips.unionAll(trips.where(FAULTY_AGAIN))
+
+
+def _per_date(spark, d):
+    """One row per pickup date: too few rows for the contract."""
+    rest = [c for c in TRIP_CONTRACT.column_names if c != rawsrc.PICKUP]
+    return (raw_trips(spark, d).groupBy(F.to_date(rawsrc.PICKUP))
+            .agg(F.min(rawsrc.PICKUP).alias(rawsrc.PICKUP), *[F.max(c).alias(c) for c in rest])
+            .select(*TRIP_CONTRACT.column_names))
+
+
 def _run_summary(spark, d):
     raw = raw_trips(spark, d)
     clean = clean_trips(spark, d, STRICT)
@@ -221,6 +234,8 @@ _MORE: dict[str, Query] = {
     "load_counts": lambda s, d: tbl.load_counts(_reloaded(s, d), PINNED_DAY),
     # H. validation
     "validate": lambda s, d: val.validate(raw_trips(s, d)),
+    "validate_faulty": lambda s, d: val.validate(rawsrc.as_text(_faulty(s, d))),
+    "validate_too_few": lambda s, d: val.validate(_per_date(s, d)),
     "null_fractions": lambda s, d: val.null_fractions(raw_trips(s, d)),
     "range_violations": lambda s, d: val.range_violations(raw_trips(s, d)),
     "allowed_values": lambda s, d: val.allowed_values(raw_trips(s, d)),

@@ -62,10 +62,13 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; set a local one only when unset
-    (local runs and tests)."""
+    """Use the session's checkpoint dir; set a local one only when unset and
+    the master is local (tests): on a cluster it would be a folder of each
+    machine."""
     root = checkpoint_root(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tripflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)

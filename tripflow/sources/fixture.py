@@ -30,7 +30,7 @@ TRIPS0_EXPRS = (
     ("extra_c", "CAST(floor(l_tax * 100e0 + 0.5e0) AS BIGINT) * 10 + 50 "
                 "- CASE WHEN l_partkey % 50 = 1 THEN 300 ELSE 0 END"),
     ("payment_type", "CAST(l_orderkey % 6 AS INT)"),
-    ("pickup_location_id", "CAST(l_suppkey AS INT)"),
+    ("pickup_location_id", "CAST(CASE WHEN l_suppkey % 10 = 9 THEN -l_suppkey ELSE l_suppkey END AS INT)"),
     ("dropoff_location_id", "CAST(l_partkey % 120 AS INT)"),
 )
 
@@ -54,7 +54,22 @@ ZONES_EXPRS = (
     ("zone_name", "s_name"),
     ("borough", "r_name"),
 )
-ZONES_FILTER = "s_suppkey % 10 <> 9"
+# Trips with every kind of fault the validation looks for: no payment_type, NULL
+# pickups, many NULL passenger counts and many vendors; FAULTY_AGAIN rows come twice.
+FAULTY_EXPRS = (
+    ("vendor_id", "CASE WHEN dropoff_location_id % 3 = 0 THEN 3 + dropoff_location_id ELSE vendor_id END"),
+    ("tpep_pickup_datetime", "CASE WHEN dropoff_location_id % 40 = 7 THEN NULL ELSE tpep_pickup_datetime END"),
+    ("tpep_dropoff_datetime", "tpep_dropoff_datetime"),
+    ("passenger_count", "CASE WHEN dropoff_location_id % 4 = 0 THEN NULL ELSE passenger_count END"),
+    ("trip_distance", "trip_distance"),
+    ("rate_code_id", "rate_code_id"),
+    ("fare_amount", "fare_amount"),
+    ("tip_amount", "tip_amount"),
+    ("total_amount", "total_amount"),
+    ("pickup_location_id", "pickup_location_id"),
+    ("dropoff_location_id", "dropoff_location_id"),
+)
+FAULTY_AGAIN = "pickup_location_id % 10 = 0"
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
 # --- end of fixed values ---
 
@@ -118,7 +133,6 @@ def zones_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFra
     from tripflow.operators.zones import broadcast_if_small
 
     return (supplier.select("s_suppkey", "s_name", "s_nationkey")
-            .where(ZONES_FILTER)
             .join(broadcast_if_small(nation.select("n_nationkey", "n_regionkey")),
                   F.col("s_nationkey") == F.col("n_nationkey"))
             .join(broadcast_if_small(region.select("r_regionkey", "r_name")),
@@ -144,4 +158,4 @@ def duckdb_fixture_ctes() -> str:
     return (f"trips0 AS (SELECT\n  {t0}\n FROM lineitem),\n"
             f"trips AS (SELECT\n  {t1}\n FROM trips0),\n"
             f"zones AS (SELECT {z} FROM supplier JOIN nation ON s_nationkey = n_nationkey "
-            f"JOIN region ON n_regionkey = r_regionkey WHERE {ZONES_FILTER})")
+            f"JOIN region ON n_regionkey = r_regionkey)")

@@ -1,8 +1,9 @@
 """Raw trip sources and the raw-layer sink.
 
-The raw layer is text: CSV read against an all-string schema (never
+The raw layer is text: CSV read as strings under its header (types are never
 inferred), then each column is converted with ``try_cast`` so a bad value
-becomes NULL instead of failing the job (Spark 4 runs in ANSI mode).
+becomes NULL instead of failing the job (Spark 4 runs in ANSI mode); NaN and
+infinities are bad values too.
 Integers go through DOUBLE first so that ``"1.0"`` (a nullable integer as
 pandas writes it) reads as 1.
 """
@@ -14,8 +15,9 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.contract import (FLOAT_COLUMNS, INT_COLUMNS, PINNED_DAY, RAW_TEXT_SCHEMA,
-                               SOURCE_RENAMES, TRIP_CONTRACT, TS_COLUMNS)
+from tripflow.contract import (FLOAT_COLUMNS, INT_COLUMNS, PINNED_DAY, SOURCE_RENAMES,
+                               TRIP_CONTRACT, TS_COLUMNS)
+from tripflow.functions.exact import measured
 
 log = logging.getLogger(__name__)
 
@@ -27,15 +29,16 @@ def typed(name: str) -> Column:
     if name in INT_COLUMNS:
         return F.expr(f"try_cast(try_cast(`{name}` AS DOUBLE) AS INT)").alias(name)
     if name in FLOAT_COLUMNS:
-        return F.expr(f"try_cast(`{name}` AS DOUBLE)").alias(name)
+        return measured(F.expr(f"try_cast(`{name}` AS DOUBLE)")).alias(name)
     if name in TS_COLUMNS:
         return F.expr(f"try_cast(`{name}` AS TIMESTAMP_NTZ)").alias(name)
     return F.col(name)
 
 
 def read_raw_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV -> all-string columns (explicit schema, no inference)."""
-    return spark.read.schema(RAW_TEXT_SCHEMA).option("header", True).csv(path)
+    """Header CSV -> all-string columns, named by the header (no inference),
+    so that a file without some column is not read by position."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
 def cast_trips(text: DataFrame) -> DataFrame:
@@ -82,13 +85,14 @@ def to_source_layout(trips: DataFrame, extra: dict[str, Column] | None = None) -
 
 
 def ingest(spark: SparkSession, run_date: str, source_path: str | None = None,
-           synthetic_rows: int = 5000, day: str = PINNED_DAY) -> tuple[DataFrame, str]:
-    """Choose the source: monthly Parquet (sliced to ``day``) when it
-    exists, else the synthetic generator.  Raises on an empty result."""
+           synthetic_rows: int = 5000, day: str | None = None) -> tuple[DataFrame, str]:
+    """Choose the source: monthly Parquet (sliced to ``day``) if it
+    exists, else the synthetic generator.  ``day`` is the run date unless
+    given.  Raises on an empty result."""
     from tripflow.sources.synthetic import synthetic_trips
 
     if source_path and _path_exists(spark, source_path):
-        df, source = standardise_columns(day_slice(spark.read.parquet(source_path), day)), "real"
+        df, source = standardise_columns(day_slice(spark.read.parquet(source_path), day or run_date)), "real"
     else:
         df, source = standardise_columns(synthetic_trips(spark.range(synthetic_rows), run_date)), "synthetic"
     if df.isEmpty():
