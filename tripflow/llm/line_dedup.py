@@ -36,6 +36,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +50,10 @@ EPS = 1e-9
 
 
 def _plain(text: Column) -> Column:
-    """Lower case, every kind of white space but line breaks one space."""
-    return F.translate(F.lower(text), "\t\r\f\x0b", "    ")
+    """Lower case, every kind of white space but line breaks one space (``translate``
+    takes letter by letter, so texts without such characters are spared it)."""
+    odd = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in "\t\r\f\x0b"])
+    return F.when(odd, F.translate(F.lower(text), "\t\r\f\x0b", "    ")).otherwise(F.lower(text))
 
 
 def word_hashes(plain: Column) -> Column:
@@ -83,8 +87,9 @@ def lines_of(rows: DataFrame) -> DataFrame:
 def bucket_classes(rows: DataFrame) -> Column:
     """The size classes of all buckets (binary logarithm of the words counted)
     as one literal array; the driver reads ``BUCKETS`` numbers."""
-    words = F.array_remove(F.split(F.translate(_plain(F.col("text")), "\n", " "), " "), "")
-    counts = (rows.select(F.explode(F.transform(words, lambda w: _bucket(_hash(w)))).alias("b"))
+    # hashed behind the explode: generated code, which lambdas are not
+    words = rows.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = (words.where(F.col("w") != "").select(_bucket(_hash(F.col("w"))).alias("b"))
               .groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect())
     classes = ["0"] * BUCKETS
     for r in counts:
