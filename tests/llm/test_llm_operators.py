@@ -169,6 +169,37 @@ def test_near_copies_found_and_others_left(spark):
     assert got == {i: group.index(g) for i, g in enumerate(group)}
 
 
+def test_near_star_family_against_brute_force(spark):
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    base = [r.choice(words) for _ in range(200)]
+    texts = [base]
+    for _ in range(200):  # 0.88 similar to the base, most pairs of them below 0.8
+        t = list(base)
+        for at in r.sample(range(8), 4):
+            i = at * 25 + r.randrange(19)
+            t[i:i + 6] = [r.choice(words) for _ in range(6)]
+        texts.append(t)
+    texts += [[r.choice(words) for _ in range(100)] + base[:100] for _ in range(40)]
+    code = {w: i for i, w in enumerate(words)}
+    arrays = [np.array([code[w] for w in t], "u8") for t in texts]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for j in range(len(texts)):
+        for i in range(j):
+            a, b = root(i), root(j)
+            if a != b and near_dedup.edit_distance_within(arrays[i], arrays[j], 40) is not None:
+                least[max(a, b)] = min(a, b)
+    docs = documents(spark, [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)]).repartition(4)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: root(i) for i in range(len(texts))}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)] + [(200, i) for i in range(201, 240)]
     got = {x["a"]: x["b"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
