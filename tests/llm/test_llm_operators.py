@@ -319,6 +319,38 @@ def test_mixture_stays_within_a_block(spark):
     assert len({(x["source"], x["block"], x["place"]) for x in out}) == len(out)
 
 
+@pytest.mark.parametrize("n", [3, 1500])
+def test_mixture_keeps_the_given_weights_over_many_periods(n):
+    r = random.Random(n)
+    weights = {f"s{i}": r.random() ** 3 + 1e-5 for i in range(n)}
+    weights["big"] = sum(weights.values()) / math.e
+    total = math.fsum(weights.values())
+    used, lag = Counter(), 0.0
+    steps = 20 * mixing.PERIOD
+    for slot, phase, s, block in mixing.schedule(dict.fromkeys(weights, 10**9), weights, 1):
+        lag = max(lag, abs(used[s] - slot * weights[s] / total))
+        assert phase == 0 and block == used[s]
+        used[s] += 1
+        lag = max(lag, abs(used[s] - (slot + 1) * weights[s] / total))
+        if slot + 1 == steps:
+            break
+    assert lag < 1 and all(abs(used[s] - steps * w / total) < 1 for s, w in weights.items())
+
+
+def test_mixture_of_more_than_a_thousand_sources(spark):
+    rows = [(i, "t", "en", f"s{i % 1100}" if i < 3300 else "big") for i in range(6600)]
+    weights = {f"s{j}": 0.5 / 1100 for j in range(1100)} | {"big": 0.5}
+    out = mixing.mix_sources(documents(spark, rows).repartition(4), weights, block_rows=1).collect()
+    assert sorted(x["slot"] for x in out) == list(range(6600)) and len({x["doc_id"] for x in out}) == 6600
+    first = sorted((x["slot"], x["source"]) for x in out if x["phase"] == 0)
+    used = Counter()
+    assert len(first) > 4000
+    for slot, s in first:
+        used[s] += 1
+        assert abs(used[s] - (slot + 1) * weights[s]) < 1
+    assert all(abs(used[s] - len(first) * w) < 1 for s, w in weights.items())
+
+
 @pytest.mark.parametrize("n", [1, 3, 20])
 def test_pfair_periods(n):
     r = random.Random(n)

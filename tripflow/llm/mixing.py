@@ -8,12 +8,13 @@ earliest deadline runs (ties: the successor-bit rule of Pfair scheduling, then
 the larger weight, then the name), so after any number t of slots a source
 has got ``t * w`` blocks to within one.
 
-Weights are rounded to multiples of 1/``PERIOD`` by largest remainder, so the
-schedule repeats every ``PERIOD`` slots: only one period is ever scheduled (a
-fixed number of steps, however large the corpus) and every row computes its
-own slot from its block number.  When a source runs out of blocks a new phase
-begins at a period boundary with the weights of the sources that are left, so
-no row is dropped and the bound holds in every phase.
+Weights are taken as they are given: releases and deadlines are exact integer
+quotients, so no rounding adds up over the slots and any number of sources
+keeps its targets.  The schedule is made slot by slot by one task (some
+microseconds a block, not a row) and stored as a table that rows find their
+slot in.  When a source runs out of blocks a new phase begins with the weights
+of the sources that are left, so no row is dropped and the bound holds in
+every phase.
 
 Defined results: a null source is a source of its own (``NULL_SOURCE``), rows
 that are equal in id get distinct places (ties by text), a weight of zero or
@@ -24,15 +25,18 @@ and those asked for are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tripflow.llm.common import id_key
+from tripflow.llm.common import stored
 
 PERIOD = 1000
 BLOCK_ROWS = 16
@@ -40,11 +44,14 @@ BLOCK_ROWS = 16
 ALPHA = 0.5
 # Rows ranked by one task at a time (expected).
 BUCKET_ROWS = 100_000
+# Blocks of a source in one row of the schedule's table.
+CHUNK = 4096
 NULL_SOURCE = "\u0000null"
 
 
 def quantise(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots of each source in one period: largest remainder, at least one."""
+    """Slots of each source in one period: largest remainder, at least one (for
+    a caller that wants a schedule that repeats; ``mix_sources`` does not round)."""
     total = math.fsum(weights.values())
     if len(weights) > period:
         period = len(weights)
@@ -81,30 +88,64 @@ def pfair_period(slots: dict[str, int]) -> dict[str, list[int]]:
     return got
 
 
-def phases(counts: dict[str, int], weights: dict[str, float],
-           block_rows: int = BLOCK_ROWS) -> list[tuple]:
-    """(phase, source, first block, first slot, slots of a period, length of a
-    period) for each phase that a source takes part in."""
+def schedule(counts: dict[str, int], weights: dict[str, float],
+             block_rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int, str, int]]:
+    """(slot, phase, source, block) of every block, slot by slot."""
     left = {s: -(-n // block_rows) for s, n in counts.items() if n > 0}
     done = dict.fromkeys(left, 0)
-    out, start, phase = [], 0, 0
+    slot = phase = 0
     while left:
         use = {s: weights.get(s, 0.0) for s in left if weights.get(s, 0.0) > 0} or dict.fromkeys(left, 1.0)
-        slots = quantise(use)
-        plan = pfair_period(slots)
-        period = sum(slots.values())
-        rounds = min(-(-left[s] // slots[s]) for s in use)
-        for s in sorted(use):
-            out.append((phase, s, done[s], start, plan[s], period))
-        for s in use:
-            took = min(left[s], rounds * slots[s])
-            done[s] += took
-            left[s] -= took
-            if not left[s]:
-                del left[s]
-        start += rounds * period
+        exact = {s: Fraction(repr(float(w))) for s, w in use.items()}  # 0.05 is 1/20
+        unit = math.lcm(*(w.denominator for w in exact.values()))
+        part = {s: int(w * unit) for s, w in exact.items()}
+        whole = sum(part.values())
+        got = dict.fromkeys(use, 0)
+        later, ready, t, full = [(0, s) for s in sorted(use)], [], 0, True
+        while full:
+            while later and later[0][0] <= t:
+                s = heapq.heappop(later)[1]
+                deadline, over = divmod((got[s] + 1) * whole, part[s])
+                heapq.heappush(ready, (deadline + (over > 0), over == 0, -part[s], s))
+            s = heapq.heappop(ready)[-1]
+            yield slot, phase, s, done[s]
+            got[s] += 1
+            done[s] += 1
+            left[s] -= 1
+            heapq.heappush(later, (got[s] * whole // part[s], s))
+            slot, t, full = slot + 1, t + 1, left[s] > 0
+        del left[s]
         phase += 1
-    return out
+
+
+def _scheduled(spark: SparkSession, counts: dict[str, int], weights: dict[str, float],
+               block_rows: int) -> DataFrame:
+    """(__s, __chunk, __at): phase and slot of ``CHUNK`` blocks of a source."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("phase", pa.int64()), ("slot", pa.int64())]))
+
+        def row(s: str, last: int, at: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([s]), pa.array([last // CHUNK], pa.int64()), pa.array([at], kind)],
+                names=["__s", "__chunk", "__at"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            open_: dict[str, list] = {}
+            last: dict[str, int] = {}
+            for slot, phase, s, block in schedule(counts, weights, block_rows):
+                at = open_.setdefault(s, [])
+                at.append((phase, slot))
+                last[s] = block
+                if len(at) == CHUNK:
+                    yield row(s, block, open_.pop(s))
+            for s, at in open_.items():
+                yield row(s, last[s], at)
+
+    one = spark.range(0, 1, 1, 1)
+    return stored(one.mapInArrow(run, "__s string, __chunk long, __at array<struct<phase:long,slot:long>>"))
 
 
 def _order_key(id_col: str, seed: int) -> Column:
@@ -132,7 +173,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None,
             .withColumn("__h", _order_key("__id", seed)))
     counts = {r["__s"]: r["n"] for r in base.groupBy("__s").agg(F.count(F.lit(1)).alias("n")).collect()}
     target = weights if weights is not None else {s: n ** ALPHA for s, n in counts.items()}
-    plan = phases(counts, target, block_rows)
+    table = _scheduled(spark, counts, target, block_rows)
 
     # rank within the source: rows of the buckets before, then the place in the bucket
     size = spark.createDataFrame(
@@ -151,34 +192,13 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None,
     ranked = ranked.join(before, ["__s", "__b"]).withColumn("__rank", F.col("__before") + F.col("__r"))
     ranked = ranked.withColumn("__block", F.floor(F.col("__rank") / block_rows).cast("long"))
 
-    ends = {}
-    for phase, s, first, start, offsets, period in plan:
-        ends.setdefault(s, []).append((phase, first, start, offsets, period))
-    rows = []
-    for s, parts in ends.items():
-        for i, (phase, first, start, offsets, period) in enumerate(parts):
-            last = parts[i + 1][1] if i + 1 < len(parts) else 1 << 62
-            rows.append((s, phase, first, last, start, offsets, period))
-    schema = T.StructType([
-        T.StructField("__s", T.StringType()), T.StructField("phase", T.LongType()),
-        T.StructField("__first", T.LongType()), T.StructField("__last", T.LongType()),
-        T.StructField("__start", T.LongType()),
-        T.StructField("__offsets", T.ArrayType(T.LongType())), T.StructField("__period", T.LongType())])
-    # a source's phases as one array, so that the join is an equality of sources
-    schedule = (spark.createDataFrame(rows, schema).groupBy("__s")
-                .agg(F.collect_list(F.struct("phase", "__first", "__last", "__start", "__offsets",
-                                             "__period")).alias("__phases")))
-    out = ranked.join(F.broadcast(schedule), "__s").withColumn(
-        "__p", F.filter("__phases", lambda p: (p["__first"] <= F.col("__block"))
-                        & (F.col("__block") < p["__last"]))[0])
-    j = F.col("__block") - F.col("__p.__first")
-    e = F.size("__p.__offsets")
-    slot = (F.col("__p.__start") + F.floor(j / e) * F.col("__p.__period")
-            + F.element_at("__p.__offsets", (F.pmod(j, e.cast("long")) + 1).cast("int")))
+    ranked = ranked.withColumn("__chunk", F.floor(F.col("__block") / CHUNK).cast("long"))
+    out = ranked.join(table, ["__s", "__chunk"])
+    out = out.withColumn("__p", F.get("__at", F.pmod("__block", F.lit(CHUNK)).cast("int")))
     return out.select(
         F.col("__id").alias(id_col), F.col("__source").alias(source_col),
         F.col("__block").alias("block"), F.col("__p.phase").alias("phase"),
-        slot.cast("long").alias("slot"), F.pmod("__rank", F.lit(block_rows)).cast("int").alias("place"),
+        F.col("__p.slot").alias("slot"), F.pmod("__rank", F.lit(block_rows)).cast("int").alias("place"),
         *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)])
 
 
