@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripflow.llm import (ann, language_id, licenses, line_dedup, mixing, near_dedup, queries,
                           sentencepiece_codec, substring_dedup, topk, url_filter)
+from tripflow.llm import common
 from tripflow.llm.components import components
 from tripflow.llm.license_texts import TEXTS
 
@@ -395,6 +396,28 @@ def test_pipeline_stages(spark, sf0001):
     assert classes.where("doc_id <> class_id").count() == 0
 
 
+def test_pipeline_returns_the_mixture(spark):
+    sizes = {"a": 2500, "b": 900, None: 400}
+    rows = [(None if i % 3 == 0 else i, f"text {i % 350} {s}", "en", s) for s, n in sizes.items() for i in range(n)]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").repartition(7)
+    kept = common.stored(corpus_pipeline.mix_by_source(spark, docs, ""))
+    got = corpus_pipeline.tokenise(spark, kept, "").collect()
+    places = [(x["slot"], x["place"]) for x in got]
+    assert len(set(places)) == len(rows) and None not in {s for s, _ in places}
+    weights = {s: n ** mixing.ALPHA for s, n in sizes.items()}
+    names = {corpus_pipeline.tokenise(spark, docs.limit(0), "").columns == list(got[0].asDict())}
+    assert names == {True}
+    sha = {}
+    for x in sentencepiece_codec.encode(docs.select("doc_id", "text", "source"), MODEL, carry=["source"]).collect():
+        sha[x["ids_sha256"]] = x["source"]
+    slots = sorted({(x["slot"], sha[x["ids_sha256"]]) for x in got})
+    used = Counter()
+    for t, (slot, s) in enumerate(slots[:40]):
+        used[s] += 1
+        assert slot == t
+        assert all(abs(used[k] - (t + 1) * w / sum(weights.values())) < 1 for k, w in weights.items())
+
+
 @pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES], ids=lambda s: s[0])
 def test_pipeline_stages_on_awkward_tables(spark, stage):
     docs = documents(spark, AWKWARD).select("doc_id", "text", "lang", "source", "n_chars")

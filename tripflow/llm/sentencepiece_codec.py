@@ -141,13 +141,16 @@ def codec(model: str) -> Codec:
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", id_col: str = "doc_id",
-           with_ids: bool = True, with_text: bool = True) -> DataFrame:
+           with_ids: bool = True, with_text: bool = True, carry: list[str] | None = None) -> DataFrame:
     """id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, where asked
-    for, ``ids`` and ``decoded``; one row per input row."""
-    src = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
+    for, ``ids`` and ``decoded``, and the columns named in ``carry``; one row
+    per input row."""
+    carry = carry or []
+    src = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"), *carry)
     schema = f"{id_col} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" if with_ids else ""
     schema += ", decoded string" if with_text else ""
+    schema += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
@@ -170,6 +173,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", id_col: str = "d
                 if with_text:
                     cols.append(pa.array(texts, pa.string()))
                     names.append("decoded")
+                cols += [part.column(c) for c in carry]
+                names += carry
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return src.mapInArrow(run, schema)
