@@ -243,6 +243,16 @@ def test_url_association_rules_are_mined(spark):
     assert got[1]["mined_rule"] == "dir:ads host:spam"
 
 
+def test_url_patterns_deep_in_the_path_and_in_the_file_name(spark):
+    rows = [(i, f"http://h.net/a/b/c/d/{'ads' if i % 4 == 1 else 'doc'}/{i}") for i in range(200)]
+    rows += [(i, f"http://h.net/a/{'Casino-offers' if i % 4 == 1 else 'plain_page'}-{i}.html") for i in range(200, 400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 4 == 1) for i, _ in rows], "doc_id long, block boolean")
+    got = {x["page_id"]: x for x in url_filter.judge_urls(pages, labels).collect()}
+    assert all((got[i]["verdict"] == "block") == (i % 4 == 1) for i in got)
+    assert got[1]["mined_rule"] == "dir:ads" and got[201]["mined_rule"] in ("file:casino", "file:offers")
+
+
 VECTORS = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
            (None, [1.0, 2.0]), (20, [1.0, 2.0]), (40, [1.0, 2.0]), (100, [1.0, 2.1]), (7, [3.0, -1.5]), (8, [1.0, 2.0, 3.0]),
            (9, [1e-3, 5.0])]

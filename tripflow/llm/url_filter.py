@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.55
-MAX_PATH_TOKENS = 4  # leading directories that become tokens
 VERDICT_ITEM = "verdict="
 
 # Fixed rules: (host and path, verdict)
@@ -63,18 +62,21 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Sorted distinct tokens: host labels, leading directories, the extension
-    and the names of query arguments.  Pure numbers are no tokens."""
+    """Sorted distinct tokens: host labels, every directory, the words of the
+    file name, the extension and the names of query arguments.  Pure numbers
+    are no tokens."""
     labels = F.transform(F.split(host, r"\."), lambda x: F.concat(F.lit("host:"), x))
     parts = F.split(path, "/")
-    dirs = F.slice(parts, 2, F.greatest(F.least(F.size(parts) - 2, F.lit(MAX_PATH_TOKENS)), F.lit(0)))
+    dirs = F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
     dirs = F.transform(dirs, lambda x: F.concat(F.lit("dir:"), F.lower(x)))
+    file = F.regexp_replace(F.lower(F.element_at(parts, -1)), r"\.[a-z]{1,8}$", "")
+    words = F.transform(F.split(file, r"[^\p{L}\p{N}]+"), lambda x: F.concat(F.lit("file:"), x))
     ext = F.regexp_extract(path, r"\.([A-Za-z]{1,8})$", 1)
     ext = F.array(F.concat(F.lit("ext:"), F.lower(ext)))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1)
     args = F.transform(F.split(query, "&"),
                        lambda x: F.concat(F.lit("arg:"), F.substring_index(x, "=", 1)))
-    every = F.array_distinct(F.concat(labels, dirs, ext, args))
+    every = F.array_distinct(F.concat(labels, dirs, words, ext, args))
     return F.array_sort(F.filter(every, lambda x: ~x.rlike(r"^[a-z]+:[0-9]*$")))
 
 
