@@ -127,6 +127,32 @@ def test_lines_against_brute_force(spark):
     assert got == brute_lines(rows)
 
 
+def test_lines_of_rows_without_id_whose_texts_share_a_32_bit_hash(spark):
+    even = F.col("id") % 2 == 0  # whose second line goes
+    at = F.concat(F.lit("line "), F.col("id"), F.lit(" first\n"), F.when(even, F.lit("first line ")).otherwise(
+        F.lit("some other words ")), F.col("id"))
+    some = spark.range(400_000).select(F.hash(at).alias("h"), at.alias("t"), even.alias("even"))
+    twins = some.groupBy("h").agg(F.max(F.when(F.col("even"), F.col("t"))).alias("a"),
+                                  F.max(F.when(~F.col("even"), F.col("t"))).alias("b")).dropna()
+    _, a, b = twins.orderBy("h").first()
+    rows = [(None, a, "en", "a"), (None, b, "en", "a"), (9, "different words", "en", "a")]
+    got = line_dedup.dedup_lines(documents(spark, rows)).collect()
+    assert sorted(x["kept"] for x in got) == sorted([a.split("\n")[0], b, "different words"])
+
+
+def test_near_copies_without_id_or_of_one_id_are_dropped(spark):
+    words = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, words, "en", "a"), (None, words, "en", "a"), (None, words + " more", "en", "a"),
+            (3, "other " + words.upper(), "en", "a"), (3, words + " again", "en", "a"), (4, words, "en", "a"),
+            (None, "quite another text of its own", "en", "a"), (7, "a b c d e f g", "en", "a"),
+            (7, "h i j k l m n", "en", "a")]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted((str(x["doc_id"]), x["text"]) for x in got if x["doc_id"] != 3) == [
+        ("7", "a b c d e f g"), ("7", "h i j k l m n"), ("None", "quite another text of its own")]
+    assert sum(x["doc_id"] == 3 for x in got) == 1
+
+
 def edit_distance(x, y):
     p = list(range(len(y) + 1))
     for i, a in enumerate(x, 1):

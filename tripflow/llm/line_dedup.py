@@ -71,9 +71,9 @@ def _bucket(h: Column) -> Column:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """(k1, k2, text, c0, c1 ...): the id and a hash of the text are the key."""
+    """(k1, k2, text, c0, c1 ...): the id and 64 bits of hash of the text are the key."""
     text = F.col(text_col).cast("string")
-    return docs.select(id_key(id_col).alias("k1"), F.hash(text).alias("k2"), text.alias("text"),
+    return docs.select(id_key(id_col).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"),
                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
 
 
