@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -243,6 +244,36 @@ def test_licenses(spark):
     assert got[2]["notices"] == ["MIT"] and got[1]["notices"] == []
 
 
+ISC_WRAPPED = """ISC License
+
+Copyright (c) 2021, Some One <one@example.org>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+"""
+
+
+def test_licenses_in_their_usual_line_breaks(spark):
+    isc = next(t for n, t in TEXTS if n == "ISC").split("\n\n")[1]
+    rows = [(0, ISC_WRAPPED + textwrap.fill(isc, 75), "en", "a")]
+    names = ["ISC"]
+    for name, text in TEXTS:
+        if len(text) < 4000:  # the long ones are in their line breaks
+            for width in (60, 72, 79):
+                wrapped = "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+                rows.append((len(rows), "Copyright 2020 Some One\n\n" + wrapped, "en", "a"))
+                names.append(name)
+        else:
+            rows.append((len(rows), text.replace("[yyyy] [name of copyright owner]", "2020 Some One"), "en", "a"))
+            names.append(name)
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0",
+            "Unlicense", "CC0-1.0"} <= set(names)
+    got = {x["doc_id"]: x["license"] for x in licenses.scan_licenses(documents(spark, rows)).collect()}
+    assert got == dict(enumerate(names))
+
+
 PAGES = [(1, "http://A.example.org/en/1?x=1"), (2, "https://example.org/es/2#t"), (3, "http://x.com/de/1"),
          (4, "http://x.com/fr/1"), (5, None), (6, "no scheme"), (7, "http://x.net"), (8, "http://y.org"),
          (9, "HTTP://notexample.org/es/2"), (None, "http://x.net/a"), (1, "http://A.example.org/en/1?x=1")]

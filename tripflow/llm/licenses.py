@@ -1,8 +1,9 @@
 """License scan by canonical digests (DataFrame functions only).
 
 A text is made canonical line by line: lower case, copyright lines left out
-(a line that begins, after anything that is no letter, with ``copyright``,
-``(c)`` or the copyright sign), every run of characters other than letters
+(a line that begins, after anything that is no letter, with the copyright sign,
+or with ``copyright`` or ``(c)`` and the sign, a year or the form's ``[yyyy]``;
+other lines that begin so are text), every run of characters other than letters
 and digits one space, equivalent spellings made one.  The SHA-256 of the whole
 canonical text is hash-joined to the digests of known licence texts; the
 digests of its single lines are looked up among those of known notices.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.license_texts import NOTICES, SPELLINGS, TEXTS
 
 MAX_KNOWN = 20_000
-COPYRIGHT_LINE = r"^[^\p{L}(©]*(copyright|\(c\)|©)"
+COPYRIGHT_LINE = r"^[^\p{L}(©]*(copyright:?\s*(\(c\)|©|[\[<{(]?([0-9]{4}|yyyy|year))|\(c\)\s*(copyright|[0-9]{4})|©)"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
