@@ -358,6 +358,23 @@ def test_nearest_neighbours_recall(spark, sf0001):
     assert hits >= 0.9 * 10 * len(got)
 
 
+def test_outliers_and_rare_lengths_have_neighbours(spark):
+    r = np.random.default_rng(5)
+    mean = np.ones(32)
+    many = [(i, (mean + 0.05 * r.standard_normal(32)).tolist()) for i in range(1, 6000)]
+    many += [(100_000, (-mean).tolist())] + [(200_000 + i, r.standard_normal(7).tolist()) for i in range(15)]
+    df = spark.createDataFrame(many, "vec_id long, embedding array<float>")
+    asked = F.col("id").isin(100_000, 200_000, 200_001)
+    got = {}
+    for x in ann.nearest_neighbours(df, asked, k=10).orderBy("query_id", "rank").collect():
+        got.setdefault(x["query_id"], []).append(x["vec_id"])
+    ids, of = np.array([i for i, _ in many]), dict(many)
+    for q in (100_000, 200_000, 200_001):
+        d = sorted((float(((np.float32(of[i]) - np.float32(of[q])).astype("f8") ** 2).sum()), int(i))
+                   for i in ids if i != q and len(of[i]) == len(of[q]))
+        assert got[q] == [i for _, i in d[:10]]
+
+
 def test_language_accuracy_on_held_out_documents(spark, sf0001):
     docs = spark.read.parquet(f"{sf0001}/documents.parquet")
     out = queries.queries()["op8_language_id"](spark, sf0001).join(docs.select("doc_id", "lang"), "doc_id")

@@ -8,7 +8,9 @@ NN-descent: each node introduces its ``SAMPLE`` nearest forward and reverse
 neighbours to each other (a join of neighbours of neighbours); pairs that
 improve one's list go into it.  It ends when a round lessens the sum of all
 distances by less than the share ``STILL``.  Reverse lists are cut to the ``SAMPLE`` nearest, as
-the method has it, so a hub introduces no more nodes than any other.
+the method has it, so a hub introduces no more nodes than any other.  Nodes
+that are left with fewer neighbours than there are (outliers alone in their
+cells) are compared with all nodes of their length.
 
 *Search.*  A query starts at its node's neighbours and goes on greedily: of
 its ``BEAM`` nearest nodes so far, those not yet expanded are expanded through
@@ -48,7 +50,7 @@ ROUNDS = 8  # at most; the graph is only a guide
 BEAM = 300
 
 
-def _signs(nodes: DataFrame, bits: int, trees: int) -> DataFrame:
+def _signs(nodes: DataFrame, bits_of: dict[int, int], trees: int) -> DataFrame:
     """(tree, cell, id, vec): the sides of random hyperplanes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +58,7 @@ def _signs(nodes: DataFrame, bits: int, trees: int) -> DataFrame:
         for b in batches:
             dims = b.column("dim").to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
-                part = b.take(pa.array(np.flatnonzero(dims == dim)))
+                part, bits = b.take(pa.array(np.flatnonzero(dims == dim))), bits_of[int(dim)]
                 if dim not in planes:
                     planes[dim] = np.random.default_rng(int(dim)).standard_normal((int(dim), bits * trees))
                 side = (matrix(part.column("vec")) @ planes[dim] > 0).reshape(len(part), trees, bits)
@@ -111,10 +113,26 @@ def _lists(pairs: DataFrame) -> DataFrame:
     return _nearest(dealt.groupBy("a", "b").agg(F.min("d").alias("d")), NEIGHBOURS)
 
 
-def knn_graph(nodes: DataFrame, n: int) -> DataFrame:
-    """(a, b, d): each of the n nodes (id, vec, dim) with its neighbours and
-    squared distances (a guide for the search, in the precision of a product)."""
-    bits = max(0, min(40, int(math.log2(max(1, n / CELL)))))
+def _exact_lists(nodes: DataFrame, graph: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b, d) between nodes with too short lists and all nodes of their
+    length, both ways; all are dealt to as many parts as there are tasks."""
+    n = shuffle_partitions(nodes.sparkSession)
+    listed = graph.groupBy("a").agg(F.count(F.lit(1)).alias("listed")).withColumnRenamed("a", "id")
+    short = (nodes.join(F.broadcast(sizes), "dim").join(listed, "id", "left")
+             .where(F.coalesce("listed", F.lit(0)) < F.least(F.lit(NEIGHBOURS), F.col("n") - 1)))
+    short = short.select(F.col("id").alias("q"), F.col("vec").alias("qv"), "dim",
+                         F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"))
+    every = nodes.select(F.col("id").alias("b"), "vec", "dim", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"))
+    pairs = _measured(every.join(short, ["dim", "part"]).where(F.col("q") != F.col("b")))
+    pairs = stored(pairs.select(F.col("q").alias("a"), "b", (F.col("d") * F.col("d")).alias("d")))
+    return pairs.union(pairs.select("b", "a", "d"))
+
+
+def knn_graph(nodes: DataFrame) -> DataFrame:
+    """(a, b, d): each node (id, vec, dim) with its neighbours and squared
+    distances (a guide for the search, in the precision of a product)."""
+    sizes = stored(nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")))
+    bits = {r["dim"]: max(0, min(40, int(math.log2(max(1, r["n"] / CELL))))) for r in sizes.collect()}
     cells = _signs(nodes, bits, TREES)
     full = (cells.groupBy("tree", "cell").agg(F.count(F.lit(1)).alias("n"))
             .select("tree", "cell", F.ceil(F.col("n") / (2 * CELL)).cast("long").alias("parts")))
@@ -135,7 +153,8 @@ def knn_graph(nodes: DataFrame, n: int) -> DataFrame:
         if total is None or total >= last * (1 - STILL):
             break
         last = total
-    return graph
+    more = _exact_lists(nodes, graph, sizes)
+    return graph if more.isEmpty() else stored(_lists(graph.union(more)))
 
 
 def _measured(pairs: DataFrame) -> DataFrame:
@@ -185,8 +204,7 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, id_col: str
     copies = stored(rows.groupBy("vec", "dim").agg(F.min("id").alias("node")).join(
         rows.select("id", "vec", "dim"), ["vec", "dim"]).select("node", "id", "dim", "vec").distinct())
     nodes = copies.where(F.col("node") == F.col("id")).select("id", "vec", "dim")
-    n = nodes.count()
-    graph = knn_graph(nodes.repartition(shuffle_partitions(df.sparkSession), "id"), n)
+    graph = knn_graph(nodes.repartition(shuffle_partitions(df.sparkSession), "id"))
     asked = copies.where(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("q"))
     queries = asked.select("q").distinct().join(
         nodes.select(F.col("id").alias("q"), F.col("vec").alias("qv"), "dim"), "q")
