@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import (ann, language_id, licenses, line_dedup, mixing,
+from tripflow.llm import (ann, language_id, lexical_search, licenses, line_dedup, mixing,
                           near_dedup, sentencepiece_codec, substring_dedup, topk,
                           url_filter)
 from tripflow.llm.common import table
@@ -73,6 +73,10 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
                                       with_ids=False, with_text=False)
 
 
+def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return lexical_search.rank(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
 def shipped(query: Query) -> Query:
     """Python workers find the package wherever the session was started."""
 
@@ -92,4 +96,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": licenses.oracle_sql()}
+    return {"op5_license_scan": licenses.oracle_sql(),
+            "op13_lexical_search": lexical_search.oracle_sql()}
