@@ -11,9 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import (ann, language_id, lexical_search, licenses, line_dedup, mixing,
-                          near_dedup, sentencepiece_codec, substring_dedup, topk,
-                          url_filter)
+from tripflow.llm import (ann, collocations, html_extract, language_id, lexical_search, licenses,
+                          line_dedup, mixing, near_dedup, sentencepiece_codec, substring_dedup,
+                          topk, url_filter)
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,14 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
                                       with_ids=False, with_text=False)
 
 
+def op11_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    return html_extract.extract(table(spark, d, "pages"))
+
+
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.mine(table(spark, d, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
     return lexical_search.rank(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
 
@@ -97,4 +105,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op5_license_scan": licenses.oracle_sql(),
+            "op12_collocations": collocations.oracle_sql(),
             "op13_lexical_search": lexical_search.oracle_sql()}
