@@ -152,7 +152,7 @@ def grams(docs: DataFrame, least: int = MIN_COUNT, chunk: int = CHUNK, fan: int
           text_col: str = "text") -> DataFrame:
     """The n-grams of every language with a count of ``least`` or more."""
     shards = stored(count_shards(docs, chunk, lang_col, text_col))
-    n = max(shards.select("shard").distinct().count(), 2)
+    n = max(shards.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0, 2)
     levels = max(1, math.ceil(math.log(n) / math.log(fan)))
     fan = math.ceil(n ** (1 / levels))
     shards = shards.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(fan ** levels)))
