@@ -3,11 +3,11 @@
 Per language, phrases of two and three words are scored by their count against
 the counts of the two parts of their weakest cut.
 
-1. *Shards.*  Each task counts the n-grams of about ``CHUNK`` bytes of a
-   language at a time and builds their automaton (``automata``) from the
-   sorted n-grams.
-2. *Union.*  Automata are cut into prefix ranges and the ranges of up to
-   ``FAN`` shards are united, weights summed, level by level: every level
+1. *Shards.*  Each task holds up to ``HELD`` bytes of text, counts the n-grams
+   of the language with most of it, at most ``CHUNK`` bytes at a time, and builds
+   their automaton (``automata``) from the sorted n-grams.
+2. *Union.*  Automata are cut into ``FAN`` prefix ranges and the same range of
+   up to ``FAN`` shards is united, weights summed, level by level: every level
    splits finer and unites more shards, so a group stays at about the size of
    a shard however large the corpus is.  A frequent word or phrase is one path
    of each shard, so it is no hot key.
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,8 @@ from tripflow.llm import automata
 from tripflow.llm.common import stored
 
 CHUNK = 8 << 20  # bytes of text counted together
-FAN = 64  # shards united at a level, at most
+HELD = 3 * CHUNK  # bytes of text a task holds before it counts
+FAN = 64  # ranges cut and shards united at a level (fewer at the last of several)
 MIN_COUNT = 10
 TOP = 2000
 COVERED = 50  # per cent of a phrase's occurrences inside a longer one
@@ -71,37 +73,44 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["lang", "rng", "shard", "blob"])
 
 
-def count_shards(docs: DataFrame, chunk: int = CHUNK, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def count_shards(docs: DataFrame, chunk: int = CHUNK, held_bytes: int = HELD, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, rng, shard, blob): the automata of the shards, not yet cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = itertools.count(TaskContext.get().partitionId() << 32)
         held: dict[str, list[bytes]] = {}
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            return _rows([(lang, 0, next(numbers), bytes(automata.count(texts))) for lang, texts in held.items()])
+        size: Counter[str] = Counter()
+
+        def flush(lang: str) -> Iterator[pa.RecordBatch]:
+            texts, n = [], 0
+            for part in held.pop(lang):
+                if texts and n + len(part) > chunk:
+                    yield _rows([(lang, 0, next(numbers), bytes(automata.count(texts)))])
+                    texts, n = [], 0
+                texts.append(part)
+                n += len(part) + 1
+            yield _rows([(lang, 0, next(numbers), bytes(automata.count(texts)))])
 
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("t").to_pylist(), strict=True):
                 folded = text.encode("utf-8").translate(automata.FOLD)
-                for part in _cut(folded, chunk):
-                    if size + len(part) > chunk and held:
-                        yield flush()
-                        held, size = {}, 0
-                    held.setdefault(lang, []).append(part)
-                    size += len(part) + 1
-        if held:
-            yield flush()
+                held.setdefault(lang, []).extend(_cut(folded, chunk))
+                size[lang] += len(folded) + 1
+                if size.total() > held_bytes:
+                    largest = max(held, key=size.__getitem__)
+                    yield from flush(largest)
+                    del size[largest]
+        for lang in list(held):
+            yield from flush(lang)
 
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").alias("t")).where(F.octet_length("t") > 0)
     return texts.mapInArrow(run, _SHARDS)
 
 
-def _split(shards: DataFrame, fan: int, level: int) -> DataFrame:
-    """Automata of ``fan`` times as many ranges; shards are numbered by group."""
-    ranges = fan ** level
+def _split(shards: DataFrame, ranges: int, fan: int) -> DataFrame:
+    """The automata cut into ranges, numbered by the group of ``fan`` shards
+    that is to be united."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -151,11 +160,12 @@ def _frequent(lang: str, a: automata.Automaton, least: int) -> pa.RecordBatch:
 def grams(docs: DataFrame, least: int = MIN_COUNT, chunk: int = CHUNK, fan: int = FAN, lang_col: str = "lang",
           text_col: str = "text") -> DataFrame:
     """The n-grams of every language with a count of ``least`` or more."""
-    shards = stored(count_shards(docs, chunk, lang_col, text_col))
-    n = max(shards.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0, 2)
-    levels = max(1, math.ceil(math.log(n) / math.log(fan)))
-    fan = math.ceil(n ** (1 / levels))
-    shards = shards.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(fan ** levels)))
+    shards = stored(count_shards(docs, chunk, 3 * chunk, lang_col, text_col))
+    n = shards.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    fans = [fan]
+    while math.prod(fans) < n:
+        fans.append(min(fan, math.ceil(n / math.prod(fans))))
+    shards = shards.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(math.prod(fans))))
 
     def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows([(key[0].as_py(), key[1].as_py(), key[2].as_py(), bytes(_united(batches, chunk)))])
@@ -163,12 +173,11 @@ def grams(docs: DataFrame, least: int = MIN_COUNT, chunk: int = CHUNK, fan: int
     def finish(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _frequent(key[0].as_py(), _united(batches, chunk), least)
 
-    for level in range(1, levels + 1):
-        groups = _split(shards, fan, level).groupBy("lang", "rng", "shard")
-        if level == levels:
-            return groups.applyInArrow(finish, _GRAMS)
-        shards = stored(groups.applyInArrow(unite, _SHARDS))
-    raise AssertionError("no level")
+    for level, fan in enumerate(fans, 1):
+        groups = _split(shards, math.prod(fans[:level]), fan).groupBy("lang", "rng", "shard")
+        if level < len(fans):
+            shards = stored(groups.applyInArrow(unite, _SHARDS))
+    return groups.applyInArrow(finish, _GRAMS)
 
 
 def mine(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, covered: int = COVERED, chunk: int = CHUNK,
