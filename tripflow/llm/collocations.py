@@ -44,7 +44,7 @@ from tripflow.llm.common import stored
 
 CHUNK = 8 << 20  # bytes of text counted together
 HELD = 3 * CHUNK  # bytes of text a task holds before it counts
-FAN = 64  # ranges cut and shards united at a level (fewer at the last of several)
+FAN = 128  # ranges cut and shards united at a level (fewer at the last of several)
 MIN_COUNT = 10
 TOP = 2000
 COVERED = 50  # per cent of a phrase's occurrences inside a longer one
