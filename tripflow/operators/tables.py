@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow import files
 from tripflow.contract import TABLE_SCHEMAS
 
 DATE_COL = "pickup_date"
@@ -39,7 +40,7 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
 def init_table(spark: SparkSession, name: str, path: str,
                partition_by: list[str] | None = None) -> None:
     """Create the table if it does not exist (CREATE TABLE IF NOT EXISTS)."""
-    if not _exists(spark, path):
+    if not files.exists(spark, path):
         writer = empty_table(spark, name).write.mode("ignore")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -89,7 +90,7 @@ def reload_partitions(spark: SparkSession, batch: DataFrame, path: str, run_date
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
     if not obs.get["of_run"]:
-        _delete(spark, f"{path}/{date_col}={run_date}")
+        files.delete(spark, f"{path}/{date_col}={run_date}")
     return int(obs.get["rows"])
 
 
@@ -98,20 +99,3 @@ def load_counts(table: DataFrame, run_date: str, date_col: str = DATE_COL) -> Da
     return table.agg(
         F.count_if(F.col(date_col) == F.lit(run_date).cast("date")).alias("loaded_rows"),
         F.count(F.lit(1)).alias("total_rows"))
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)

@@ -3,14 +3,15 @@
     ingest -> raw CSV (per run date) -> typed Parquet staging
            -> validate the text (one aggregate + duplicate count + top-10 distinct) -> gate
            -> strict filter (clean / dead letter; rows of other dates are dead letter)
-           -> features + zone joins -> trips table (the run date's partition replaced)
-           -> daily facts (replaced for the run date) -> load counts
-           -> audit row -> analytics views
+           -> features + zone joins -> trips table and daily facts, written beside the
+              live ones and published together (``operators/snapshots.py``)
+           -> load counts -> audit row -> analytics views
 
 Every step reads the previous step's *written* table, so a lost executor
 recomputes from the last table instead of from the source, and the typed
-staging copy means the CSV text is parsed exactly once.  Reloads replace
-whole ``pickup_date`` partitions: running a date twice leaves one copy.
+staging copy means the CSV text is parsed exactly once.  A load replaces the
+run date in all tables at once: running a date twice leaves one copy, and a
+run that fails half way leaves every table as it was.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tripflow.contract import STRICT, TAXI_TRIPS_SCHEMA, TRIP_CONTRACT
 from tripflow.operators import aggregates as agg
+from tripflow import files
 from tripflow.operators import audit as aud
+from tripflow.operators import snapshots as snap
 from tripflow.operators import tables as tbl
 from tripflow.operators import validate as val
 from tripflow.operators.clean import row_gate, split_clean_dead, split_other_dates
@@ -53,12 +56,15 @@ class Layout:
     def staging(self, run_date: str) -> str:
         return self.path(f"staging/run_date={run_date}")
 
+    def broken(self, run_date: str) -> str:
+        return self.path(f"broken_lines/run_date={run_date}")
+
     def report(self, run_date: str) -> str:
         return self.path(f"validation_reports/run_date={run_date}")
 
 
 def _zones(spark: SparkSession, zone_path: str | None) -> DataFrame | None:
-    if zone_path and tbl._exists(spark, zone_path):
+    if zone_path and files.exists(spark, zone_path):
         return read_zone_lookup(spark, zone_path)
     log.warning("Zone lookup not found at %s - zones fall back to 'unknown'", zone_path)
     return None
@@ -96,22 +102,25 @@ def audited(spark: SparkSession, run_date: str, layout: Layout) -> Iterator[dict
 
 
 def create_tables(spark: SparkSession, layout: Layout) -> None:
-    """Every output table, empty where it does not exist yet."""
-    for name in TABLES:
-        by = {"pipeline_runs": None, "dead_letter": ["run_date"]}.get(name, ["pickup_date"])
-        tbl.init_table(spark, name, layout.path(name), by)
+    """The tables outside the manifest, empty where they do not exist yet (those
+    in it read as empty before their first load)."""
+    tbl.init_table(spark, "pipeline_runs", layout.path("pipeline_runs"))
+    tbl.init_table(spark, "dead_letter", layout.path("dead_letter"), ["run_date"])
 
 
 def process(spark: SparkSession, run_date: str, layout: Layout, zones: DataFrame | None,
-            min_rows: int, metrics: dict) -> None:
-    """Everything behind ingest: the raw text of one run date to its tables."""
+            min_rows: int, metrics: dict, keep: int = 1) -> None:
+    """Everything behind ingest: the raw text of one run date to its tables, of
+    which the last ``keep`` versions stay readable."""
     create_tables(spark, layout)
     raw_path = f"{layout.raw}/run_date={run_date}"
-    text = rawsrc.read_raw_text(spark, raw_path)
+    text, broken = rawsrc.split_corrupt(rawsrc.read_raw_text(spark, raw_path))
     # parse the CSV once into typed Parquet; later steps read this copy
     raw_rows = tbl.write_table(rawsrc.cast_trips_lenient(text), layout.staging(run_date))
     staged = spark.read.parquet(layout.staging(run_date))
-    metrics["raw_row_count"] = raw_rows
+    metrics["corrupt_row_count"] = tbl.write_table(broken, layout.broken(run_date))
+    broken = spark.read.schema("raw_line string").parquet(layout.broken(run_date))
+    metrics["raw_row_count"] = raw_rows + metrics["corrupt_row_count"]
 
     # validate the text as it came + gate (FAILED raises; warnings pass)
     val.write_report(val.report(val.validate(text), raw_path), layout.report(run_date))
@@ -127,19 +136,21 @@ def process(spark: SparkSession, run_date: str, layout: Layout, zones: DataFrame
     # clean / dead letter, features, zones -> trips table
     clean, dead = split_clean_dead(staged, STRICT)
     clean, stray = split_other_dates(clean, run_date)
-    (dead.unionByName(stray).withColumn("run_date", F.lit(run_date).cast("date"))
+    corrupt = broken.withColumn("reject_reasons", F.array(F.lit("corrupt_line")))
+    (dead.unionByName(stray).unionByName(corrupt, allowMissingColumns=True)
+     .withColumn("run_date", F.lit(run_date).cast("date"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").parquet(layout.path("dead_letter")))
-    metrics["clean_row_count"] = tbl.reload_partitions(
-        spark, transform(clean, zones), layout.path("taxi_trips"), run_date)
-
-    # facts of the run date (partition-pruned read of the table)
-    trips = tbl.read_table(spark, "taxi_trips", layout.path("taxi_trips"))
-    loaded = trips.where(F.col("pickup_date") == F.lit(run_date).cast("date"))
-    for name, fact in build_facts(loaded).items():
-        tbl.reload_partitions(spark, fact, layout.path(name), run_date)
-
-    counts = tbl.load_counts(trips, run_date).first()
+    load = snap.Load(spark, layout.root)
+    # the gate is also a condition of the write itself
+    metrics["clean_row_count"] = load.write("taxi_trips", val.gated(transform(clean, zones), summary))
+    # the facts read the trips just written, not the raw rows again
+    for name, fact in build_facts(load.read("taxi_trips")).items():
+        load.write(name, fact)
+    load.commit([run_date])
+    snap.vacuum(spark, layout.root, keep)
+
+    counts = tbl.load_counts(read_tables(spark, layout)["taxi_trips"], run_date).first()
     metrics.update(loaded_rows=counts["loaded_rows"], total_rows=counts["total_rows"],
                    status="success")
 
@@ -156,8 +167,12 @@ def run(spark: SparkSession, run_date: str, layout: Layout, source_path: str | N
     return metrics
 
 
-TABLES = ("taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment", "pipeline_runs",
-          "dead_letter")
+TABLES = (*snap.MANAGED, "pipeline_runs", "dead_letter")
+
+
+def read_tables(spark: SparkSession, layout: Layout, version: int | None = None) -> dict[str, DataFrame]:
+    """The trips and their facts, all of one version (the latest unless given)."""
+    return snap.read(spark, layout.root, version=version)
 
 
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
@@ -165,17 +180,19 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     report SQL written against ``taxi_trips``, ``agg_by_zone``, ... runs as is
     in ``spark.sql`` (Parquet scans, with pruning and pushdown as for the
     DataFrame API).  Tables not written yet are skipped; returns the names."""
-    names = []
-    for name in TABLES:
-        if tbl._exists(spark, layout.path(name)):
-            tbl.read_table(spark, name, layout.path(name)).createOrReplaceTempView(name)
-            names.append(name)
-    return names
+    found = read_tables(spark, layout) if snap.versions(spark, layout.root) else {}
+    for name in set(TABLES) - set(snap.MANAGED):
+        if files.exists(spark, layout.path(name)):
+            found[name] = tbl.read_table(spark, name, layout.path(name))
+    for name, df in found.items():
+        df.createOrReplaceTempView(name)
+    return sorted(found)
 
 
 def analytics(spark: SparkSession, layout: Layout, run_date: str) -> dict[str, DataFrame]:
     """The report queries over the loaded tables (lazy DataFrames)."""
-    trips, zone, hour, pay = (tbl.read_table(spark, name, layout.path(name)) for name in (
+    tables = read_tables(spark, layout)
+    trips, zone, hour, pay = (tables[name] for name in (
         "taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment"))
     return {
         "top_zones": an.top_zones(zone),
@@ -198,7 +215,7 @@ def run_summary(spark: SparkSession, layout: Layout, run_date: str) -> DataFrame
     run_id = f"run_{run_date.replace('-', '')}"
     latest = aud.audit_latest(spark.read.parquet(layout.path("pipeline_runs"))) \
         .where(F.col("run_id") == run_id)
-    loaded = tbl.load_counts(tbl.read_table(spark, "taxi_trips", layout.path("taxi_trips")), run_date)
+    loaded = tbl.load_counts(read_tables(spark, layout)["taxi_trips"], run_date)
     return latest.withColumn("loaded_rows", loaded.select("loaded_rows").scalar())
 
 

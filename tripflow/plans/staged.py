@@ -21,22 +21,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.files import at as _fs
 from tripflow.session import ensure_checkpoint_dir
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
 @functools.cache
 def code_version() -> str:
-    """Hash of this package's source: changed code never reads a table that
-    older code staged."""
+    """Hash of this package's source (the text operators stage nothing here):
+    changed code never reads a table that older code staged."""
     root = pathlib.Path(__file__).resolve().parents[1]
     h = hashlib.sha1()
-    for f in sorted(root.rglob("*.py")):
+    for f in sorted(p for p in root.rglob("*.py") if p.relative_to(root).parts[0] != "llm"):
         h.update(str(f.relative_to(root)).encode())
         h.update(f.read_bytes())
     return h.hexdigest()
