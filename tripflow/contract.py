@@ -185,7 +185,7 @@ PIPELINE_RUNS_SCHEMA = _struct(
 
 DEAD_LETTER_SCHEMA = T.StructType(
     [*RAW_TRIPS_SCHEMA.fields, T.StructField("reject_reasons", T.ArrayType(T.StringType()), True),
-     T.StructField("run_date", T.DateType(), True)])
+     T.StructField("raw_line", T.StringType(), True), T.StructField("run_date", T.DateType(), True)])
 
 TABLE_SCHEMAS = {
     "taxi_trips": TAXI_TRIPS_SCHEMA,

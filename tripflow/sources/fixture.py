@@ -70,6 +70,25 @@ FAULTY_EXPRS = (
     ("dropoff_location_id", "dropoff_location_id"),
 )
 FAULTY_AGAIN = "pickup_location_id % 10 = 0"
+# Trips with fares and distances beyond every bound: huge, infinite and no numbers.
+EXTREME_EXPRS = (
+    ("vendor_id", "vendor_id"),
+    ("tpep_pickup_datetime", "tpep_pickup_datetime"),
+    ("tpep_dropoff_datetime", "tpep_dropoff_datetime"),
+    ("passenger_count", "passenger_count"),
+    ("trip_distance", "CASE WHEN dropoff_location_id % 30 = 5 THEN CAST('Infinity' AS DOUBLE) "
+                      "WHEN dropoff_location_id % 30 = 6 THEN 1e15 ELSE trip_distance END"),
+    ("rate_code_id", "rate_code_id"),
+    ("fare_amount", "CASE WHEN dropoff_location_id % 40 = 1 THEN 1e13 "
+                    "WHEN dropoff_location_id % 40 = 2 THEN CAST('Infinity' AS DOUBLE) "
+                    "WHEN dropoff_location_id % 40 = 3 THEN CAST('NaN' AS DOUBLE) "
+                    "WHEN dropoff_location_id % 40 = 4 THEN CAST('-Infinity' AS DOUBLE) ELSE fare_amount END"),
+    ("tip_amount", "tip_amount"),
+    ("total_amount", "total_amount"),
+    ("payment_type", "payment_type"),
+    ("pickup_location_id", "pickup_location_id"),
+    ("dropoff_location_id", "dropoff_location_id"),
+)
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
 # --- end of fixed values ---
 

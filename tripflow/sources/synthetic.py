@@ -54,11 +54,12 @@ def _choice(values: tuple, u: Column) -> Column:
     return F.element_at(arr, (F.floor(u * len(values)) + 1).cast("int"))
 
 
-def synthetic_trips(ids: DataFrame, run_date: str, id_col: str = "id") -> DataFrame:
-    """One synthetic trip per row of ``ids`` (a bigint id column)."""
+def synthetic_trips(ids: DataFrame, run_date: str | Column, id_col: str = "id") -> DataFrame:
+    """One synthetic trip per row of ``ids`` (a bigint id column) on the run
+    date, which may be a column of ``ids``."""
     i = F.col(id_col).cast("bigint")
     u = {k: uniform(i, k) for k in range(1, 14)}
-    base = F.lit(f"{run_date} 00:00:00").cast("timestamp_ntz")
+    base = (run_date if isinstance(run_date, Column) else F.lit(run_date)).cast("date").cast("timestamp_ntz")
     pickup_s = F.floor(u[1] * 86400)
     duration_min = _clip(-DURATION_MEAN_MIN * F.log(1 - u[2]), *DURATION_CLIP)
     distance = round_half_up(_clip(-DISTANCE_MEAN_MI * F.log(1 - u[3]), *DISTANCE_CLIP), 2)
