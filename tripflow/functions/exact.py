@@ -48,8 +48,8 @@ def ratio_units(col) -> Column:
     return F.floor(measured(col) * float(10 ** RATIO_DIGITS) + 0.5).cast("decimal(38,0)")
 
 
-def _avg_of_units(units_sum: Column, n_values: Column, digits: int, out: int) -> Column:
-    # sum / count in units, then to ``out`` decimals, half up.
+def avg_of_units(units_sum: Column, n_values: Column, digits: int, out: int) -> Column:
+    """sum / count in units, then to ``out`` decimals, half up."""
     mean_units = units_sum.cast("double") / F.nullif(n_values, F.lit(0))
     if digits >= out:
         scaled = mean_units / float(10 ** (digits - out))
@@ -61,12 +61,12 @@ def _avg_of_units(units_sum: Column, n_values: Column, digits: int, out: int) ->
 def avg_fixed(col, digits: int, out: int) -> Column:
     """Exact mean of a value with ``digits`` decimals (money: digits=2),
     rounded half up to ``out`` decimals."""
-    return _avg_of_units(F.sum(fixed_units(col, digits)), F.count(measured(col)), digits, out)
+    return avg_of_units(F.sum(fixed_units(col, digits)), F.count(measured(col)), digits, out)
 
 
 def avg_ratio(col, out: int) -> Column:
     """Mean of an arbitrary double quantised to 1e-6, rounded to ``out``."""
-    return _avg_of_units(F.sum(ratio_units(col)), F.count(measured(col)), RATIO_DIGITS, out)
+    return avg_of_units(F.sum(ratio_units(col)), F.count(measured(col)), RATIO_DIGITS, out)
 
 
 def sum_fixed(col, digits: int) -> Column:

@@ -99,7 +99,11 @@ def fare_anomalies(trips: DataFrame, k: int = 20, sigmas: float = ANOMALY_SIGMAS
     the two into one), so the trips are filtered in place: no join, no
     shuffle of the trips before the per-partition top-k.
     """
-    stats = fare_stats(trips)
+    return anomalies_above(trips, fare_stats(trips), k, sigmas)
+
+
+def anomalies_above(trips: DataFrame, stats: DataFrame, k: int, sigmas: float) -> DataFrame:
+    """G6 for a given mean and standard deviation (one row)."""
     mean, std = stats.select("mean_fare").scalar(), stats.select("std_fare").scalar()
     fare = F.col("fare_amount")
     out = (trips.select("tpep_pickup_datetime", "pickup_zone", "dropoff_zone", "trip_distance",

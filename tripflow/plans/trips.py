@@ -11,6 +11,7 @@ of the staged tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.contract import STRICT, TAXI_TRIPS_SCHEMA
 from tripflow.operators.clean import filter_rows
@@ -19,18 +20,34 @@ from tripflow.operators.zones import join_zones
 from tripflow.plans.staged import staged
 from tripflow.sources.fixture import load_trips, load_zones
 
+DAY = "staged_day"
+PICKUP = "tpep_pickup_datetime"
 TRIP_INPUTS = ("lineitem",)
 ZONE_INPUTS = ("supplier", "nation", "region")
 
 
-def _paths(sf_dir: str, names) -> list[str]:
+def source_paths(sf_dir: str, names) -> list[str]:
     return [f"{sf_dir}/{n}.parquet" for n in names]
 
 
+def _staged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed raw trips, staged once from ``lineitem`` and partitioned by the
+    pickup's date (``DAY``)."""
+    def build() -> DataFrame:
+        return load_trips(spark, sf_dir).withColumn(DAY, F.to_date(PICKUP))
+
+    return staged(spark, "raw_trips", build, source_paths(sf_dir, TRIP_INPUTS), partition_by=[DAY],
+                  cluster_by=[PICKUP])
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed raw trips (staged once from ``lineitem``)."""
-    return staged(spark, "raw_trips", lambda: load_trips(spark, sf_dir),
-                  _paths(sf_dir, TRIP_INPUTS))
+    """Typed raw trips."""
+    return _staged_raw(spark, sf_dir).drop(DAY)
+
+
+def raw_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """A3 on the staged raw trips: one partition is read."""
+    return _staged_raw(spark, sf_dir).where(F.col(DAY) == F.lit(day).cast("date")).drop(DAY)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +76,7 @@ def build_taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The analytics trips table, staged and partitioned by ``pickup_date``."""
     return staged(spark, "taxi_trips", lambda: build_taxi_trips(spark, sf_dir),
-                  _paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"],
+                  source_paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"],
                   cluster_by=["tpep_pickup_datetime"])
 
 
@@ -73,4 +90,4 @@ def daily_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     builders = {"agg_by_zone": agg.zone_aggregates, "agg_by_hour": agg.hourly_demand,
                 "agg_payment": agg.payment_breakdown}
     return staged(spark, name, lambda: builders[name](taxi_trips(spark, sf_dir)),
-                  _paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"])
+                  source_paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"])
