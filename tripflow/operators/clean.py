@@ -124,10 +124,19 @@ def filter_stats(df: DataFrame, profile: str | Sequence[str] = STRICT) -> DataFr
 def row_gate(df: DataFrame, min_rows: int = 100) -> bool:
     """True when ``df`` holds at least ``min_rows`` rows.
 
-    ``limit`` lets Spark stop after ``min_rows`` rows instead of counting
-    the whole input.
+    The limit is the last step of the plan (``CollectLimit``), so Spark runs
+    one partition first, more only while rows are missing, and each stops at
+    its ``min_rows``-th row; an aggregate above the limit would start them all.
+    The driver gets at most ``min_rows`` rows without columns.
     """
-    return df.limit(min_rows).count() >= min_rows
+    return len(df.select().limit(min_rows).collect()) >= min_rows
+
+
+def row_gate_plan(df: DataFrame, min_rows: int = 100) -> DataFrame:
+    """B12 as one row of a plan: the rows seen, at most ``min_rows``, and
+    whether the transform proceeds.  No partition gives more than that."""
+    seen = df.select(F.lit(1).alias("one")).limit(min_rows)
+    return seen.agg(F.count(F.lit(1)).alias("rows_seen")).withColumn("proceed", F.col("rows_seen") >= min_rows)
 
 
 def row_gate_by_date(df: DataFrame, min_rows: int = 100,

@@ -23,18 +23,21 @@ Messages follow the reference report texts.
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.contract import TRIP_CONTRACT, ColumnSpec, Contract
 from tripflow.functions.exact import round_half_up
+from tripflow.functions.guards import require
 from tripflow.sources.raw import typed
 
 log = logging.getLogger(__name__)
 
 ERROR, WARNING = "error", "warning"
+FAILED = "FAILED"
 FINDING_FIELDS = ["severity", "check", "column", "message", "violation_count", "null_fraction"]
 FINDING_SCHEMA = T.StructType([
     T.StructField("severity", T.StringType()),
@@ -55,17 +58,28 @@ def bound_text(spec: ColumnSpec, value) -> str:
     return str(value)
 
 
+def _number(name: str) -> Column:
+    """A column as a double; NaN is no value, infinities and huge ones are."""
+    x = F.expr(f"try_cast(`{name}` AS DOUBLE)")
+    return F.when(~F.isnan(x), x)
+
+
 def comparable(spec: ColumnSpec) -> Column:
-    """The column as the type its bounds compare in; unparsable -> NULL."""
-    target = "TIMESTAMP_NTZ" if spec.type == "timestamp" else "DOUBLE"
-    return F.expr(f"try_cast(`{spec.name}` AS {target})")
+    """The column as its bounds compare with it, as it came: unparsable text
+    and NaN are NULL, while values that aggregates leave out (infinities, 1e12
+    and more) count as what they are."""
+    if spec.type == "timestamp":
+        return F.expr(f"try_cast(`{spec.name}` AS TIMESTAMP_NTZ)")
+    return _number(spec.name)
 
 
 def parsed(df: DataFrame, spec: ColumnSpec) -> Column:
-    """The column in its contract type, also where ``df`` holds it as text."""
-    if isinstance(df.schema[spec.name].dataType, T.StringType):
-        return typed(spec.name)
-    return F.col(spec.name)
+    """The column as a value, also where ``df`` holds it as text."""
+    if not isinstance(df.schema[spec.name].dataType, T.StringType):
+        return F.col(spec.name)
+    if spec.type == "integer":
+        return F.expr(f"try_cast(try_cast(`{spec.name}` AS DOUBLE) AS BIGINT)").alias(spec.name)
+    return _number(spec.name).alias(spec.name) if spec.type == "float" else typed(spec.name)
 
 
 def parsed_columns(df: DataFrame, contract: Contract, *more: Column) -> DataFrame:
@@ -99,24 +113,31 @@ def resolvable_rules(df: DataFrame, contract: Contract):
     return ok
 
 
-def metrics(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
-    """One row: every count the checks need, in a single aggregate."""
+def metrics(df: DataFrame, contract: Contract = TRIP_CONTRACT, by: Sequence[str] = ()) -> DataFrame:
+    """One row (a group of ``by``): every count the checks need, in a single
+    aggregate."""
     present = [c for c in contract.columns if c.name in df.columns]
     nulls = [F.col(c.name).isNull().alias(f"__null__{c.name}") for c in present]
-    df = parsed_columns(df, contract, *nulls)
+    ranged = [comparable(c).alias(f"__range__{c.name}") for c in present
+              if c.min_value is not None or c.max_value is not None]
+    df = parsed_columns(df, contract, *nulls, *ranged)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for spec in present:
         aggs.append(F.count_if(F.col(f"__null__{spec.name}")).alias(f"nulls__{spec.name}"))
         if spec.min_value is not None:
-            aggs.append(F.count_if(comparable(spec) < bound_lit(spec, spec.min_value))
+            aggs.append(F.count_if(F.col(f"__range__{spec.name}") < bound_lit(spec, spec.min_value))
                         .alias(f"below__{spec.name}"))
         if spec.max_value is not None:
-            aggs.append(F.count_if(comparable(spec) > bound_lit(spec, spec.max_value))
+            aggs.append(F.count_if(F.col(f"__range__{spec.name}") > bound_lit(spec, spec.max_value))
                         .alias(f"above__{spec.name}"))
     for rule in resolvable_rules(df, contract):
         aggs.append(F.count_if(~F.coalesce(F.expr(rule.expr), F.lit(False)))
                     .alias(f"rule__{rule.name}"))
-    return df.agg(*aggs)
+    if by:
+        # whether there is any is all that a verdict needs, not which
+        aggs += [F.count_if(F.col(s.name).isNotNull() & ~F.col(s.name).isin(list(s.allowed_values)))
+                 .alias(f"n_unexpected__{s.name}") for s in present if s.allowed_values]
+    return df.groupBy(*by).agg(*aggs)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -159,16 +180,48 @@ def _finding(fired: Column, severity: str, check: str, column: str | None, messa
 
 def validate(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     """All findings (errors and warnings) of ``df`` against ``contract``."""
-    present = [c for c in contract.columns if c.name in df.columns]
-    missing = sorted(set(contract.column_names) - set(df.columns))
-    allowed = [c for c in present if c.allowed_values]
-
+    allowed = [c for c in contract.columns if c.name in df.columns and c.allowed_values]
     extra = {"duplicate_rows": duplicate_rows(df).select("duplicate_rows").scalar()}
     for spec in allowed:
         top = unexpected_values(df, spec)
         for c in top.columns:
             extra[c] = top.select(c).scalar()
     m = metrics(df, contract).withColumns(extra)
+    return (m.select(F.inline(F.array(*_checks(df, contract))))
+            .where(F.col("fired")).select(*FINDING_FIELDS))
+
+
+def verdicts(df: DataFrame, day: Column, contract: Contract = TRIP_CONTRACT) -> DataFrame:
+    """H11 for every run date at once: the status that the contract gives the
+    rows of each date, and whether its load proceeds.
+
+    One aggregate by date for all counts, one for the copies of rows; the dates
+    join the two.  Rows without a date are a group of their own.
+    """
+    columns = df.columns
+    dated = df.withColumn("__day", day)
+    copies = dated.groupBy("__day", *columns).agg(F.count(F.lit(1)).alias("__copies"))
+    dup = copies.groupBy(F.col("__day").alias("__d")).agg(F.sum(F.col("__copies") - 1).alias("duplicate_rows"))
+    m = metrics(dated, contract, by=["__day"]).join(dup, F.col("__day").eqNullSafe(F.col("__d")))
+    for spec in contract.columns:
+        if spec.allowed_values and spec.name in columns:
+            m = m.withColumn(f"unexpected__{spec.name}", F.lit(""))
+    found = F.filter(F.array(*_checks(df, contract)), lambda x: x["fired"])
+    of = lambda severity: F.size(F.filter("__found", lambda x: x["severity"] == severity)).cast("bigint")
+    return (m.withColumn("__found", found)
+            .select(F.col("__day").alias("run_date"), "n_rows", of(ERROR).alias("error_count"),
+                    of(WARNING).alias("warning_count"))
+            .withColumn("status", _status())
+            .withColumn("proceed", F.col("status") != FAILED))
+
+
+def _checks(df: DataFrame, contract: Contract) -> list[Column]:
+    """Every finding that the contract knows for the columns of ``df``, over a
+    row of ``metrics`` with the duplicate and allowed-value results; ``fired``
+    tells whether it holds."""
+    present = [c for c in contract.columns if c.name in df.columns]
+    missing = sorted(set(contract.column_names) - set(df.columns))
+    allowed = [c for c in present if c.allowed_values]
     n = F.col("n_rows")
     col = F.col
     found: list[Column] = []
@@ -226,8 +279,7 @@ def validate(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
             cnt > 0, ERROR if rule.severity == "error" else WARNING, rule.name, None,
             F.format_string(f"Rule '{rule.name}' violated by %d rows", cnt),
             violation_count=cnt))
-    return (m.select(F.inline(F.array(*found)))
-            .where(F.col("fired")).select(*FINDING_FIELDS))
+    return found
 
 
 def null_fractions(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
@@ -295,13 +347,17 @@ def quality_rules(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFram
 SUMMARY_FIELDS = ["status", "error_count", "warning_count", "dataset", "schema_version"]
 
 
+def _status() -> Column:
+    return (F.when(F.col("error_count") > 0, FAILED)
+            .when(F.col("warning_count") > 0, "WARNED").otherwise("PASSED"))
+
+
 def _summarise(findings: DataFrame, dataset: str, contract: Contract, *more: Column) -> DataFrame:
     errors = F.count_if(F.col("severity") == ERROR)
     warnings = F.count_if(F.col("severity") == WARNING)
     return (findings.agg(errors.alias("error_count"), warnings.alias("warning_count"), *more)
             .withColumns({
-                "status": F.when(F.col("error_count") > 0, "FAILED")
-                .when(F.col("warning_count") > 0, "WARNED").otherwise("PASSED"),
+                "status": _status(),
                 "dataset": F.lit(dataset),
                 "schema_version": F.lit(contract.version)}))
 
@@ -323,6 +379,36 @@ def report(findings: DataFrame, dataset: str, contract: Contract = TRIP_CONTRACT
                     "schema_version", F.localtimestamp().alias("validated_at")))
 
 
+REPORT_SCHEMA = T.StructType([
+    T.StructField("status", T.StringType()), T.StructField("error_count", T.LongType()),
+    T.StructField("warning_count", T.LongType()),
+    *(T.StructField(c, T.ArrayType(T.StructType(FINDING_SCHEMA.fields[1:]))) for c in ("errors", "warnings")),
+    *(T.StructField(c, T.StringType()) for c in ("report_path", "dataset", "schema_version")),
+    T.StructField("validated_at", T.TimestampNTZType())])
+
+
+def read_reports(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Written reports, one row each, the findings nested as they were written."""
+    return spark.read.schema(REPORT_SCHEMA).json(paths)
+
+
+def report_findings(reports: DataFrame) -> DataFrame:
+    """One row a finding of each report; a report without any has one row."""
+    tagged = lambda c, s: F.transform(c, lambda x: F.struct(F.lit(s).alias("severity"), x.alias("f")))
+    rows = reports.select("dataset", "status", "error_count", "warning_count", F.explode_outer(
+        F.concat(tagged("errors", ERROR), tagged("warnings", WARNING))).alias("x"))
+    return rows.select("dataset", "status", "error_count", "warning_count", "x.severity", "x.f.*")
+
+
+def gated(df: DataFrame, summary_df: DataFrame) -> DataFrame:
+    """H11 in the plan: ``df``, whose job fails where the summary says FAILED
+    (or is not there), so that what it writes is not written."""
+    status = summary_df.agg(F.max("status")).scalar()
+    errors = summary_df.agg(F.max("error_count")).scalar()
+    return require(df, status != FAILED, F.concat(
+        F.lit("Schema validation FAILED — "), F.coalesce(errors.cast("string"), F.lit("no")), F.lit(" hard errors")))
+
+
 def write_report(report_df: DataFrame, path: str) -> None:
     """One JSON document per validation run; ``report_path`` records
     where it was written.  The report is one row, so one small file."""
@@ -337,6 +423,6 @@ class ValidationFailed(ValueError):
 def assert_valid(summary_df: DataFrame) -> str:
     """Raise on FAILED, pass warnings.  Reads one summary row."""
     row = summary_df.first()
-    if row["status"] == "FAILED":
+    if row["status"] == FAILED:
         raise ValidationFailed(f"Schema validation FAILED — {row['error_count']} hard errors")
     return row["status"]

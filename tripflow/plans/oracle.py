@@ -9,7 +9,8 @@ again here, by hand, as plain SQL.
 from __future__ import annotations
 
 from tripflow.contract import PINNED_DAY
-from tripflow.sources.fixture import FAULTY_AGAIN, FAULTY_EXPRS, duckdb_fixture_ctes
+from tripflow.plans.report_sql import REPORTS
+from tripflow.sources.fixture import EXTREME_EXPRS, FAULTY_AGAIN, FAULTY_EXPRS, duckdb_fixture_ctes
 
 P, D = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -300,8 +301,9 @@ def _bound_text(spec, v) -> str:
 
 
 def _typed(spec) -> str:
-    t = "TIMESTAMP" if spec.type == "timestamp" else "DOUBLE"
-    return f"TRY_CAST({spec.name} AS {t})"
+    if spec.type == "timestamp":
+        return f"TRY_CAST({spec.name} AS TIMESTAMP)"
+    return f"CASE WHEN NOT isnan(TRY_CAST({spec.name} AS DOUBLE)) THEN TRY_CAST({spec.name} AS DOUBLE) END"
 
 
 def _metrics_cte(src: str = "trips", missing: tuple = ()) -> str:
@@ -310,10 +312,10 @@ def _metrics_cte(src: str = "trips", missing: tuple = ()) -> str:
     for c in present:
         parts.append(f"count(*) FILTER (WHERE {c.name} IS NULL) AS nulls__{c.name}")
         if c.min_value is not None:
-            parts.append(f"count(*) FILTER (WHERE {_typed(c)} < {_bound_sql(c, c.min_value)}) "
+            parts.append(f"count(*) FILTER (WHERE ({_typed(c)}) < {_bound_sql(c, c.min_value)}) "
                          f"AS below__{c.name}")
         if c.max_value is not None:
-            parts.append(f"count(*) FILTER (WHERE {_typed(c)} > {_bound_sql(c, c.max_value)}) "
+            parts.append(f"count(*) FILTER (WHERE ({_typed(c)}) > {_bound_sql(c, c.max_value)}) "
                          f"AS above__{c.name}")
     for rule in TRIP_CONTRACT.rules:
         parts.append(f"count(*) FILTER (WHERE NOT coalesce({rule.expr}, false)) "
@@ -402,6 +404,41 @@ def _summary_cte() -> str:
             "count(*) FILTER (WHERE severity = 'warning') AS warning_count FROM findings))")
 
 
+def _gate_sql(name: str, rows: str, missing: tuple, *ctes: str) -> str:
+    """Error and warning counts of each date, check by check."""
+    t = TRIP_CONTRACT
+    present = [c for c in t.columns if c.name not in missing]
+    errors, warnings = [f"n_rows < {t.min_row_count}", *["true" for _ in missing]], []
+    m = ["count(*) AS n_rows"]
+    for c in present:
+        m.append(f"count(*) FILTER (WHERE {c.name} IS NULL)::DOUBLE / count(*) AS nul_{c.name}")
+        if c.nullable:
+            warnings.append(f"nul_{c.name} > {t.max_null_fraction}")
+        else:
+            errors.append(f"nul_{c.name} > 0")
+        for tag, v, op in (("lo", c.min_value, "<"), ("hi", c.max_value, ">")):
+            if v is not None:
+                m.append(f"count(*) FILTER (WHERE ({_typed(c)}) {op} {_bound_sql(c, v)}) AS {tag}_{c.name}")
+                warnings.append(f"{tag}_{c.name} > 0")
+        if c.allowed_values:
+            m.append(f"count(*) FILTER (WHERE {c.name} NOT IN {tuple(c.allowed_values)}) AS odd_{c.name}")
+            warnings.append(f"odd_{c.name} > 0")
+    for rule in t.rules:
+        m.append(f"count(*) FILTER (WHERE NOT coalesce({rule.expr}, false)) AS rule_{rule.name}")
+        (errors if rule.severity == "error" else warnings).append(f"rule_{rule.name} > 0")
+    cols = ", ".join(c.name for c in present)
+    warnings.append(f"(n_rows - n_distinct)::DOUBLE / n_rows > {t.max_duplicate_fraction}")
+    count = lambda conditions: " + ".join(f"CAST({c} AS BIGINT)" for c in conditions)
+    return _wq(*ctes, f"src AS ({rows})",
+               f"m AS (SELECT CAST({P} AS DATE) AS run_date, {', '.join(m)} FROM src GROUP BY 1)",
+               f"u AS (SELECT run_date, count(*) AS n_distinct FROM (SELECT DISTINCT CAST({P} AS DATE) AS run_date, "
+               f"{cols} FROM src) GROUP BY 1)",
+               f"c AS (SELECT m.run_date, n_rows, {count(errors)} AS error_count, {count(warnings)} AS warning_count "
+               f"FROM m JOIN u ON m.run_date IS NOT DISTINCT FROM u.run_date)") + (
+        "SELECT run_date, n_rows, error_count, warning_count, CASE WHEN error_count > 0 THEN 'FAILED' "
+        "WHEN warning_count > 0 THEN 'WARNED' ELSE 'PASSED' END AS status, error_count = 0 AS proceed FROM c")
+
+
 def _reload_ctes() -> str:
     return (f"batch AS (SELECT * FROM taxi_trips WHERE pickup_date = DATE '{PINNED_DAY}'),\n"
             f"existing AS (SELECT * FROM taxi_trips UNION ALL SELECT * FROM batch),\n"
@@ -443,6 +480,20 @@ def oracle_sql() -> dict[str, str]:
     out["validate_too_few"] = _wq(
         f"few AS (SELECT {per_date} FROM trips GROUP BY CAST({P} AS DATE))",
         _metrics_cte("few"), _findings_cte()) + "SELECT * FROM findings"
+    extreme = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in EXTREME_EXPRS) + " FROM trips"
+    out["validate_text_extremes"] = _wq(
+        f"extreme AS ({extreme})", _metrics_cte("extreme"), _findings_cte()) + "SELECT * FROM findings"
+    fair = f"SELECT * FROM clean_strict WHERE {TRIP_CONTRACT.rules[1].expr}"
+    faulty_twice = f"SELECT * FROM once UNION ALL SELECT * FROM once WHERE {FAULTY_AGAIN}"
+    reports = [("fair", (f"fair AS ({fair})",), "fair", ()), ("trips", (), "trips", ()),
+               ("faulty", (f"once AS ({faulty})", f"faulty AS ({faulty_twice})"), "faulty", ("payment_type",))]
+    out["validation_reports"] = "\nUNION ALL\n".join(
+        "SELECT * FROM (" + _wq(*ctes, _metrics_cte(src, gone), _findings_cte(gone), _summary_cte())
+        + f"SELECT {lit(name)} AS dataset, status, error_count, warning_count, severity, \"check\", \"column\", "
+        "message, violation_count, null_fraction FROM vsum LEFT JOIN findings ON true)"
+        for name, ctes, src, gone in reports)
+    out["gate_by_date"] = _gate_sql("trips", "SELECT * FROM trips", ())
+    out["gate_by_date_faulty"] = _gate_sql("faulty", faulty_twice, ("payment_type",), f"once AS ({faulty})")
     out["validation_summary"] = _wq(*val, _summary_cte()) + "SELECT * FROM vsum"
     out["null_fractions"] = _wq(_metrics_cte()) + "\nUNION ALL\n".join(
         f"SELECT {lit(c.name)} AS \"column\", {str(c.nullable).lower()} AS nullable, "
@@ -493,6 +544,46 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT count(*) FILTER (WHERE pickup_date = DATE '{PINNED_DAY}') FROM reloaded) "
         "AS loaded_rows")
     out["synthetic_trips"] = _synthetic_sql()
+    out.update(_lake_sql(out))
+    return out
+
+
+# ---- queries over written layers (plans/lake.py) ----
+
+CLEARED_DAY = "2024-01-20"
+
+
+def _lake_sql(core: dict[str, str]) -> dict[str, str]:
+    out: dict[str, str] = {}
+    live = f"WHERE pickup_date <> DATE '{CLEARED_DAY}'"
+    out["atomic_load"] = _wq("x AS (SELECT 1)") + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, pickup_date, count(*) AS n_rows, CAST({n} AS BIGINT) AS trips "
+        f"FROM {t} {live} GROUP BY pickup_date"
+        for t, n in (("taxi_trips", "count(*)"), ("agg_by_zone", "sum(total_trips)"),
+                     ("agg_by_hour", "sum(trip_count)"), ("agg_payment", "sum(trips)")))
+    kind = "(dropoff_location_id * 31 + payment_type * 7 + coalesce(vendor_id, 0)) % 10"
+    broken = f"({kind} IN (1, 2))"
+    cols = ", ".join(f"CASE WHEN NOT {broken} THEN {c} END AS {c}" for c in TRIP_CONTRACT.column_names)
+    out["raw_csv_scan"] = q(
+        f"SELECT {cols}, CAST({P} AS DATE) AS run_date, {broken} AS corrupt, "
+        f"CASE {kind} WHEN 1 THEN 9 WHEN 2 THEN 14 END AS n_fields FROM trips")
+    out["zone_join_bucketed"] = core["zone_join"]
+    out["row_gate_day"] = q(f"SELECT least(count(*), 100) AS rows_seen, count(*) >= 100 AS proceed "
+                            f"FROM trips WHERE {DAY_PRED}")
+    fallback = "DATE '2024-01-20' + CAST(l_orderkey % 20 AS INTEGER)"
+    out["source_choice"] = _wq(
+        f"days AS (SELECT DISTINCT CAST({P} AS DATE) AS run_date FROM trips)",
+        f"tagged AS (SELECT CAST({P} AS DATE) AS run_date, 'real' AS source FROM trips UNION ALL "
+        f"SELECT {fallback}, 'synthetic' FROM lineitem WHERE {fallback} NOT IN (SELECT run_date FROM days))") + (
+        "SELECT run_date, source, count(*) AS row_count FROM tagged GROUP BY run_date, source")
+    for name in ("pipeline_health", "health_for_date", "fare_anomalies"):
+        out[f"facts_{name}"] = core[name]
+    out["facts_weekly_health"] = q(
+        "SELECT CAST(date_trunc('week', pickup_date) AS DATE) AS week, count(*) AS row_count, "
+        f"{avg_fixed('fare_amount', 2, 2)} AS avg_fare, count(DISTINCT pickup_location_id) AS unique_locations, "
+        "count(DISTINCT pickup_zone) AS unique_zones FROM taxi_trips GROUP BY 1")
+    for name in REPORTS:
+        out[f"sql_{name}"] = core[name]
     return out
 
 

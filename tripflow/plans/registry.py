@@ -19,14 +19,15 @@ from tripflow.operators import audit as aud
 from tripflow.operators import tables as tbl
 from tripflow.operators import validate as val
 from tripflow.operators.clean import (filter_stats, is_clean, reject_reason_counts,
-                                      row_gate_by_date, split_clean_dead)
+                                      row_gate_by_date, row_gate_plan, split_clean_dead)
 from tripflow.operators.enrich import derive_features
 from tripflow.operators.zones import parse_zone_lookup, zone_fallback
 from tripflow.plans import analytics as an
+from tripflow.plans import lake
 from tripflow.plans.trips import (build_taxi_trips, clean_trips, daily_fact, featured_trips,
-                                  raw_trips, taxi_trips, zones)
+                                  raw_day, raw_trips, taxi_trips, zones)
 from tripflow.sources import raw as rawsrc
-from tripflow.sources.fixture import FAULTY_AGAIN, FAULTY_EXPRS, table
+from tripflow.sources.fixture import EXTREME_EXPRS, FAULTY_AGAIN, FAULTY_EXPRS, table
 from tripflow.sources.synthetic import synthetic_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +44,7 @@ def _cast_trips_lenient(spark, d):
 
 
 def _day_slice(spark, d):
-    return rawsrc.day_slice(raw_trips(spark, d), PINNED_DAY)
+    return rawsrc.day_slice(raw_day(spark, d, PINNED_DAY), PINNED_DAY)
 
 
 def _standardise(spark, d):
@@ -60,8 +61,8 @@ def _synthetic(spark, d):
 
 
 def _ingest_summary(spark, d):
-    sliced = rawsrc.standardise_columns(_day_slice(spark, d))
-    return rawsrc.ingest_summary(sliced, "real", PINNED_DAY)
+    rows = rawsrc.ingest_plan(rawsrc.standardise_columns(_day_slice(spark, d)), _synthetic(spark, d))
+    return rawsrc.source_summary(rows.withColumn("run_date", F.lit(PINNED_DAY).cast("date")))
 
 
 def _zone_lookup(spark, d):
@@ -115,6 +116,7 @@ def _core_queries() -> dict[str, Query]:
         "filter_strict": lambda s, d: clean_trips(s, d, STRICT),
         "filter_batch": lambda s, d: clean_trips(s, d, BATCH),
         "filter_stats": _filter_stats,
+        "row_gate_day": lambda s, d: row_gate_plan(_day_slice(s, d)),
         "row_gate": lambda s, d: row_gate_by_date(raw_trips(s, d)),
         # C. features, D. joins
         "features_strict": _features(STRICT),
@@ -201,6 +203,20 @@ def _faulty(spark, d):
     return trips.unionAll(trips.where(FAULTY_AGAIN))
 
 
+def _extreme(spark, d):
+    return raw_trips(spark, d).select(*[F.expr(e).alias(n) for n, e in EXTREME_EXPRS])
+
+
+def _reports(spark, d):
+    """Three datasets validated, their reports written as JSON and read back."""
+    trips = raw_trips(spark, d)
+    fair = clean_trips(spark, d, STRICT).where("total_amount >= fare_amount + tip_amount - 0.01")
+    root = lake.folder(spark, "reports")
+    for name, df in (("fair", fair), ("trips", trips), ("faulty", _faulty(spark, d))):
+        val.write_report(val.report(val.validate(df), name), f"{root}/{name}")
+    return val.report_findings(val.read_reports(spark, [f"{root}/{n}" for n in ("fair", "trips", "faulty")]))
+
+
 def _per_date(spark, d):
     """One row per pickup date: too few rows for the contract."""
     rest = [c for c in TRIP_CONTRACT.column_names if c != rawsrc.PICKUP]
@@ -235,6 +251,10 @@ _MORE: dict[str, Query] = {
     # H. validation
     "validate": lambda s, d: val.validate(raw_trips(s, d)),
     "validate_faulty": lambda s, d: val.validate(rawsrc.as_text(_faulty(s, d))),
+    "validate_text_extremes": lambda s, d: val.validate(rawsrc.as_text(_extreme(s, d))),
+    "validation_reports": _reports,
+    "gate_by_date": lambda s, d: val.verdicts(raw_trips(s, d), F.to_date(rawsrc.PICKUP)),
+    "gate_by_date_faulty": lambda s, d: val.verdicts(_faulty(s, d), F.to_date(rawsrc.PICKUP)),
     "validate_too_few": lambda s, d: val.validate(_per_date(s, d)),
     "null_fractions": lambda s, d: val.null_fractions(raw_trips(s, d)),
     "range_violations": lambda s, d: val.range_violations(raw_trips(s, d)),
@@ -254,4 +274,5 @@ _MORE: dict[str, Query] = {
 def queries() -> dict[str, Query]:
     reg = _core_queries()
     reg.update(_MORE)
+    reg.update(lake.queries())
     return reg
