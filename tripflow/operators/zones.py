@@ -1,9 +1,11 @@
 """Zone dimension: lookup source, role-playing left joins, fallback.
 
-The same dimension joins twice (pickup and dropoff).  It is broadcast only
-after its row count is proven below a bound (``limit(n + 1).count()`` stops
-early); a larger dimension takes a shuffled sort-merge join, where AQE's
-skew-join splitting handles a hot location id (or the NULL-key partition).
+The same dimension joins twice (pickup and dropoff).  Spark's planner compares
+its size in bytes (of the files it is read from, at run time of the exchange)
+with ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts it below; no job
+asks for its size.  A larger dimension takes a shuffled sort-merge join, where
+AQE's skew-join splitting handles a hot location id (or the NULL-key partition),
+or the salted joins of ``dimension``.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading after
-    ``max_rows + 1``)."""
+    """True when ``df`` has at most ``max_rows`` rows (reads no more than
+    ``max_rows + 1`` of each partition)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -56,17 +58,22 @@ def unique_zones(zones: DataFrame) -> DataFrame:
 
 
 def join_zones(trips: DataFrame, zones: DataFrame, dedupe: bool = False,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """D1 + D2: left-join the zone dimension on pickup and on dropoff id.
 
+    With ``max_broadcast_rows`` the dimension is counted up to that number and
+    broadcast if it has no more rows, whatever its bytes; without it the
+    planner decides by bytes.  ``dedupe`` keeps one row of each location id.
+
     Both joins use the *same* dimension plan (aliased twice), so Spark
     builds and broadcasts it once and reuses the exchange for the second
     join.
     """
     if dedupe:
         zones = unique_zones(zones)
-    dim = broadcast_if_small(zones.select("location_id", "zone_name", "borough"),
-                             max_broadcast_rows)
+    dim = zones.select("location_id", "zone_name", "borough")
+    if max_broadcast_rows is not None:
+        dim = broadcast_if_small(dim, max_broadcast_rows)
     pz, dz = dim.alias("pz"), dim.alias("dz")
     t = trips.alias("t")
     return (t.join(pz, F.col("t.pickup_location_id") == F.col("pz.location_id"), "left")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripflow.contract import STRICT, TAXI_TRIPS_SCHEMA
 from tripflow.operators.clean import filter_rows
 from tripflow.operators.enrich import derive_features
-from tripflow.operators.zones import join_zones
+from tripflow.operators.zones import join_zones, unique_zones
 from tripflow.plans.staged import staged
 from tripflow.sources.fixture import load_trips, load_zones
 
@@ -51,7 +51,9 @@ def raw_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_zones(spark, sf_dir)
+    """The zone dimension, one row a location id, staged once: a table whose
+    bytes the planner knows when it chooses how to join it."""
+    return staged(spark, "zones", lambda: unique_zones(load_zones(spark, sf_dir)), source_paths(sf_dir, ZONE_INPUTS))
 
 
 def clean_trips(spark: SparkSession, sf_dir: str, profile: str = STRICT) -> DataFrame:

@@ -144,17 +144,15 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 def zones_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Zone dimension: supplier -> nation -> region.
 
-    nation and region are broadcast once their row counts are proven small
-    (25 and 5 rows in these tables); the supplier side streams.
+    nation and region are broadcast if their files are below the planner's
+    threshold (25 and 5 rows in these tables); the supplier side streams.
     """
     from pyspark.sql import functions as F
 
-    from tripflow.operators.zones import broadcast_if_small
-
     return (supplier.select("s_suppkey", "s_name", "s_nationkey")
-            .join(broadcast_if_small(nation.select("n_nationkey", "n_regionkey")),
+            .join(nation.select("n_nationkey", "n_regionkey"),
                   F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(broadcast_if_small(region.select("r_regionkey", "r_name")),
+            .join(region.select("r_regionkey", "r_name"),
                   F.col("n_regionkey") == F.col("r_regionkey"))
             .selectExpr(*[f"{e} AS {n}" for n, e in ZONES_EXPRS]))
 
