@@ -5,7 +5,7 @@ as they are distributed.  A caller with a longer list passes a table of the
 same two columns.
 """
 
-from pathlib import Path
+from importlib.resources import files
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -47,7 +47,9 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 
 For more information, please refer to <https://unlicense.org>"""
 
-_FILES = sorted((Path(__file__).parent / "license_files").glob("*.txt"))
+# read as package data, so that a zipped package has them too
+_LONG = ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+_FILES = files(__package__).joinpath("license_files")
 
 TEXTS = [
     ("MIT", _MIT),
@@ -61,7 +63,7 @@ TEXTS = [
     ("BSD-3-Clause", _BSD_3 + _BSD_END),
     ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_3 + _BSD_END),
     ("Unlicense", _UNLICENSE),
-    *((f.stem, f.read_text(encoding="utf-8")) for f in _FILES),
+    *((n, _FILES.joinpath(f"{n}.txt").read_text(encoding="utf-8")) for n in _LONG),
 ]
 
 NOTICES = [
