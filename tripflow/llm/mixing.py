@@ -17,7 +17,8 @@ of the sources that are left, so no row is dropped and the bound holds in
 every phase.
 
 Defined results: a null source is a source of its own (``NULL_SOURCE``), rows
-that are equal in id get distinct places (ties by text), a weight of zero or
+that are equal in id get distinct places (by a hash of the text, then the carried
+columns), a weight of zero or
 an unknown source puts the rows behind all weighted sources (equal weights
 there), an empty table gives no rows, and columns other than the id, source
 and those asked for are ignored.
@@ -148,13 +149,15 @@ def _scheduled(spark: SparkSession, counts: dict[str, int], weights: dict[str, f
     return stored(one.mapInArrow(run, "__s string, __chunk long, __at array<struct<phase:long,slot:long>>"))
 
 
-def _order_key(id_col: str, seed: int) -> Column:
-    return F.xxhash64(F.col(id_col), F.lit(seed))
+def _order_key(id_col: str, text_hash: str, seed: int) -> Column:
+    """The place of a row in its source's order; rows without an id, or with a
+    repeated one, are dealt to buckets by their text."""
+    return F.xxhash64(F.col(id_col), F.col(text_hash), F.lit(seed))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None,
                 block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source",
-                carry: list[str] | None = None, seed: int = 7) -> DataFrame:
+                carry: list[str] | None = None, seed: int = 7, text_col: str = "text") -> DataFrame:
     """One row per input row: id, source, block, phase, slot, place in the
     block, and the columns named in ``carry``.
 
@@ -168,9 +171,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None,
     carry = [c for c in carry or [] if c not in (id_col, source_col)]
     base = docs.select(
         F.col(id_col).cast("long").alias("__id"), F.col(source_col).cast("string").alias("__source"),
+        (F.xxhash64(F.col(text_col).cast("string")) if text_col in docs.columns else F.lit(0)).alias("__t"),
         *[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)])
     base = (base.withColumn("__s", F.coalesce("__source", F.lit(NULL_SOURCE)))
-            .withColumn("__h", _order_key("__id", seed)))
+            .withColumn("__h", _order_key("__id", "__t", seed)))
     counts = {r["__s"]: r["n"] for r in base.groupBy("__s").agg(F.count(F.lit(1)).alias("n")).collect()}
     target = weights if weights is not None else {s: n ** ALPHA for s, n in counts.items()}
     table = _scheduled(spark, counts, target, block_rows)
