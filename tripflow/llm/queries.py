@@ -43,6 +43,7 @@ def op5_license_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    # the tables label documents; a page is taken to have the label of the document of its number
     labels = table(spark, d, "labels").select(
         "doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("block"))
     return url_filter.judge_urls(table(spark, d, "pages"), labels)

@@ -1,9 +1,12 @@
 """URL filter: fixed host rules first, then mined association rules.
 
 Token combinations of labelled URLs that predict a verdict are mined with
-Spark's FP-growth.  A rule ``tokens => verdict`` is kept if its support and
-confidence reach the bounds, its lift is above 1 and no rule with fewer of its
-tokens is as confident.  URLs find their rules through an inverted index: a
+Spark's FP-growth on two thirds of the labelled rows (by a hash of the id).  A
+rule ``tokens => verdict`` is kept if its support (a share of the rows, and
+``MIN_ROWS`` of them at least) and confidence reach the bounds, its lift is
+above 1, no rule with fewer of its tokens is as confident, and it is confirmed
+by the third that was held out: some of those rows have its tokens, and its
+confidence there reaches the bound and beats the share of its verdict.  URLs find their rules through an inverted index: a
 rule is listed under its rarest token and then checked in full.  The most
 confident rule wins (then support, then fewer tokens, then the alphabet); a
 URL without a rule gets the majority verdict of the labels (``allow`` if
@@ -28,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_SUPPORT = 0.005
+MIN_ROWS = 5  # labelled rows that a rule stands on, at least
+FOLDS = 3  # one of them is held out
 MIN_CONFIDENCE = 0.55
 VERDICT_ITEM = "verdict="
 
@@ -86,8 +91,8 @@ def parsed(pages: DataFrame, url_col: str = "url", id_col: str = "page_id") -> D
     return rows.withColumn("__tokens", url_tokens(F.col("__url"), F.col("__host"), F.col("__path")))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, str]:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         min_rows: int = MIN_ROWS) -> tuple[DataFrame, str]:
     """Rules (tokens, verdict, confidence, support, rare) and the majority
     verdict.  ``labelled`` has ``__tokens`` and ``__verdict``."""
     spark = labelled.sparkSession
@@ -97,6 +102,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     if not share:
         return spark.createDataFrame([], empty), "allow"
     majority = min(share, key=lambda v: (-share[v], v))
+    rows = sum(share.values())
+    if rows < min_rows:
+        return spark.createDataFrame([], empty), majority
+    # half a row less, so that the ceiling Spark takes is min_rows itself
+    min_support = max(min_support, (min_rows - 0.5) / rows)
     items = labelled.select(F.concat("__tokens", F.array(F.concat(F.lit(VERDICT_ITEM), "__verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = (model.associationRules
@@ -120,6 +130,20 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     return rules.join(rare, ["tokens", "verdict"]), majority
 
 
+def confirmed(rules: DataFrame, held: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The rules that hold on labelled rows they were not mined from."""
+    base = held.groupBy(F.col("__verdict").alias("verdict")).agg(F.count(F.lit(1)).alias("__v"))
+    total = held.agg(F.count(F.lit(1))).scalar()
+    listed = held.groupBy("__tokens", "__verdict").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__tokens", "__verdict", "__n", F.explode("__tokens").alias("rare"))
+    hits = listed.join(rules, "rare").where(F.size(F.array_intersect("tokens", "__tokens")) == F.size("tokens"))
+    right = F.sum(F.when(F.col("__verdict") == F.col("verdict"), F.col("__n")).otherwise(0))
+    seen = hits.groupBy("tokens", "verdict").agg((right / F.sum("__n")).alias("__held"))
+    good = (seen.join(base, "verdict").where((F.col("__held") >= min_confidence)
+                                             & (F.col("__held") > F.col("__v") / total)))
+    return rules.join(good.select("tokens", "verdict"), ["tokens", "verdict"], "left_semi")
+
+
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """``__tokens`` with the verdict of its best mined rule (sets without one
     are absent)."""
@@ -146,8 +170,10 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None, rules: list[tuple[s
         labelled = pages.sparkSession.createDataFrame([], "id long, block boolean")
     lab = labelled.toDF("__lid", "__block").where(F.col("__block").isNotNull())
     learn = (learn.join(lab, F.col("__id") == F.col("__lid"))
-             .select("__tokens", F.when(F.col("__block"), "block").otherwise("allow").alias("__verdict")))
-    mined, majority = mine(learn, min_support, min_confidence)
+             .select("__tokens", F.when(F.col("__block"), "block").otherwise("allow").alias("__verdict"),
+                     (F.pmod(F.xxhash64("__id"), F.lit(FOLDS)) == 0).alias("__out")))
+    mined, majority = mine(learn.where(~F.col("__out")), min_support, min_confidence)
+    mined = confirmed(mined, learn.where("__out"), min_confidence)
     sets = rows.where(F.col("__fixed").isNull() & (F.size("__tokens") > 0)).select("__tokens").distinct()
     best = match(sets, mined)
     out = rows.join(best, "__tokens", "left")
