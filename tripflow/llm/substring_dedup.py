@@ -29,6 +29,10 @@ neighbours in either, and no rank has to be carried back to every position.
 No suffix array of all positions is written (it would be some twenty times
 the input); only the undecided ones are ordered one by one.
 
+Equal rows (id and text) are parsed once and count as many times as they occur;
+what is found goes to each of them.  So the lists that are gathered per document
+are as long as its own parse, however many copies it has.
+
 Hot strings: triggers, hulls and windows are counted with partial aggregates;
 what goes back to documents is joined against one row a key, so AQE can split
 the large side.  No group of occurrences is ever gathered.
@@ -126,32 +130,34 @@ def _ints(rows: list[np.ndarray]) -> list[pa.Array]:
 
 
 def parse(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Entries (k1, k2, g, q, lo, hi) of the parse; g is null in rows whose
-    [lo, hi) is a range that the document repeats itself."""
-    names = ["k1", "k2", "g", "q", "lo", "hi"]
+    """Entries (k1, k2, n, g, q, lo, hi) of the parse of rows that stand for n
+    equal ones; g is null where [lo, hi) is a range that the document repeats
+    itself."""
+    names = ["k1", "k2", "n", "g", "q", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             k1 = b.column("k1").to_numpy()
             k2 = b.column("k2").to_numpy()
+            times = b.column("n").to_numpy()
             out = []
             for r, data in enumerate(_texts(b.column("text"))):
                 for off in range(0, len(data) - length + 1, SEGMENT):
                     g, q, lo, hi, own = _parse(data[off:off + SEGMENT + length - 1], length, gram)
                     n, m = len(g), len(own)
-                    out.append((np.full(n + m, k1[r]), np.full(n + m, k2[r]),
+                    out.append((np.full(n + m, k1[r]), np.full(n + m, k2[r]), np.full(n + m, times[r]),
                                 np.concatenate([g, np.zeros(m, "i8")]), np.arange(n + m) >= n,
                                 np.concatenate([q, own[:, 0]]) + off, np.concatenate([lo, own[:, 0]]) + off,
                                 np.concatenate([hi, own[:, 1]]) + off))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2], mask=cols[3]),
-                     *(pa.array(c.astype("i4")) for c in cols[4:])], names=names)
+                    [pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], mask=cols[4]),
+                     *(pa.array(c.astype("i4")) for c in cols[5:])], names=names)
 
     long_enough = rows.where(F.octet_length("text") >= length)
-    return long_enough.select("k1", "k2", "text").mapInArrow(
-        run, "k1 long, k2 long, g long, q int, lo int, hi int")
+    return long_enough.select("k1", "k2", "n", "text").mapInArrow(
+        run, "k1 long, k2 long, n long, g long, q int, lo int, hi int")
 
 
 def _cells(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, cell: int) -> tuple:
@@ -165,7 +171,7 @@ def _cells(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, cell: int) -> tuple:
 
 
 def dictionary_cells(entries: DataFrame, docs: DataFrame, length: int, cell: int) -> DataFrame:
-    """(core, h1, h2, k1, k2, a, b): cells of the entries, by fingerprints of
+    """(core, h1, h2, k1, k2, n, a, b): cells of the entries, by fingerprints of
     core and hull; a and b are the first and the last window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,17 +189,17 @@ def dictionary_cells(entries: DataFrame, docs: DataFrame, length: int, cell: int
                 h2 = mixed(short_ranges(data, a, b + length, 1) ^ shape)
                 n = len(a)
                 out.append((core.view("i8"), h1.view("i8"), h2.view("i8"),
-                            np.full(n, batch.column("k1")[r].as_py()), np.full(n, batch.column("k2")[r].as_py()),
+                            *(np.full(n, batch.column(c)[r].as_py()) for c in ("k1", "k2", "n")),
                             a.astype("i4"), b.astype("i4")))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
-                    names=["core", "h1", "h2", "k1", "k2", "a", "b"])
+                    names=["core", "h1", "h2", "k1", "k2", "n", "a", "b"])
 
-    per_doc = entries.groupBy("k1", "k2").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("es"))
+    per_doc = entries.groupBy("k1", "k2", "n").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("es"))
     return (per_doc.join(docs.dropDuplicates(["k1", "k2"]).select("k1", "k2", "z"), ["k1", "k2"])
-            .select("k1", "k2", "z", "es")
-            .mapInArrow(run, "core long, h1 long, h2 long, k1 long, k2 long, a int, b int"))
+            .select("k1", "k2", "n", "z", "es")
+            .mapInArrow(run, "core long, h1 long, h2 long, k1 long, k2 long, n long, a int, b int"))
 
 
 def windows(undecided: DataFrame, docs: DataFrame, length: int) -> DataFrame:
@@ -225,15 +231,15 @@ def windows(undecided: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(rows: DataFrame, docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                     cell: int = CELL) -> DataFrame:
     """(k1, k2, s, e): ranges of bytes covered by repeated strings."""
-    entries = stored(parse(rows, length, gram))
+    entries = stored(parse(distinct_rows(rows), length, gram))
     often = (entries.where(F.col("g").isNotNull()).groupBy("g")
-             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("g"))
+             .agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("g"))
     cells = stored(dictionary_cells(entries.join(often, "g", "left_semi"), docs, length, cell))
     hulls = (cells.groupBy("core", "h1", "h2")
-             .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "a", "b")).alias("one")))
+             .agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "a", "b")).alias("one")))
     cores = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"))
     hulls = stored(hulls.join(cores, "core").where((F.col("n") > 1) | (F.col("kinds") > 1)))
-    whole = cells.join(hulls.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi")
+    whole = cells.drop("n").join(hulls.where("n > 1").select("h1", "h2"), ["h1", "h2"], "left_semi")
     undecided = hulls.where("kinds > 1").select("one.*", (F.col("n") == 1).alias("single"))
     win = stored(windows(undecided, docs, length))
     twice = (win.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
@@ -245,6 +251,16 @@ def repeated_ranges(rows: DataFrame, docs: DataFrame, length: int = LENGTH, gram
             .unionByName(span(entries.where(F.col("g").isNull()), F.col("lo"), F.col("hi"))))
 
 
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """One of the rows of every key, with their number ``n``.  The keys that
+    occur more than once are stored, so their size decides how they are joined."""
+    numbered = rows.withColumn("m", F.monotonically_increasing_id())
+    again = stored(numbered.groupBy("k1", "k2").agg(F.min("m").alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where(F.col("n") > 1))
+    return (numbered.join(again, ["k1", "k2"], "left").where(F.col("n").isNull() | (F.col("m") == F.col("first")))
+            .select("k1", "k2", F.coalesce("n", F.lit(1)).alias("n"), "id", "text"))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(k1, k2, id, text): the key is the id and a hash of the text, so equal
     rows share a key and, rightly, all that is found for it."""
