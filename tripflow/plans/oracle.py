@@ -611,11 +611,11 @@ def _synthetic_sql() -> str:
     def choice(vals, u: str) -> str:
         return f"[{', '.join(str(v) for v in vals)}][CAST(floor({u} * {len(vals)}) AS BIGINT) + 1]"
 
-    share = f"({f(syn.TIP_SHARE[1] - syn.TIP_SHARE[0])} * u7 + {f(syn.TIP_SHARE[0])})"
-    extra = f"({f(syn.EXTRA_RANGE[1] - syn.EXTRA_RANGE[0])} * u8 + {f(syn.EXTRA_RANGE[0])})"
-    dur = clip(f"ln(1 - u2) * {f(-syn.DURATION_MEAN_MIN)}", *syn.DURATION_CLIP)
-    dist = r(clip(f"ln(1 - u3) * {f(-syn.DISTANCE_MEAN_MI)}", *syn.DISTANCE_CLIP), 2)
-    normal = f"(sqrt(ln(1 - u4) * -2.0e0) * cos(u5 * {f(2 * 3.141592653589793)}))"
+    share = f"({f(syn.TIP_SHARE[0])} + {f(syn.TIP_SHARE[1] - syn.TIP_SHARE[0])} * u7)"
+    extra = f"({f(syn.EXTRA_RANGE[0])} + {f(syn.EXTRA_RANGE[1] - syn.EXTRA_RANGE[0])} * u8)"
+    dur = clip(f"{f(-syn.DURATION_MEAN_MIN)} * ln(1 - u2)", *syn.DURATION_CLIP)
+    dist = r(clip(f"{f(-syn.DISTANCE_MEAN_MI)} * ln(1 - u3)", *syn.DISTANCE_CLIP), 2)
+    normal = f"(sqrt(-2.0e0 * ln(1 - u4)) * cos({f(2 * 3.141592653589793)} * u5))"
     base = f"TIMESTAMP '{PINNED_DAY} 00:00:00'"
     lo, hi = syn.LOCATIONS
     return f"""WITH s0 AS (SELECT id, {x0} FROM (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem)),
@@ -634,8 +634,8 @@ g AS (SELECT
   CAST({lo} + floor(u14 * {hi - lo + 1}) AS INTEGER) AS dropoff_location_id,
   {normal} AS _normal, {share} AS _share, {extra} AS _extra, u6 AS _u6
  FROM u),
-g2 AS (SELECT *, {r(clip(f'trip_distance * {f(syn.FARE_PER_MILE)} + {f(syn.FARE_BASE)} + _normal * {f(syn.FARE_NOISE_SD)}', *syn.FARE_CLIP), 2)} AS fare_amount FROM g),
+g2 AS (SELECT *, {r(clip(f'{f(syn.FARE_BASE)} + {f(syn.FARE_PER_MILE)} * trip_distance + {f(syn.FARE_NOISE_SD)} * _normal', *syn.FARE_CLIP), 2)} AS fare_amount FROM g),
 g3 AS (SELECT *, CASE WHEN _u6 < {f(syn.TIP_PROBABILITY)} THEN {r('fare_amount * _share', 2)} ELSE 0e0 END AS tip_amount FROM g2)
 SELECT vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
-  rate_code_id, {r('fare_amount + tip_amount + _extra', 2)} AS total_amount, fare_amount, tip_amount,
+  rate_code_id, fare_amount, tip_amount, {r('fare_amount + tip_amount + _extra', 2)} AS total_amount,
   payment_type, pickup_location_id, dropoff_location_id FROM g3"""
