@@ -1,7 +1,10 @@
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
+from tripflow.operators import snapshots as snap
+from tripflow.plans import lake, trips
 from tripflow.plans import staged as stg
 from tripflow.sources.fixture import spread
 
@@ -78,3 +81,37 @@ def test_version_tag_replaces_the_listing(spark, tmp_path):
     assert stg.staged(spark, name, build, [src], version="snap-1").count() == 10
     assert stg.staged(spark, name, build, [src], version="snap-2").count() == 30
     assert len(calls) == 2
+
+
+def test_what_lies_by_date_is_not_shuffled_again(spark, sf0001, tmp_path):
+    """The trips table is written from the raw trips, and copied, in jobs of one
+    stage: the raw trips lie by the same date."""
+    for t in (*trips.TRIP_INPUTS, *trips.ZONE_INPUTS):  # a new input, so a new table
+        shutil.copy(f"{sf0001}/{t}.parquet", tmp_path)
+    d = str(tmp_path)
+    trips.raw_trips(spark, d), trips.zones(spark, d)
+    spark.sparkContext.setJobGroup("laid-out", "one stage each")
+    try:
+        table = trips.taxi_trips(spark, d)
+        load = snap.Load(spark, f"{d}/lake")
+        n = load.write("taxi_trips", table, laid_out=True)
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("laid-out")]
+    assert jobs and all(len(j.stageIds) == 1 for j in jobs)
+    want = trips.build_taxi_trips(spark, d)
+    assert n == want.count()
+    for got in (table.select(*want.columns), load.read("taxi_trips").select(*want.columns)):
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_buckets_grow_with_the_trips(spark, sf0001, tmp_path, monkeypatch):
+    for t in (*trips.TRIP_INPUTS, *trips.ZONE_INPUTS):
+        shutil.copy(f"{sf0001}/{t}.parquet", tmp_path)
+    monkeypatch.setattr(lake, "BUCKET_ROWS", 400)
+    got = lake.zone_join_bucketed(spark, str(tmp_path), buckets=4)
+    assert got.count() == trips.build_taxi_trips(spark, str(tmp_path)).count()
+    table = f"`{lake.catalog(spark, str(tmp_path))}`.`trips_by_pickup`"
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert described["Num Buckets"] == "15"  # of 6,000 trips

@@ -30,6 +30,7 @@ import datetime as dt
 import re
 import uuid
 from collections.abc import Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -102,14 +103,18 @@ class Load:
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}/load={self.id}"
 
-    def write(self, name: str, batch: DataFrame) -> int:
+    def write(self, name: str, batch: DataFrame, laid_out: bool = False) -> int:
         """Write a table's rows beside the live ones; returns their number.
-        A few files a date, a hot date split over several tasks."""
+        A few files a date, a hot date split over several tasks.  A batch that
+        is scanned from a table partitioned by date (``laid_out``) is written
+        split by split, without a shuffle."""
         obs = Observation(f"load_{name}")
-        (batch.select(*TABLE_SCHEMAS[name].fieldNames()).hint("rebalance", F.col(DATE_COL))
-         .observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(DATE_COL).parquet(self._path(name)))
+        batch = batch.select(*TABLE_SCHEMAS[name].fieldNames())
+        with files.small_splits(self.spark) if laid_out else nullcontext():
+            ((batch if laid_out else batch.hint("rebalance", F.col(DATE_COL)))
+             .observe(obs, F.count(F.lit(1)).alias("rows"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(DATE_COL).parquet(self._path(name)))
         self.written.append(name)
         return int(obs.get["rows"])
 

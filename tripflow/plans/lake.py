@@ -8,6 +8,7 @@ tables are kept for the next report over the same input.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -31,6 +32,7 @@ from tripflow.sources.fixture import table
 from tripflow.sources.synthetic import synthetic_trips
 
 CLEARED_DAY = "2024-01-20"
+BUCKET_ROWS = 2_000_000  # trips of a bucket, which one task sorts in memory
 
 
 def folder(spark: SparkSession, what: str) -> str:
@@ -39,7 +41,7 @@ def folder(spark: SparkSession, what: str) -> str:
 
 def _load(spark: SparkSession, root: str, trips: DataFrame) -> snap.Load:
     load = snap.Load(spark, root)
-    load.write("taxi_trips", trips)
+    load.write("taxi_trips", trips, laid_out=True)
     for name, fact in build_facts(load.read("taxi_trips")).items():
         load.write(name, fact)
     return load
@@ -114,7 +116,8 @@ def catalog(spark: SparkSession, d: str) -> str:
     report_sql.create_tables(spark, database, location)
     for name in report_sql.CATALOG_TABLES:
         if spark.table(f"`{database}`.`{name}`").isEmpty():
-            report_sql.load(taxi_trips(spark, d) if name == "taxi_trips" else daily_fact(spark, d, name), database, name)
+            report_sql.load(taxi_trips(spark, d) if name == "taxi_trips" else daily_fact(spark, d, name), database, name,
+                            laid_out=True)
     return database
 
 
@@ -137,8 +140,10 @@ def bits(spark: SparkSession, d: str) -> DataFrame:
 
 def zone_join_bucketed(spark: SparkSession, d: str, buckets: int = 8) -> DataFrame:
     """D1 + D2 for a large dimension: trips and zones stored bucketed by pickup
-    location and salt, joined side by side; the dropoff join is salted too."""
+    location and salt, joined side by side; the dropoff join is salted too.
+    There are ``buckets`` at least, and more for many trips."""
     database, key = catalog(spark, d), "pickup_location_id"
+    buckets = max(buckets, math.ceil(raw_trips(spark, d).count() / BUCKET_ROWS))  # counted from the files' footers
     trips, dim = featured_trips(spark, d, STRICT), zones(spark, d)
     place = lambda name: f"{ensure_checkpoint_dir(spark).rstrip('/')}/{database}/{name}"
     tables = [f"`{database}`.`{name}`" for name in ("trips_by_pickup", "zones_by_pickup")]

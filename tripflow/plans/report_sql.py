@@ -11,9 +11,12 @@ The seven reports are plain SQL for ``spark.sql``; rounding and averages follow
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.contract import ANOMALY_SIGMAS, TABLE_SCHEMAS
+from tripflow.files import small_splits
 from tripflow.operators.tables import DATE_COL
 
 CATALOG_TABLES = ("taxi_trips", "agg_by_zone", "agg_by_hour", "agg_payment")
@@ -33,12 +36,15 @@ def create_tables(spark: SparkSession, database: str, location: str) -> None:
         spark.sql(ddl(name, database, location))
 
 
-def load(df: DataFrame, database: str, name: str) -> None:
-    """Replace the dates that ``df`` brings; the others stay."""
+def load(df: DataFrame, database: str, name: str, laid_out: bool = False) -> None:
+    """Replace the dates that ``df`` brings; the others stay.  Rows scanned from
+    a table partitioned by date (``laid_out``) are not shuffled again."""
     spark = df.sparkSession
     columns = spark.table(f"`{database}`.`{name}`").columns
-    (df.select(*columns).hint("rebalance", DATE_COL).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(f"`{database}`.`{name}`"))
+    rows = df.select(*columns)
+    with small_splits(spark) if laid_out else nullcontext():
+        ((rows if laid_out else rows.hint("rebalance", DATE_COL)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").insertInto(f"`{database}`.`{name}`"))
 
 
 def report(spark: SparkSession, database: str, name: str) -> DataFrame:

@@ -18,10 +18,12 @@ import hashlib
 import pathlib
 import uuid
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.files import at as _fs
+from tripflow.files import small_splits
 from tripflow.session import ensure_checkpoint_dir
 
 
@@ -55,7 +57,7 @@ def input_signature(spark: SparkSession, paths: list[str], version: str | None =
 
 def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], inputs: list[str],
            partition_by: list[str] | None = None, cluster_by: list[str] | None = None,
-           version: str | None = None) -> DataFrame:
+           version: str | None = None, laid_out: bool = False) -> DataFrame:
     """``build()`` written once per input version, then read back.
 
     A partitioned table is shuffled with the ``REBALANCE`` hint on its
@@ -67,6 +69,10 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
     range partitioning would).  Within a task rows are sorted by
     ``partition_by + cluster_by`` (a local sort), so each file covers a
     narrow time range and row-group statistics prune time filters.
+
+    ``laid_out`` says that ``build()`` scans, without a shuffle, a table that
+    already lies by the same partitions.  Each of its splits is then written as
+    it is read, as one file: no row is shuffled again.
     """
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/tripflow-staged/{name}-{input_signature(spark, inputs, version)}"
@@ -74,15 +80,16 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame], input
     if not fs.exists(final):
         df = build()
         if partition_by:
-            df = (df.hint("rebalance", *partition_by)
-                  .sortWithinPartitions(*partition_by, *(cluster_by or [])))
+            df = df if laid_out else df.hint("rebalance", *partition_by)
+            df = df.sortWithinPartitions(*partition_by, *(cluster_by or []))
         # static: a full rewrite of a private directory (dynamic partition
         # overwrite is the session default for reloads)
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(tmp)
+        with small_splits(spark) if laid_out else nullcontext():
+            writer.parquet(tmp)
         # publish with one rename; if another session published first, keep
         # theirs (a rename onto an existing directory would nest into it)
         _, tmp_path = _fs(spark, tmp)

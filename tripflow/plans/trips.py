@@ -76,10 +76,11 @@ def build_taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The analytics trips table, staged and partitioned by ``pickup_date``."""
+    """The analytics trips table, staged and partitioned by ``pickup_date``, the
+    day by which the raw trips already lie."""
     return staged(spark, "taxi_trips", lambda: build_taxi_trips(spark, sf_dir),
                   source_paths(sf_dir, TRIP_INPUTS + ZONE_INPUTS), partition_by=["pickup_date"],
-                  cluster_by=["tpep_pickup_datetime"])
+                  cluster_by=["tpep_pickup_datetime"], laid_out=True)
 
 
 def daily_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
