@@ -228,6 +228,31 @@ def test_near_star_family_against_brute_force(spark):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+def test_near_pairs_of_a_crowded_group_are_all_aligned(spark):
+    """Forty pairs of near copies whose one sketch lies in a passage all share."""
+    r = random.Random(5)
+    shared = [f"p{i}" for i in range(40)]
+    agree = {}
+    while max(map(len, agree.values()), default=0) < 40:
+        base = shared + [f"w{r.randrange(10**9)}" for _ in range(60)]
+        near = [*base[:-1], "other"]
+        one, two = (near_dedup.sketches(near_dedup.word_hashes(" ".join(t).encode()), order=1, n=1)[0] for t in (base, near))
+        if one == two:
+            agree.setdefault(int(one), []).append((base, near))
+    rows = [" ".join(t) for pair in max(agree.values(), key=len) for t in pair]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(rows)]).repartition(4)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(docs, order=1, n_sketches=1).collect()}
+    assert got == {i: i - i % 2 for i in range(80)}
+
+
+def test_least_distance_is_a_lower_bound():
+    r = random.Random(6)
+    for _ in range(300):
+        x, y = ([r.randrange(5) for _ in range(r.randrange(1, 14))] for _ in range(2))
+        d = near_dedup.edit_distance_within(np.array(x, "u8"), np.array(y, "u8"), 20)
+        assert near_dedup.least_distance(np.array(x, "u8"), np.array(y, "u8")) <= d
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)] + [(200, i) for i in range(201, 240)]
     got = {x["a"]: x["b"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -17,17 +17,15 @@ diagonals that doubles until the distance fits into it or passes the limit.
 Copies of the same words are one vertex.  In each group of texts that agree on
 a sketch, every text is aligned with the group's hub: the text that meets the
 most others in all its groups, as the base of a family of variants does.  The
-hub is then settled.  If the others are still of several classes, every pair
-of different classes is aligned, whatever class either is in by then, as long
-as these are at most ``FEW`` a member.  A group with more is grouped anew, with
-all its members, by two sketches, then by three: texts that share a common
-passage and little else part company without being compared each with each,
-while a pair of similarity 0.8 agrees on eight sketches in the mean and so
-meets in many groups of every round.  Groups by ``DEEP`` sketches are compared
-each with each.  So a pair that is a candidate goes without alignment only if
-its texts are in one class already, or if all groups they share are crowded
-and they agree on fewer than ``DEEP`` sketches.  Classes are the connected
-components.
+hub is then settled: its pairs are done.  If the others are still of several
+classes, every pair of different classes is aligned where these are at most
+``FEW`` a member; a group with more first meets up to ``HUBS`` hubs one after the
+other, which takes one pair a member and joins families, and then its pairs of
+different classes are aligned as well.  So every pair of different texts that is
+a candidate is aligned, unless its texts are in one class already.  That is
+quadratic for a crowd of texts that share a passage and little else; such pairs
+are dealt in parts over tasks, and most fall to a count of their words before
+they are aligned.  Classes are the connected components.
 
 Defined results: a null text and one without a word is in a class of its own;
 shorter texts than ``K`` words have one k-mer, all their words; the class id
@@ -56,11 +54,12 @@ K = 5
 ORDER = 4
 SKETCHES = 20
 SIMILARITY = 0.8
-FEW = 16  # pairs of different classes a member, up to which a group is compared each with each
-DEEP = 4  # groups that agree on so many sketches are compared each with each in any case
+FEW = 16  # pairs of different classes a member, up to which a group is compared each with each at once
+HUBS = 4  # hubs that a group with more meets before
 SALT = 1000  # members of a group that meet the others in one task
 
 _CELLS = 1 << 20  # hashes held at once
+_COUNTS = 1 << 10  # classes of words whose numbers are compared before an alignment
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype="u1")
@@ -207,6 +206,14 @@ def edit_distance_within(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
         return got if got <= most else None
 
 
+def least_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the edit distance: each operation takes away at most one
+    surplus word of either text."""
+    more = (np.bincount((x % U(_COUNTS)).astype("i8"), minlength=_COUNTS)
+            - np.bincount((y % U(_COUNTS)).astype("i8"), minlength=_COUNTS))
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
+
+
 def _unzip(z: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(z)
 
@@ -259,7 +266,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             for r in range(batch.num_rows):
                 x, y = (word_hashes(_unzip(batch.column(z)[r].as_py())) for z in ("za", "zb"))
                 most = int((1.0 - similarity) * max(len(x), len(y)) + 1e-9)
-                got.append(edit_distance_within(x, y, most))
+                got.append(edit_distance_within(x, y, most) if least_distance(x, y) <= most else None)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(got, pa.int32())], names=["a", "b", "dist"])
 
     za = texts.select(F.col("c").alias("a"), F.col("z").alias("za"))
@@ -277,20 +284,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first by id and text hash, null ids last."""
     vertices = stored(_vertices(docs, id_col, text_col, k, order, n_sketches))
     unique = vertices.where(F.col("c").isNotNull()).groupBy("c").agg(F.first("sk").alias("sk"))
-    member = (unique.select("c", F.posexplode("sk").alias("last", "h"))
-              .select(F.xxhash64("last", "h").alias("g"), "last", "c"))
-    groups = stored(_shared(member))  # (g, last, c): texts that agree on the sketches up to last
-    # the sketches that a text shares with some other text
-    own = groups.groupBy("c").agg(F.collect_list(F.struct(F.col("last").alias("j"), F.col("g").alias("h"))).alias("sk"))
+    member = (unique.select("c", F.posexplode("sk").alias("i", "h"))
+              .select(F.xxhash64("i", "h").alias("g"), "c"))
+    groups = stored(_shared(member))  # (g, c): texts that agree on a sketch
     need = groups.select("c").distinct()
     texts = stored(_texts(docs, text_col).join(need, "c", "left_semi")
                    .groupBy("c").agg(F.first("z").alias("z")))
     joined = tried = None  # (a, b): vertex and class; (a, b): pairs that were aligned
     met = groups.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     met = stored(groups.join(met, "g").groupBy("c").agg(F.sum("n").alias("met")))
-    groups, depth = groups.withColumn("class", F.col("c")), 0
+    groups, hubs = groups.withColumn("class", F.col("c")), 0
     while not groups.isEmpty():
-        depth += 1
+        hubs += 1
         # every text of another class than the hub's with the hub
         hub = groups.join(met, "c").groupBy("g").agg(F.max(F.struct("met", "c", "class")).alias("hub"))
         hub = hub.select("g", F.col("hub.c").alias("h"), F.col("hub.class").alias("of"))
@@ -299,15 +304,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tried, joined = _aligned(pairs, tried, joined, texts, similarity)
         # the hub is settled; the others of groups that still hold several classes go on
         rest = groups.join(hub.select("g", F.col("h").alias("c")), ["g", "c"], "left_anti").drop("class")
-        rest = stored(_several(_labelled(rest, joined)).withColumn("few", F.col("few") | F.lit(depth >= DEEP)))
+        rest = stored(_several(_labelled(rest, joined)).withColumn("few", F.col("few") | F.lit(hubs >= HUBS)))
         if rest.isEmpty():
             break
         tried, joined = _aligned(_across(rest.where("few"), SALT), tried, joined, texts, similarity)
-        left = _several(_labelled(rest.where(~F.col("few")).select("g", "last", "c"), joined))
-        more = F.filter("sk", lambda x: x["j"] > F.col("last"))
-        left = (left.join(own, "c").select("g", "c", "class", F.explode(more).alias("x"))
-                .select(F.xxhash64("g", "x.h").alias("g"), F.col("x.j").alias("last"), "c", "class"))
-        groups = stored(_several(left).select("g", "last", "c", "class"))
+        # groups with more pairs meet another hub, with all members that are left
+        left = _several(_labelled(rest.where(~F.col("few")).select("g", "c"), joined))
+        groups = stored(left.select("g", "c", "class"))
     if joined is None:
         joined = vertices.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
     return _classes(vertices, joined, id_col, with_kept)
@@ -320,7 +323,7 @@ def _shared(groups: DataFrame) -> DataFrame:
 
 
 def _several(groups: DataFrame) -> DataFrame:
-    """(g, last, c, class) of the groups with several classes, with the number
+    """(g, c, class) of the groups with several classes, with the number
     ``n`` of members, the group's largest class ``most``, and ``few``: whether
     the pairs of different classes are at most ``FEW`` a member."""
     size = groups.groupBy("g", "class").agg(F.count(F.lit(1)).alias("n"))
@@ -329,7 +332,7 @@ def _several(groups: DataFrame) -> DataFrame:
                                  F.count(F.lit(1)).alias("classes"))
     few = F.col("n") * F.col("n") - F.col("same") <= 2 * FEW * F.col("n")
     each = each.where("classes > 1").select("g", "n", "most", few.alias("few"))
-    return groups.select("g", "last", "c", "class").join(each, "g")
+    return groups.select("g", "c", "class").join(each, "g")
 
 
 def _across(groups: DataFrame, salt: int) -> DataFrame:
