@@ -126,3 +126,19 @@ def test_hosts(spark):
         assert sorted((repr(x["page_id"]), x["text"]) for x in got if x["page_id"] not in want) == [
             ("400", ""), ("401", ""), ("402", "y"), ("402", "y"), ("None", "x")]
     assert html_extract.extract(df.limit(0)).collect() == []
+
+
+def test_shares_of_a_hot_host_are_of_all_its_pages(spark):
+    """A notice on 5 of 60 pages is no boilerplate, one on 8 is, however the
+    host is cut into groups."""
+    r = random.Random(8)
+    some = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
+    rare, often = some(12), some(12)
+    rows = [(i, "http://hot.example/x", f"<div>{some(30)}</div>" + (f"<div>{rare}</div>" if i < 5 else "")
+             + (f"<div>{often}</div>" if i % 8 == 7 or i == 0 else "")) for i in range(60)]
+    rows += [(100 + i, *rows[9][1:]) for i in range(50)]  # copies are one page
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    whole = sorted(html_extract.extract(df).collect())
+    assert sorted(html_extract.extract(df, group_pages=9).collect()) == whole
+    texts = {x["page_id"]: x["text"] for x in whole}
+    assert sum(rare in t for t in texts.values()) == 5 and not any(often in t for t in texts.values())

@@ -17,9 +17,12 @@
    than half of a declared article were to go, its pages are near copies of each
    other rather than boilerplate, and it stays whole.
 
-A host with more pages or text than ``GROUP_PAGES`` or ``GROUP_BYTES`` is cut
-into groups by hash, each with a suffix array and page counts of its own: a
-hot host is shared by many tasks, and a task holds one group.
+A host with more pages or text than ``GROUP_PAGES`` or ``GROUP_BYTES`` is shared
+by many tasks: its distinct pages are cut into groups by hash, each with a suffix
+array of its own.  The groups' page counts of every string are added up over the
+host, so shares are of all its pages; the strings that reach a share, at most
+``1 / LOOSE`` times as many as a mean page has, are handed to all groups.  A task
+holds one group.
 
 Defined results: null html or html without text gives an empty text; a null url
 or one without a host belongs to the host ''; every row gives a row, equal ones
@@ -31,14 +34,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import stored
 from tripflow.llm.html_blocks import CONTENT, MAIN, blocks
+from tripflow.llm.rolling import U, mixed
 
 RUN = 8  # tokens of a string that counts as long, block marks included
 PAGES = 3
@@ -95,10 +101,16 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def boilerplate(pages: list[tuple[int, list[str]]], run: int = RUN) -> list[np.ndarray]:
-    """For distinct pages (role, texts) of a host: which blocks go."""
-    if len(pages) < PAGES:
-        return [np.zeros(len(t), bool) for _, t in pages]
+class Streams(NamedTuple):
+    """The token streams of pages, one behind the other."""
+    ids: np.ndarray  # numbers of the tokens, marks below 0
+    page: np.ndarray
+    block: np.ndarray  # -1 at a page's end
+    sizes: np.ndarray  # tokens of each block, its end included
+    hashes: np.ndarray  # 64 bits a token, the same in all groups
+
+
+def streams_of(pages: list[tuple[int, list[str]]]) -> Streams:
     number: dict[str, int] = {}
     tokens, page, block, sizes = [], [], [], []
     for p, (_, texts) in enumerate(pages):
@@ -112,29 +124,134 @@ def boilerplate(pages: list[tuple[int, list[str]]], run: int = RUN) -> list[np.n
         tokens.append(-2 - p)  # the page's end: equal to no other
         block.append(-1)
         page.append(p)
-    ids, page, block = (np.array(x, "i8") for x in (tokens, page, block))
-    rank = suffix_ranks(ids, run)
-    pairs = np.unique(rank * len(pages) + page) // len(pages)
-    shared = np.bincount(pairs, minlength=int(rank.max()) + 1)[rank]
-    enough = np.array([max(PAGES, math.ceil((DECLARED if role >= MAIN else LOOSE) * len(pages)))
-                       for role, _ in pages], "i8")
-    starts = np.flatnonzero(shared >= enough[page])
-    cover = np.zeros(len(ids) + run + 1, "i4")
+    ids, page, block, sizes = (np.array(x, "i8") for x in (tokens, page, block, sizes))
+    words = np.array([xxhash.xxh3_64_intdigest(w) for w in number] + [0], "u8")
+    return Streams(ids, page, block, sizes, words[np.maximum(ids, -1)])
+
+
+def pages_sharing(s: Streams, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every position the rank of the string of ``run`` tokens that starts
+    there, and the number of pages that have it."""
+    rank = suffix_ranks(s.ids, run)
+    n = int(s.page[-1]) + 1
+    pairs = np.unique(rank * n + s.page) // n
+    return rank, np.bincount(pairs, minlength=int(rank.max()) + 1)[rank]
+
+
+def string_hashes(s: Streams, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the strings of ``run`` tokens at all positions, and whether the
+    string ends before its page does (others are on one page only)."""
+    n = len(s.ids)
+    h, whole = np.zeros(n, "u8"), np.ones(n, bool)
+    for j in range(run):
+        at = np.minimum(np.arange(n) + j, n - 1)
+        h = h * U(0x9E3779B97F4A7C15) + s.hashes[at]
+        whole &= s.block[at] >= 0
+    return mixed(h), whole
+
+
+def needed(role: int, n: int) -> int:
+    """Pages of ``n`` that make a string boilerplate on a page of this role."""
+    return max(PAGES, math.ceil((DECLARED if role >= MAIN else LOOSE) * n))
+
+
+def blocks_gone(pages: list[tuple[int, list[str]]], s: Streams, shared: np.ndarray, n: int, run: int) -> list[np.ndarray]:
+    """Which blocks go, by the pages of ``n`` that share the string at a position."""
+    enough = np.array([needed(role, n) for role, _ in pages], "i8")
+    starts = np.flatnonzero(shared >= enough[s.page])
+    cover = np.zeros(len(s.ids) + run + 1, "i4")
     np.add.at(cover, starts, 1)
     np.add.at(cover, starts + run, -1)
-    covered = (np.cumsum(cover[:len(ids)]) > 0) & (block >= 0)
-    size = np.array(sizes, "i8")
-    gone = 2 * np.bincount(block[covered], minlength=len(size)) > size
+    covered = (np.cumsum(cover[:len(s.ids)]) > 0) & (s.block >= 0)
+    gone = 2 * np.bincount(s.block[covered], minlength=len(s.sizes)) > s.sizes
     out, at = [], 0
     for role, texts in pages:
-        here, n = gone[at:at + len(texts)], size[at:at + len(texts)]
-        if role >= MAIN and 2 * n[here].sum() > n.sum():
+        here, size = gone[at:at + len(texts)], s.sizes[at:at + len(texts)]
+        if role >= MAIN and 2 * size[here].sum() > size.sum():
             here = np.zeros(len(texts), bool)
         out.append(here)
         at += len(texts)
     return out
 
 
+def boilerplate(pages: list[tuple[int, list[str]]], run: int = RUN) -> list[np.ndarray]:
+    """For distinct pages (role, texts) of a host: which blocks go."""
+    if len(pages) < PAGES:
+        return [np.zeros(len(t), bool) for _, t in pages]
+    s = streams_of(pages)
+    return blocks_gone(pages, s, pages_sharing(s, run)[1], len(pages), run)
+
+
+def _left(texts: list[str], gone: np.ndarray) -> str:
+    return "\n".join(t for t, g in zip(texts, gone, strict=True) if not g)
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, list[str]]]:
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "role", "texts")), strict=True)
+
+
+def shared_by_groups(pages: DataFrame) -> DataFrame:
+    """(host, h, n) of every group's strings: the distinct pages that have it."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = streams_of([(role, texts) for _, _, role, texts in _distinct(batches)])
+        rank, shared = pages_sharing(s, RUN)
+        hashes, whole = string_hashes(s, RUN)
+        first = np.unique(rank[whole], return_index=True)[1]
+        h, n = hashes[whole][first].view("i8"), shared[whole][first]
+        for at in range(0, len(h), 1 << 16):
+            m = len(h[at:at + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()] * m, pa.string()), pa.array(h[at:at + m], pa.int64()),
+                                              pa.array(n[at:at + m], pa.int64())], names=["host", "h", "n"])
+
+    return pages.groupBy("host", "group").applyInArrow(run, "host string, h long, n long")
+
+
+def kept_of_groups(pages: DataFrame, strings: DataFrame) -> DataFrame:
+    """(host, k1, k2, text, n_dropped) of the distinct pages, by the strings
+    (host, group, h, n, pages) that reach a share of the host's pages."""
+
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        found = list(_distinct(iter(left.to_batches())))
+        distinct = [(role, texts) for _, _, role, texts in found]
+        if right.num_rows and found:
+            s = streams_of(distinct)
+            hashes, whole = string_hashes(s, RUN)
+            known, n = (right.column(c).to_numpy() for c in ("h", "n"))
+            order = np.argsort(known)
+            known, n = known[order], n[order]
+            at = np.minimum(np.searchsorted(known, hashes.view("i8")), len(known) - 1)
+            shared = np.where(whole & (known[at] == hashes.view("i8")), n[at], 0)
+            gone = blocks_gone(distinct, s, shared, right.column("pages")[0].as_py(), RUN)
+        else:
+            gone = [np.zeros(len(t), bool) for _, t in distinct]
+        return pa.table({
+            "host": pa.array([key[0].as_py()] * len(found), pa.string()),
+            "k1": pa.array([x[0] for x in found], pa.int64()), "k2": pa.array([x[1] for x in found], pa.int64()),
+            "text": pa.array([_left(t, g) for (_, t), g in zip(distinct, gone, strict=True)], pa.string()),
+            "n_dropped": pa.array([int(g.sum()) for g in gone], pa.int64())})
+
+    return (pages.groupBy("host", "group").cogroup(strings.groupBy("host", "group"))
+            .applyInArrow(run, "host string, k1 long, k2 long, text string, n_dropped long"))
+
+
+def extract_hot(read: DataFrame, hot: DataFrame) -> DataFrame:
+    """(id, url, text, n_dropped) of the pages of hot hosts: counts of the
+    distinct pages, added up over the groups of a host."""
+    rows = stored(read.withColumns({"k1": F.xxhash64("role", "texts"), "k2": F.xxhash64("texts", F.lit(1), "role")}))
+    one = (rows.select("host", "k1", "k2", "role", "texts").dropDuplicates(["host", "k1", "k2"])
+           .join(hot, "host").withColumn("group", F.pmod("k1", "groups")).drop("groups"))
+    one = stored(one)
+    n = one.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    need = F.greatest(F.lit(PAGES), F.ceil(F.col("pages") * LOOSE))
+    strings = (shared_by_groups(one).groupBy("host", "h").agg(F.sum("n").alias("n")).join(n, "host")
+               .where(F.col("n") >= need).join(hot, "host")
+               .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups"))
+    kept = kept_of_groups(one, strings)
+    return rows.select("host", "id", "url", "k1", "k2").join(kept, ["host", "k1", "k2"]).select("id", "url", "text", "n_dropped")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             group_pages: int = GROUP_PAGES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(id, url, text, n_chars, n_dropped): the main text of every page and the
@@ -143,10 +260,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(html_col).cast("string"))).alias("bytes"))
     groups = F.greatest(F.ceil(F.col("n") / group_pages), F.ceil(F.coalesce("bytes", F.lit(0)) / group_bytes))
     # written first, so that its size decides how it is joined
-    hot = stored(sizes.select("host", groups.alias("groups")).where("groups > 1"))
-    read = page_blocks(pages, id_col, url_col, html_col).join(hot, "host", "left").select(
-        "host", "id", "url", "role", "texts",
-        F.pmod(F.xxhash64("id", "url", F.monotonically_increasing_id()), F.coalesce("groups", F.lit(1))).alias("group"))
+    hot = stored(sizes.select("host", groups.cast("long").alias("groups")).where("groups > 1"))
+    at_hot = hot.select(F.col("host").alias("__host")), host_of(F.col(url_col)) == F.col("__host")
+    cold = page_blocks(pages.join(*at_hot, "left_anti"), id_col, url_col, html_col)
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streams: dict[tuple, int] = {}
@@ -156,15 +272,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 rows.append((i, url, streams.setdefault((role, tuple(texts)), len(streams))))
         distinct = list(streams)
         gone = boilerplate(distinct)
-        kept = ["\n".join(t for t, g in zip(texts, drop, strict=True) if not g)
-                for (_, texts), drop in zip(distinct, gone, strict=True)]
+        kept = [_left(texts, drop) for (_, texts), drop in zip(distinct, gone, strict=True)]
         for at in range(0, len(rows), 1024):
             part = rows[at:at + 1024]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.string()),
-                 pa.array([kept[r[2]] for r in part], pa.string()), pa.array([len(kept[r[2]]) for r in part], pa.int64()),
+                 pa.array([kept[r[2]] for r in part], pa.string()),
                  pa.array([int(gone[r[2]].sum()) for r in part], pa.int64())],
-                names=[id_col, url_col, "text", "n_chars", "n_dropped"])
+                names=["id", "url", "text", "n_dropped"])
 
-    return read.groupBy("host", "group").applyInArrow(
-        run, f"{id_col} long, {url_col} string, text string, n_chars long, n_dropped long")
+    out = cold.groupBy("host").applyInArrow(run, "id long, url string, text string, n_dropped long")
+    if not hot.isEmpty():
+        read = page_blocks(pages.join(*at_hot, "left_semi"), id_col, url_col, html_col)
+        out = out.unionByName(extract_hot(read, hot))
+    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
+                      F.length("text").cast("long").alias("n_chars"), "n_dropped")
