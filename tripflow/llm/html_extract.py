@@ -19,7 +19,8 @@
 
 A host with more pages or text than ``GROUP_PAGES`` or ``GROUP_BYTES`` is shared
 by many tasks: its distinct pages are cut into groups by hash, each with a suffix
-array of its own.  The groups' page counts of every string are added up over the
+array of its own.  Strings that reach the share ``LOOSE`` in some group, as one
+that reaches it on the host must, are counted in all groups and added up over the
 host, so shares are of all its pages; the strings that reach a share, at most
 ``1 / LOOSE`` times as many as a mean page has, are handed to all groups.  A task
 holds one group.
@@ -129,13 +130,13 @@ def streams_of(pages: list[tuple[int, list[str]]]) -> Streams:
     return Streams(ids, page, block, sizes, words[np.maximum(ids, -1)])
 
 
-def pages_sharing(s: Streams, run: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of every position the rank of the string of ``run`` tokens that starts
-    there, and the number of pages that have it."""
+def pages_sharing(s: Streams, run: int) -> np.ndarray:
+    """Of every position the number of pages that have the string of ``run``
+    tokens that starts there."""
     rank = suffix_ranks(s.ids, run)
     n = int(s.page[-1]) + 1
     pairs = np.unique(rank * n + s.page) // n
-    return rank, np.bincount(pairs, minlength=int(rank.max()) + 1)[rank]
+    return np.bincount(pairs, minlength=int(rank.max()) + 1)[rank]
 
 
 def string_hashes(s: Streams, run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +180,7 @@ def boilerplate(pages: list[tuple[int, list[str]]], run: int = RUN) -> list[np.n
     if len(pages) < PAGES:
         return [np.zeros(len(t), bool) for _, t in pages]
     s = streams_of(pages)
-    return blocks_gone(pages, s, pages_sharing(s, run)[1], len(pages), run)
+    return blocks_gone(pages, s, pages_sharing(s, run), len(pages), run)
 
 
 def _left(texts: list[str], gone: np.ndarray) -> str:
@@ -191,21 +192,45 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int
         yield from zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "role", "texts")), strict=True)
 
 
-def shared_by_groups(pages: DataFrame) -> DataFrame:
-    """(host, h, n) of every group's strings: the distinct pages that have it."""
+def candidates(pages: DataFrame) -> DataFrame:
+    """(host, h): strings on the share ``LOOSE`` of a group's distinct pages.  A
+    string on that share of a host's pages is on it in one of its groups."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = streams_of([(role, texts) for _, _, role, texts in _distinct(batches)])
-        rank, shared = pages_sharing(s, RUN)
+        shared = pages_sharing(s, RUN)
         hashes, whole = string_hashes(s, RUN)
-        first = np.unique(rank[whole], return_index=True)[1]
-        h, n = hashes[whole][first].view("i8"), shared[whole][first]
+        h = np.unique(hashes[whole & (shared >= LOOSE * (int(s.page[-1]) + 1) - 1e-6)]).view("i8")
         for at in range(0, len(h), 1 << 16):
-            m = len(h[at:at + (1 << 16)])
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()] * m, pa.string()), pa.array(h[at:at + m], pa.int64()),
-                                              pa.array(n[at:at + m], pa.int64())], names=["host", "h", "n"])
+            part = pa.array(h[at:at + (1 << 16)], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()] * len(part), pa.string()), part], names=["host", "h"])
 
-    return pages.groupBy("host", "group").applyInArrow(run, "host string, h long, n long")
+    return pages.groupBy("host", "group").applyInArrow(run, "host string, h long").distinct()
+
+
+def _found(s: Streams, known: np.ndarray) -> np.ndarray:
+    """Of every position the place in ``known``, sorted hashes, of the string
+    that starts there, or -1."""
+    hashes, whole = string_hashes(s, RUN)
+    at = np.minimum(np.searchsorted(known, hashes.view("i8")), len(known) - 1)
+    return np.where(whole & (known[at] == hashes.view("i8")), at, -1)
+
+
+def shared_by_groups(pages: DataFrame, strings: DataFrame) -> DataFrame:
+    """(host, h, n): every group's distinct pages that have a candidate string."""
+
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        known, n = np.sort(right.column("h").to_numpy()), np.zeros(0, "i8")
+        if len(known) and left.num_rows:
+            s = streams_of([(role, texts) for _, _, role, texts in _distinct(iter(left.to_batches()))])
+            at, many = _found(s, known), int(s.page[-1]) + 1
+            n = np.bincount(np.unique(at[at >= 0] * many + s.page[at >= 0]) // many, minlength=len(known))
+        known, n = known[:len(n)][n > 0], n[n > 0]
+        return pa.table({"host": pa.array([key[0].as_py()] * len(n), pa.string()), "h": pa.array(known, pa.int64()),
+                         "n": pa.array(n, pa.int64())})
+
+    return (pages.groupBy("host", "group").cogroup(strings.groupBy("host", "group"))
+            .applyInArrow(run, "host string, h long, n long"))
 
 
 def kept_of_groups(pages: DataFrame, strings: DataFrame) -> DataFrame:
@@ -217,12 +242,10 @@ def kept_of_groups(pages: DataFrame, strings: DataFrame) -> DataFrame:
         distinct = [(role, texts) for _, _, role, texts in found]
         if right.num_rows and found:
             s = streams_of(distinct)
-            hashes, whole = string_hashes(s, RUN)
             known, n = (right.column(c).to_numpy() for c in ("h", "n"))
             order = np.argsort(known)
-            known, n = known[order], n[order]
-            at = np.minimum(np.searchsorted(known, hashes.view("i8")), len(known) - 1)
-            shared = np.where(whole & (known[at] == hashes.view("i8")), n[at], 0)
+            at = _found(s, known[order])
+            shared = np.where(at >= 0, n[order][at], 0)
             gone = blocks_gone(distinct, s, shared, right.column("pages")[0].as_py(), RUN)
         else:
             gone = [np.zeros(len(t), bool) for _, t in distinct]
@@ -245,10 +268,11 @@ def extract_hot(read: DataFrame, hot: DataFrame) -> DataFrame:
     one = stored(one)
     n = one.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     need = F.greatest(F.lit(PAGES), F.ceil(F.col("pages") * LOOSE))
-    strings = (shared_by_groups(one).groupBy("host", "h").agg(F.sum("n").alias("n")).join(n, "host")
-               .where(F.col("n") >= need).join(hot, "host")
-               .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups"))
-    kept = kept_of_groups(one, strings)
+    to_groups = lambda df: (df.join(hot, "host").withColumn(
+        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups"))
+    counts = shared_by_groups(one, to_groups(candidates(one))).groupBy("host", "h").agg(F.sum("n").alias("n"))
+    strings = counts.join(n, "host").where(F.col("n") >= need)
+    kept = kept_of_groups(one, to_groups(strings))
     return rows.select("host", "id", "url", "k1", "k2").join(kept, ["host", "k1", "k2"]).select("id", "url", "text", "n_dropped")
 
 
