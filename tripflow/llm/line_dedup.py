@@ -23,7 +23,10 @@ Lines without a word stay.
    First every set meets the first set of each list of its prefix words; only
    sets that match none of these meet all sets before them.  So a group of
    near copies, which match their first, is not compared each with each.
-4. Verification.  Candidates fetch their lines by document, and the Jaccard
+   Both are done in ``PARTS`` parts of the words, whose postings are freed one
+   after the other, as they are larger than the corpus.
+4. Verification.  Candidates whose parities in 256 hash classes differ in too
+   many go as well; the others fetch their lines by document, and the Jaccard
    similarity is taken of the words.
 
 Words are compared by 57 bits of their hash.
@@ -98,9 +101,9 @@ def bucket_classes(rows: DataFrame) -> Column:
 
 
 def distinct_sets(rows: DataFrame, t: float) -> DataFrame:
-    """(k1, no, k2, pre, bits, n): every distinct set with its first place, 32
-    bits of each word of its prefix, rarest first, the parity of its words in
-    64 hash classes, and its number of words."""
+    """(k1, no, k2, pre, wide, n, bits): every distinct set with its first place,
+    32 bits of each word of its prefix, rarest first, the parities of its words in
+    64 times ``WIDE`` hash classes, its number of words, and the parities in 64."""
     classes = bucket_classes(rows)
     rank = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("long"), HASH_BITS).bitwiseOR(h)
     ws = lines_of(rows).select("k1", "no", "k2", F.sort_array(F.transform("hs", rank)).alias("ws"))
@@ -109,23 +112,30 @@ def distinct_sets(rows: DataFrame, t: float) -> DataFrame:
     short = F.transform(F.slice("ws", 1, take),
                         lambda w: w.bitwiseXOR(F.shiftrightunsigned(w, 25)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
-    bits = F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(bit(w)))
-    one = F.struct("k1", "no", "k2", F.when(n > 3, short).alias("pre"), bits.alias("bits"))
+    of = lambda w: F.shiftright(w, 6).bitwiseAND(F.lit(WIDE - 1))
+    mine = lambda i: F.aggregate("ws", F.lit(0).cast("long"),
+                                 lambda acc, w: F.when(of(w) == i, acc.bitwiseXOR(bit(w))).otherwise(acc))
+    wide = [mine(i) for i in range(WIDE)]
+    one = F.struct("k1", "no", "k2", F.when(n > 3, short).alias("pre"), F.array(*wide).alias("wide"))
     return (ws.select(F.xxhash64("ws").alias("s1"), F.hash("ws").alias("s2"), n.alias("n"), one.alias("one"))
-            .groupBy("s1", "s2", "n").agg(F.min("one").alias("one")).select("one.*", "n"))
+            .groupBy("s1", "s2", "n").agg(F.min("one").alias("one")).select("one.*", "n")
+            .withColumn("bits", reduce(Column.bitwiseXOR, [F.get("wide", F.lit(i)) for i in range(WIDE)])))
 
 
+WIDE = 4  # longs of parities that a candidate's sets are compared by before their words
+PARTS = 2  # of the prefix words, joined one after the other: only one part's postings lie on disk at a time
 PLACE = ["k1", "no", "k2"]
 ENTRY = [*PLACE, "n", "p", "bits"]
 
 
-def postings(sets: DataFrame, *more: str) -> DataFrame:
-    """(w, place, n, bits, p): prefix words and the sets they are of, dealt by
-    word; callers build structs above this exchange, so that it can be reused."""
+def postings(sets: DataFrame, part: int, *more: str) -> DataFrame:
+    """(w, place, n, bits, p): the prefix words of a part and the sets they are of,
+    dealt by word; callers build structs above this exchange, so that it can be reused."""
     # said here, lest the optimizer adds it to one use alone and the exchanges differ
     there = F.col("pre").isNotNull() & F.col("n").isNotNull() & F.col("bits").isNotNull()
     return (sets.where(there)
             .select(*PLACE, "n", "bits", *more, F.posexplode("pre").alias("p", "w"))
+            .where(F.pmod("w", F.lit(PARTS)) == part)
             .repartition(shuffle_partitions(sets.sparkSession), "w"))
 
 
@@ -144,23 +154,35 @@ def passing(pairs: DataFrame, x: str, y: str, t: float) -> DataFrame:
             .select(ax.alias("a"), ay.alias("b")).distinct())
 
 
+def likely(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """The pairs whose parities in all classes differ in no more than words may."""
+
+    def with_parities(pairs: DataFrame, side: str) -> DataFrame:
+        of = sets.select(F.struct(*PLACE).alias(side), F.col("n").alias(f"n{side}"), F.col("wide").alias(f"w{side}"))
+        return pairs.join(of, side)
+
+    both = with_parities(with_parities(pairs, "a"), "b")
+    size = F.col("na") + F.col("nb")
+    differ = reduce(Column.__add__, [F.bit_count(F.get("wa", F.lit(i)).bitwiseXOR(F.get("wb", F.lit(i))))
+                                     for i in range(WIDE)])
+    return both.where(differ <= size - 2 * F.ceil(size * (t / (1 + t)) - EPS)).select("a", "b")
+
+
 def beaten(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
-    """(k1, no, k2): places of the later sets of the pairs that match."""
-    pairs = pairs.withColumn("pair", F.xxhash64("a", "b")).withColumn("turn", F.hash("b", "a"))
-    sides = (pairs.select("pair", "turn", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("a").alias("at")),
-        F.struct(F.lit(1).alias("side"), F.col("b").alias("at")))).alias("s"))
-        .select("pair", "turn", "s.side", "s.at.*"))
-    need = sides.select("k1", "k2", "no").distinct().groupBy("k1", "k2").agg(F.collect_set("no").alias("nos"))
-    words = (need.join(docs, ["k1", "k2"])
-             .select("k1", "k2", F.explode("nos").alias("no"), F.split(_plain(F.col("text")), "\n", -1).alias("ls"))
-             .select("k1", "k2", "no", word_hashes(F.get("ls", F.col("no"))).alias("hs")).dropDuplicates(["k1", "k2", "no"]))
-    both = (sides.join(words, ["k1", "k2", "no"])
-            .groupBy("pair", "turn")
-            .agg(F.max(F.when(F.col("side") == 0, F.col("hs"))).alias("ha"),
-                 F.max(F.when(F.col("side") == 1, F.struct("k1", "no", "k2", "hs"))).alias("b")))
-    common = F.size(F.array_intersect("ha", "b.hs"))
-    union = F.size("ha") + F.size("b.hs") - common
+    """(k1, no, k2): places of the later sets of the pairs that match.  The words
+    of the earlier line go to the later one's document, one list a pair."""
+
+    def with_words(pairs: DataFrame, side: str) -> DataFrame:
+        at = pairs.select("*", *[F.col(f"{side}.{c}").alias(c) for c in PLACE])
+        need = at.select(*PLACE).distinct().groupBy("k1", "k2").agg(F.collect_set("no").alias("nos"))
+        words = (need.join(docs.dropDuplicates(["k1", "k2"]), ["k1", "k2"])
+                 .select("k1", "k2", F.explode("nos").alias("no"), F.split(_plain(F.col("text")), "\n", -1).alias("ls"))
+                 .select("k1", "k2", "no", word_hashes(F.get("ls", F.col("no"))).alias(f"h{side}")))
+        return at.join(words, ["k1", "k2", "no"]).select(*pairs.columns, f"h{side}")
+
+    both = with_words(with_words(pairs, "a").select("b", "ha"), "b")
+    common = F.size(F.array_intersect("ha", "hb"))
+    union = F.size("ha") + F.size("hb") - common
     return both.where(common >= union * t - EPS).select("b.k1", "b.no", "b.k2").distinct()
 
 
@@ -175,20 +197,26 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     n = shuffle_partitions(docs.sparkSession)
     # each set against the first of its words' lists, then who is left against all before
     entry = F.struct(*ENTRY)
-    listed = postings(sets)
-    leads = (listed.groupBy("w").agg(F.min(entry).alias("lead"), F.count(F.lit(1)).alias("size"))
-             .where(F.col("size") > 1).select("w", "lead"))
-    pairs = stored(passing(listed.select("w", entry.alias("y")).join(leads, "w"), "lead", "y", similarity))
+    pairs = []
+    for part in range(PARTS):
+        listed = postings(sets, part)
+        leads = (listed.groupBy("w").agg(F.min(entry).alias("lead"), F.count(F.lit(1)).alias("size"))
+                 .where(F.col("size") > 1).select("w", "lead"))
+        pairs.append(stored(passing(listed.select("w", entry.alias("y")).join(leads, "w"), "lead", "y", similarity)))
+    pairs = stored(likely(reduce(DataFrame.unionByName, pairs).distinct(), sets, similarity))
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
     marked = sets.join(gone.withColumn("out", F.lit(True)), PLACE, "left")
-    listed = postings(marked, "out")
     # the condition names ``out`` of both sides, so one exchange serves them
     both = F.struct(*ENTRY, "out")
-    met = (listed.select("w", both.alias("x")).join(listed.select("w", both.alias("y")), "w")
-           .where(F.when(F.col("x.out").isNull() | F.col("x.out"), F.col("y.out").isNull())))
-    met = passing(met, "x", "y", similarity)
-    more = stored(met.join(pairs, ["a", "b"], "left_anti"))
+    more = []
+    for part in range(PARTS):
+        listed = postings(marked, part, "out")
+        met = (listed.select("w", both.alias("x")).join(listed.select("w", both.alias("y")), "w")
+               .where(F.when(F.col("x.out").isNull() | F.col("x.out"), F.col("y.out").isNull())))
+        more.append(stored(passing(met, "x", "y", similarity)))
+    more = reduce(DataFrame.unionByName, more).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = stored(likely(more, sets, similarity))
     # one exchange of the texts serves the verification and the result
     gone = gone.unionByName(beaten(more, dealt, similarity))
     stays = sets.select("k1", "k2", "no").join(gone, ["k1", "k2", "no"], "left_anti")
