@@ -1,5 +1,7 @@
 """The joins of line dedup are done in parts of the words, and words travel once a pair."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tripflow.llm import line_dedup as ld
@@ -50,3 +52,34 @@ def test_wide_parities_tell_long_lines_apart(spark):
     place = sets.select(F.struct(*ld.PLACE).alias("p"))
     pairs = place.withColumnRenamed("p", "a").crossJoin(place.withColumnRenamed("p", "b")).where("a < b")
     assert {(r["a"]["k1"], r["b"]["k1"]) for r in ld.likely(pairs, sets, ld.SIMILARITY).collect()} == {(0, 1)}
+
+
+def test_unrelated_lines_of_common_words_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(5)
+    lines = [" ".join(rng.sample([f"w{i}" for i in range(600)], 150)) for _ in range(200)]
+    met, beaten = [], ld.beaten
+    monkeypatch.setattr(ld, "beaten", lambda pairs, *a: met.append(pairs.count()) or beaten(pairs, *a))
+    likely = ld.likely
+    monkeypatch.setattr(ld, "likely", lambda pairs, *a: met.append(pairs.count()) or likely(pairs, *a))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert ld.dedup_lines(docs).where("n_removed > 0").count() == 0
+    assert sum(met) < len(lines)
+
+
+def test_lines_of_all_sizes_equal_brute_force(spark):
+    rng, lines = random.Random(8), []
+    words = [f"w{i}" for i in range(90)]
+    for _ in range(60):
+        line = rng.sample(words, rng.randint(4, 70))
+        lines.append(line)
+        for _ in range(3):
+            near = [w for w in line if rng.random() > 0.07]
+            lines.append(near + [f"z{rng.randint(0, 30)}" for _ in range(rng.randint(0, len(line) // 6))])
+    rng.shuffle(lines)
+    sets = [set(x) for x in lines]
+    same = lambda a, b: len(a & b) >= ld.SIMILARITY * len(a | b) - ld.EPS
+    want = {i: int(any(same(sets[j], x) for j in range(i))) for i, x in enumerate(sets) if x}
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines) if x], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in ld.dedup_lines(docs).collect()}
+    assert got == want
+    assert 30 < sum(want.values()) < len(want) - 30

@@ -13,21 +13,24 @@ Lines without a word stay.
 3. Candidates.  Sets of n and m words that match share a word among the first
    ``n - ceil(t n) + 1`` of the larger and the first
    ``m - ceil(2 t m / (1 + t)) + 1`` of the smaller (prefix filter); the smaller
-   has at least t times the words of the larger (length filter); and behind
-   the first shared word enough words must be left in both to reach the
-   overlap (positional filter); and the parities of the words in 64 hash
-   classes may differ in no more classes than words may differ (bitmap
-   filter).  Sets of up to three words match equal ones
-   alone.  A very common line is one row here; a common word is in a prefix
-   only of lines that have no rarer ones.
+   has at least t times the words of the larger (length filter); from the first
+   shared word on enough words must be left in both to reach the overlap
+   (positional filter, which implies the length filter); and the parities of the
+   words in 128 hash classes may differ in no more classes than words may differ
+   (bitmap filter, in the join itself).  Of the two prefix words one at least is
+   among the first ``n - ceil(2 t n / (1 + t)) + 1`` of its set.  Sets of up to
+   three words match equal ones alone.  A very common line is one row here; a
+   common word is in a prefix only of lines that have no rarer ones.
    First every set meets the first set of each list of its prefix words; only
    sets that match none of these meet all sets before them.  So a group of
-   near copies, which match their first, is not compared each with each.
+   near copies, which match their first, is not compared each with each.  There
+   a short entry is dealt to the ``BAND``s of sizes that it can match, so that
+   lines of other sizes with the same word do not meet.
    Both are done in ``PARTS`` parts of the words, whose postings are freed one
    after the other, as they are larger than the corpus.
-4. Verification.  Candidates whose parities in 256 hash classes differ in too
-   many go as well; the others fetch their lines by document, and the Jaccard
-   similarity is taken of the words.
+4. Verification.  Candidates of the second join whose parities in 256 hash
+   classes differ in too many go as well; the others fetch their lines by document,
+   and the Jaccard similarity is taken of the words.
 
 Words are compared by 57 bits of their hash.
 
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import NULL_ID, id_key, shuffle_partitions, stored
 
 SIMILARITY = 0.8
-BUCKETS = 1 << 16
+BUCKETS = 1 << 17
 HASH_BITS = 57
 EPS = 1e-9
 
@@ -82,9 +85,10 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> Data
 
 def lines_of(rows: DataFrame) -> DataFrame:
     """(k1, k2, no, hs): the lines that have a word."""
+    # a filter on the words would be moved below them and split every line twice
     return (rows.select("k1", "k2", F.posexplode(F.split(_plain(F.col("text")), "\n", -1)).alias("no", "line"))
-            .select("k1", "k2", "no", word_hashes(F.col("line")).alias("hs"))
-            .where(F.size("hs") > 0))
+            .where(F.trim("line") != "")
+            .select("k1", "k2", "no", word_hashes(F.col("line")).alias("hs")))
 
 
 def bucket_classes(rows: DataFrame) -> Column:
@@ -105,16 +109,18 @@ def distinct_sets(rows: DataFrame, t: float) -> DataFrame:
     32 bits of each word of its prefix, rarest first, the parities of its words in
     64 times ``WIDE`` hash classes, its number of words, and the parities in 64."""
     classes = bucket_classes(rows)
-    rank = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("long"), HASH_BITS).bitwiseOR(h)
+    # never null, so that the words are sorted as numbers and not as objects
+    size = lambda h: F.coalesce(F.get(classes, _bucket(h)), F.lit(0)).cast("long")
+    rank = lambda h: F.shiftleft(size(h), HASH_BITS).bitwiseOR(h)
     ws = lines_of(rows).select("k1", "no", "k2", F.sort_array(F.transform("hs", rank)).alias("ws"))
     n = F.size("ws")
     take = (n - F.ceil(n * t - EPS) + 1).cast("int")
     short = F.transform(F.slice("ws", 1, take),
                         lambda w: w.bitwiseXOR(F.shiftrightunsigned(w, 25)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
-    of = lambda w: F.shiftright(w, 6).bitwiseAND(F.lit(WIDE - 1))
+    of = lambda w: w.bitwiseAND(F.lit(64 * (WIDE - 1)))
     mine = lambda i: F.aggregate("ws", F.lit(0).cast("long"),
-                                 lambda acc, w: F.when(of(w) == i, acc.bitwiseXOR(bit(w))).otherwise(acc))
+                                 lambda acc, w: F.when(of(w) == 64 * i, acc.bitwiseXOR(bit(w))).otherwise(acc))
     wide = [mine(i) for i in range(WIDE)]
     one = F.struct("k1", "no", "k2", F.when(n > 3, short).alias("pre"), F.array(*wide).alias("wide"))
     return (ws.select(F.xxhash64("ws").alias("s1"), F.hash("ws").alias("s2"), n.alias("n"), one.alias("one"))
@@ -123,35 +129,70 @@ def distinct_sets(rows: DataFrame, t: float) -> DataFrame:
 
 
 WIDE = 4  # longs of parities that a candidate's sets are compared by before their words
-PARTS = 2  # of the prefix words, joined one after the other: only one part's postings lie on disk at a time
+PARTS = 6  # of the prefix words, joined one after the other: only one part's postings lie on disk at a time
+BAND = 1.5  # ratio of the sizes in one band
 PLACE = ["k1", "no", "k2"]
-ENTRY = [*PLACE, "n", "p", "bits"]
+ENTRY = [*PLACE, "n", "r", "b0", "b1"]
 
 
 def postings(sets: DataFrame, part: int, *more: str) -> DataFrame:
-    """(w, place, n, bits, p): the prefix words of a part and the sets they are of,
-    dealt by word; callers build structs above this exchange, so that it can be reused."""
-    # said here, lest the optimizer adds it to one use alone and the exchanges differ
-    there = F.col("pre").isNotNull() & F.col("n").isNotNull() & F.col("bits").isNotNull()
-    return (sets.where(there)
-            .select(*PLACE, "n", "bits", *more, F.posexplode("pre").alias("p", "w"))
+    """(w, place, n, r, b0, b1): the prefix words of a part and the sets they are
+    of, with the number of words from the shared one on and the parities in 128
+    classes.  Plain columns: a struct's are read anew for every pair."""
+    half = lambda i: F.get("wide", F.lit(i)).bitwiseXOR(F.get("wide", F.lit(i + 1)))
+    # never null and said here, lest the optimizer adds it to one use alone and the exchanges differ
+    known = lambda c: F.coalesce(c, F.lit(0))
+    return (sets.where(F.col("pre").isNotNull() & F.col("n").isNotNull())
+            .select(*PLACE, "n", known(half(0)).alias("b0"), known(half(2)).alias("b1"), *more,
+                    F.posexplode("pre").alias("p", "w"))
             .where(F.pmod("w", F.lit(PARTS)) == part)
-            .repartition(shuffle_partitions(sets.sparkSession), "w"))
+            .select("w", *PLACE, "n", known(F.col("n") - F.col("p")).alias("r"), "b0", "b1", *more))
 
 
-def passing(pairs: DataFrame, x: str, y: str, t: float) -> DataFrame:
-    """(a, b): places of the sets of entries x and y that pass the filters, a
-    before b."""
-    nx, ny, px, py = (F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.p"), F.col(f"{y}.p"))
-    ax, ay = (F.struct(*[F.col(f"{s}.{c}") for c in PLACE]) for s in (x, y))
-    index = lambda n: n - F.ceil(n * (2 * t / (1 + t)) - EPS) + 1
-    overlap = F.ceil((nx + ny) * (t / (1 + t)) - EPS)
-    return (pairs.where((ax < ay)
-                        & (F.least(nx, ny) >= F.greatest(nx, ny) * t - EPS)
-                        & F.when(nx <= ny, px < index(nx)).otherwise(py < index(ny))
-                        & (F.least(nx - px, ny - py) >= overlap)
-                        & (F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) <= nx + ny - 2 * overlap))
-            .select(ax.alias("a"), ay.alias("b")).distinct())
+def short(t: float, x: str = "") -> Column:
+    """Of the entries of a matching pair one at least is short: were both longer,
+    there would be fewer words behind the first shared one than the overlap."""
+    return F.col(f"{x}r") >= F.col(f"{x}n") * (2 * t / (1 + t)) - EPS
+
+
+def band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND)) + EPS).cast("int")
+
+
+def named(entries: DataFrame, x: str) -> DataFrame:
+    return entries.select([F.col(c).alias(f"{x}{c}") for c in entries.columns])
+
+
+def met(listed: DataFrame, t: float) -> DataFrame:
+    """The entries of a word that pass, x a short one and y one whose later set is
+    not ``out``.  They meet in the bands of sizes that x can match: at least t times
+    its own words, and so many that the words from the shared one on reach the overlap."""
+    bands = F.sequence(band(F.ceil(F.col("n") * t - EPS)),
+                       band(F.floor(F.col("r") * ((1 + t) / t) + EPS) - F.col("n")))
+    x = named(listed.where(short(t)).withColumn("band", F.explode(bands)), "x")
+    y = named(listed.withColumn("band", band(F.col("n"))), "y")
+    later = F.when(place("x") < place("y"), F.col("yout")).otherwise(F.col("xout"))
+    # all in one condition, the cheap ones first: a filter would be put before them
+    return x.join(y, (F.col("xw") == F.col("yw")) & (F.col("xband") == F.col("yband")) & near("x", "y", t)
+                  & (place("x") != place("y")) & later.isNull())
+
+
+def near(x: str, y: str, t: float) -> Column:
+    """If entries x and y pass the length, the positional and the bitmap filter
+    (the length filter follows from the positional one)."""
+    size = F.col(f"{x}n") + F.col(f"{y}n")
+    overlap = F.ceil(size * (t / (1 + t)) - EPS)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in ("b0", "b1")])
+    return (F.least(f"{x}r", f"{y}r") >= overlap) & (differ <= size - 2 * overlap)
+
+
+def place(x: str) -> Column:
+    return F.struct(*[F.col(f"{x}{c}").alias(c) for c in PLACE])
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    """(a, b): the places of x and y, the earlier one first; each pair once."""
+    return pairs.select(F.least(place("x"), place("y")).alias("a"), F.greatest(place("x"), place("y")).alias("b")).distinct()
 
 
 def likely(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
@@ -175,7 +216,7 @@ def beaten(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     def with_words(pairs: DataFrame, side: str) -> DataFrame:
         at = pairs.select("*", *[F.col(f"{side}.{c}").alias(c) for c in PLACE])
         need = at.select(*PLACE).distinct().groupBy("k1", "k2").agg(F.collect_set("no").alias("nos"))
-        words = (need.join(docs.dropDuplicates(["k1", "k2"]), ["k1", "k2"])
+        words = (need.join(docs, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
                  .select("k1", "k2", F.explode("nos").alias("no"), F.split(_plain(F.col("text")), "\n", -1).alias("ls"))
                  .select("k1", "k2", "no", word_hashes(F.get("ls", F.col("no"))).alias(f"h{side}")))
         return at.join(words, ["k1", "k2", "no"]).select(*pairs.columns, f"h{side}")
@@ -196,25 +237,21 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     sets = stored(distinct_sets(rows, similarity))
     n = shuffle_partitions(docs.sparkSession)
     # each set against the first of its words' lists, then who is left against all before
-    entry = F.struct(*ENTRY)
     pairs = []
     for part in range(PARTS):
-        listed = postings(sets, part)
-        leads = (listed.groupBy("w").agg(F.min(entry).alias("lead"), F.count(F.lit(1)).alias("size"))
-                 .where(F.col("size") > 1).select("w", "lead"))
-        pairs.append(stored(passing(listed.select("w", entry.alias("y")).join(leads, "w"), "lead", "y", similarity)))
-    pairs = stored(likely(reduce(DataFrame.unionByName, pairs).distinct(), sets, similarity))
+        listed = postings(sets, part).where(short(similarity)).repartition(n, "w")
+        leads = (listed.groupBy("w").agg(F.min(F.struct(*ENTRY)).alias("lead"), F.count(F.lit(1)).alias("size"))
+                 .where(F.col("size") > 1).select("w", "lead.*"))
+        with_lead = named(leads, "x").join(named(listed, "y"), (F.col("xw") == F.col("yw")) & near("x", "y", similarity)
+                                           & (place("x") != place("y")))
+        pairs.append(stored(ordered(with_lead)))
+    pairs = stored(reduce(DataFrame.unionByName, pairs).distinct())
     dealt = rows.repartition(n, "k1", "k2")
     gone = stored(beaten(pairs, dealt, similarity))
-    marked = sets.join(gone.withColumn("out", F.lit(True)), PLACE, "left")
-    # the condition names ``out`` of both sides, so one exchange serves them
-    both = F.struct(*ENTRY, "out")
+    marked = stored(sets.where(F.col("pre").isNotNull()).join(gone.withColumn("out", F.lit(True)), PLACE, "left"))
     more = []
     for part in range(PARTS):
-        listed = postings(marked, part, "out")
-        met = (listed.select("w", both.alias("x")).join(listed.select("w", both.alias("y")), "w")
-               .where(F.when(F.col("x.out").isNull() | F.col("x.out"), F.col("y.out").isNull())))
-        more.append(stored(passing(met, "x", "y", similarity)))
+        more.append(stored(ordered(met(postings(marked, part, "out"), similarity))))
     more = reduce(DataFrame.unionByName, more).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(likely(more, sets, similarity))
     # one exchange of the texts serves the verification and the result
@@ -222,11 +259,13 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     stays = sets.select("k1", "k2", "no").join(gone, ["k1", "k2", "no"], "left_anti")
     per_doc = stays.groupBy("k1", "k2").agg(F.collect_list("no").alias("nos"))
     ls = F.split("text", "\n", -1)
-    blank = F.filter(F.transform("ls", lambda x, i: F.when(F.trim(_plain(x)) == "", i)), lambda i: i.isNotNull())
-    keep = F.array_sort(F.concat(blank, F.coalesce("nos", F.array().cast("array<int>"))))
+    empty = lambda x: F.trim(x, F.lit(" \t\r\f\x0b")) == ""
+    blank = F.filter(F.transform("ls", lambda x, i: F.when(empty(x), i)), lambda i: i.isNotNull())
+    keep = F.sort_array(F.concat(blank, F.coalesce("nos", F.array().cast("array<int>"))))
     texts = dealt.dropDuplicates(["k1", "k2"]) if carry else dealt
     out = (texts.join(per_doc, ["k1", "k2"], "left").withColumn("ls", ls).withColumn("keep", keep))
-    kept = F.array_join(F.transform("keep", lambda i: F.get("ls", i)), "\n")
+    kept = (F.when(F.size("keep") == F.size("ls"), F.col("text"))
+            .otherwise(F.array_join(F.transform("keep", lambda i: F.get("ls", i)), "\n")))
     null = F.col("text").isNull()
     out = out.select(
         "k1", "k2", F.when(~null, kept).alias("kept"),
