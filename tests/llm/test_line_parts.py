@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripflow.llm import line_dedup as ld
 
 
@@ -83,3 +84,19 @@ def test_lines_of_all_sizes_equal_brute_force(spark):
     got = {r["doc_id"]: r["n_removed"] for r in ld.dedup_lines(docs).collect()}
     assert got == want
     assert 30 < sum(want.values()) < len(want) - 30
+
+
+def test_pipeline_stage_fetches_near_copies_alone(spark, monkeypatch):
+    rng = random.Random(3)
+    lines = [rng.sample([f"w{i}" for i in range(600)], 150) for _ in range(100)]
+    lines += [line[1:] + ["zz"] for line in lines]
+    met, likely, beaten = [], ld.likely, ld.beaten
+    monkeypatch.setattr(ld, "likely", lambda pairs, *a: met.append(pairs.collect()) or likely(pairs, *a))
+    monkeypatch.setattr(ld, "beaten", lambda pairs, *a: met.append(pairs.collect()) or beaten(pairs, *a))
+    docs = spark.createDataFrame([(i, " ".join(x), "en", "s", 1) for i, x in enumerate(lines)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(100))
+    pairs = {(r["a"]["k1"], r["b"]["k1"]) for rs in met for r in rs}
+    assert {(i, i + 100) for i in range(100)} <= pairs
+    assert len(pairs) < 150
